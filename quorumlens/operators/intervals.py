@@ -1,115 +1,133 @@
 """Interval lookups without nested loops.
 
-IPv4: ranges are laid out over the /16 buckets they touch and merged with the points in address
-order; a running maximum answers "which range starting at or before this point reaches furthest".
-One shuffle, no candidate pairs.  Points must be distinct per entry (they are: every caller looks up
-aggregated rows), so a bucket never holds more than its 65,536 addresses per entry kind.
+Ranges are laid out over the buckets they touch (the first 16 bits of the address) and merged with
+the entries in address order; a running maximum answers "which range starting at or before this
+entry reaches furthest".  One shuffle, one pass over the entries, no candidate pairs.
 
-IPv6: ranges are networks, so a point is covered exactly when one of its prefixes is in the table;
-the prefix lengths present (at most 129) travel as one broadcast row and the lookup is an equi-join.
+Entries must be aggregated rows (one per indicator and key), as every caller's are: an IPv4 bucket
+then holds at most its 65,536 addresses per entry kind.  An IPv6 bucket has no such bound, so its
+entries are salted and its ranges repeated per salt.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quorumlens.functions.addresses import v6_network
 
-_SHIFT = 16
+V6_SALTS = 64
 
 
-def covering_v4(
-    points: DataFrame, ranges: DataFrame, at: str, payload: list[str], out: str = "match"
-) -> DataFrame:
-    """Add struct column ``out`` with ``payload`` of the range covering ``at``, NULL if none.
+def _first16(value: Column) -> Column:
+    return F.conv(F.hex(F.substring(value, 1, 2)), 16, 10).cast("int")
 
-    ``ranges`` has inclusive ``lo``/``hi``.  Where ranges nest, the outermost one is returned.
-    """
-    spread = ranges.select(
-        F.explode(F.sequence(F.shiftright("lo", _SHIFT), F.shiftright("hi", _SHIFT))).alias("_bucket"),
-        "lo",
-        F.struct(
-            F.col("hi"), (-F.col("lo")).alias("neg"), F.struct(*payload).alias("payload")
-        ).alias("_range"),
-    )
-    range_type = spread.schema["_range"].dataType
-    point_row = F.struct(*points.columns)
-    probe = points.select(
-        F.shiftright(at, _SHIFT).alias("_bucket"),
-        F.col(at).alias("_at"),
-        F.lit(1).alias("_kind"),
-        F.lit(None).cast(range_type).alias("_range"),
-        point_row.alias("_row"),
+
+def _spread(ranges: DataFrame, payload: list[str]) -> DataFrame:
+    """Ranges repeated for every bucket (and salt) they touch."""
+    four = F.col("family") == 4
+    buckets = F.when(
+        four,
+        F.sequence(F.shiftright("lo", 16).cast("int"), F.shiftright("hi", 16).cast("int")),
+    ).otherwise(F.sequence(_first16(F.col("lo6")), _first16(F.col("hi6"))))
+    salts = F.when(four, F.array(F.lit(0))).otherwise(
+        F.sequence(F.lit(0), F.lit(V6_SALTS - 1))
+    )
+    reach = F.struct(
+        "hi",
+        "hi6",
+        (-F.col("lo")).alias("neg_lo"),
+        (-F.col("prefix")).alias("neg_prefix"),
+        F.struct(*payload).alias("payload"),
     )
-    row_type = probe.schema["_row"].dataType
-    build = spread.select(
+    rows = ranges.select(
+        F.col("family").alias("_family"), "lo", "lo6", reach.alias("_range"), salts.alias("_salts"),
+        F.explode(buckets).alias("_bucket"),
+    ).select("*", F.explode("_salts").alias("_salt"))
+    return rows.select(
+        "_family",
         "_bucket",
-        F.greatest(F.col("lo"), F.shiftleft(F.col("_bucket"), _SHIFT)).alias("_at"),
+        "_salt",
+        F.greatest(F.col("lo"), F.shiftleft(F.col("_bucket").cast("bigint"), 16)).alias("_at"),
+        F.col("lo6").alias("_at6"),
         F.lit(0).alias("_kind"),
         "_range",
-        F.lit(None).cast(row_type).alias("_row"),
     )
+
+
+def covering(
+    entries: DataFrame, ranges: DataFrame, payload: list[str], out: str = "match"
+) -> DataFrame:
+    """Add struct column ``out`` with ``payload`` of the range covering the entry's first address,
+    NULL if none does.  Where ranges nest, the outermost one is returned.
+
+    ``ranges`` has ``family`` and inclusive ``lo``/``hi`` or ``lo6``/``hi6``; ``prefix`` is needed for
+    IPv6 only.
+    """
+    if "prefix" not in ranges.columns:
+        ranges = ranges.withColumn("prefix", F.lit(None).cast("int"))
+    if "lo6" not in ranges.columns:
+        none = F.lit(None).cast("binary")
+        ranges = ranges.withColumns({"lo6": none, "hi6": none})
+    build = _spread(ranges, payload)
+    four = F.col("family") == 4
+    plain = ("tinyint", "int", "bigint", "string", "binary")
+    spread_by = F.xxhash64(*[F.col(c) for c, t in entries.dtypes if t in plain])
+    probe = entries.select(
+        F.col("family").alias("_family"),
+        F.when(four, F.shiftright("lo", 16).cast("int")).otherwise(_first16(F.col("lo6"))).alias("_bucket"),
+        F.when(four, F.lit(0))
+        .otherwise(F.pmod(spread_by, F.lit(V6_SALTS)).cast("int"))
+        .alias("_salt"),
+        F.col("lo").alias("_at"),
+        F.col("lo6").alias("_at6"),
+        F.lit(1).alias("_kind"),
+        F.lit(None).cast(build.schema["_range"].dataType).alias("_range"),
+        F.struct(*entries.columns).alias("_row"),
+    )
+    build = build.withColumn("_row", F.lit(None).cast(probe.schema["_row"].dataType))
     order = (
-        Window.partitionBy("_bucket")
-        .orderBy("_at", "_kind")
+        Window.partitionBy("_family", "_bucket", "_salt")
+        .orderBy("_at", "_at6", "_kind")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     merged = probe.unionByName(build).withColumn("_best", F.max("_range").over(order))
-    hit = F.when(F.col("_best.hi") >= F.col("_at"), F.col("_best.payload"))
+    reaches = F.when(F.col("_family") == 4, F.col("_best.hi") >= F.col("_at")).otherwise(
+        F.col("_best.hi6") >= F.col("_at6")
+    )
+    hit = F.when(reaches, F.col("_best.payload"))
     return merged.filter("_kind = 1").select("_row.*", hit.alias(out))
 
 
-def prefix_lengths(networks: DataFrame) -> DataFrame:
-    """One row: the distinct prefix lengths as an array (at most 129 numbers)."""
-    return networks.agg(F.sort_array(F.collect_set("prefix")).alias("_lengths"))
-
-
-def _with_lengths(df: DataFrame, networks: DataFrame) -> DataFrame:
-    lengths = prefix_lengths(networks).scalar()
-    return (
-        df.withColumn("_lengths", lengths).withColumn("_length", F.explode("_lengths")).drop("_lengths")
+def _blocks_around(starts: DataFrame) -> DataFrame:
+    """Every network, of any prefix length, that contains the first address of an allowed range."""
+    four = (
+        starts.filter("family = 4")
+        .select("lo")
+        .distinct()
+        .withColumn("_p", F.explode(F.sequence(F.lit(0), F.lit(32))))
     )
-
-
-def covering_v6(
-    points: DataFrame, networks: DataFrame, at: str, payload: list[str], out: str = "match"
-) -> DataFrame:
-    """As :func:`covering_v4` for networks given as ``lo6``/``prefix``; the outermost wins."""
-    table = networks.groupBy(
-        F.col("prefix").alias("_length"), F.col("lo6").alias("_key")
-    ).agg(F.min(F.struct(*payload)).alias("_payload"))
-    distinct = points.select(F.col(at).alias("_at")).distinct()
-    probe = _with_lengths(distinct, networks).withColumn(
-        "_key", v6_network(F.col("_at"), F.col("_length"))
-    )
-    hits = (
-        probe.join(table, ["_length", "_key"])
-        .groupBy("_at")
-        .agg(F.min(F.struct("_length", "_payload")).alias("_hit"))
-        .select("_at", F.col("_hit._payload").alias(out))
-    )
-    return points.join(hits, points[at] == hits["_at"], "left").drop("_at")
-
-
-def _starts_inside(entries: DataFrame, starts: DataFrame, family: int) -> DataFrame:
-    """Distinct (prefix, low bound) of network entries that contain one of ``starts``."""
-    low = "lo" if family == 4 else "lo6"
-    nets = entries.filter(f"is_net and family = {family}").select("prefix", low)
-    at = starts.select(F.col(low).alias("_start")).distinct()
-    at = _with_lengths(at, nets)
-    if family == 4:
-        block = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.lit(32) - F.col("_length"))
-        key = F.col("_start") - F.col("_start") % block
-    else:
-        key = v6_network(F.col("_start"), F.col("_length"))
-    return at.select(
-        F.lit(family).cast("tinyint").alias("family"),
-        F.lit(True).alias("is_net"),
-        F.col("_length").cast("int").alias("prefix"),
-        key.alias(low),
-        F.lit(True).alias("_contains"),
-    ).distinct()
+    size = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.lit(32) - F.col("_p"))
+    six = (
+        starts.filter("family = 6")
+        .select("lo6")
+        .distinct()
+        .withColumn("_p", F.explode(F.sequence(F.lit(0), F.lit(128))))
+    )
+    none = F.lit(None)
+    keys4 = four.select(
+        F.lit(4).cast("tinyint").alias("_f"),
+        "_p",
+        (F.col("lo") - F.col("lo") % size).alias("_k4"),
+        none.cast("binary").alias("_k6"),
+    )
+    keys6 = six.select(
+        F.lit(6).cast("tinyint").alias("_f"),
+        "_p",
+        none.cast("bigint").alias("_k4"),
+        v6_network(F.col("lo6"), F.col("_p")).alias("_k6"),
+    )
+    return keys4.unionByName(keys6).distinct().withColumn("_contains", F.lit(True))
 
 
 def flag_overlap(entries: DataFrame, allowed: DataFrame, out: str = "allowlisted") -> DataFrame:
@@ -117,19 +135,17 @@ def flag_overlap(entries: DataFrame, allowed: DataFrame, out: str = "allowlisted
 
     ``allowed`` holds networks with the address columns; ``entries`` are distinct indicators.
     """
-    allow4 = allowed.filter("family = 4").select("lo", "hi").distinct()
-    allow6 = allowed.filter("family = 6").select("prefix", "lo6").distinct()
-    four = covering_v4(entries.filter("family = 4"), allow4, "lo", ["hi"], "_inside")
-    four = four.join(_starts_inside(entries, allow4, 4), ["family", "is_net", "prefix", "lo"], "left")
-    six = covering_v6(entries.filter("family = 6"), allow6, "lo6", ["prefix"], "_inside")
-    six = six.join(_starts_inside(entries, allow6, 6), ["family", "is_net", "prefix", "lo6"], "left")
-    columns = [*entries.columns]
-
-    def flagged(df: DataFrame) -> DataFrame:
-        hit = F.col("_inside").isNotNull() | F.coalesce(F.col("_contains"), F.lit(False))
-        return df.select(*columns, hit.alias(out))
-
-    return flagged(four).unionByName(flagged(six))
+    spans = allowed.select("family", "prefix", "lo", "hi", "lo6", "hi6").distinct()
+    inside = covering(entries, spans, ["family"], "_inside")
+    keys = _blocks_around(spans)
+    around = (
+        (inside["family"] == keys["_f"])
+        & (inside["prefix"] == keys["_p"])
+        & inside["lo"].eqNullSafe(keys["_k4"])
+        & inside["lo6"].eqNullSafe(keys["_k6"])
+    )
+    hit = F.col("_inside").isNotNull() | F.coalesce(F.col("_contains"), F.lit(False))
+    return inside.join(keys, around, "left").select(*entries.columns, hit.alias(out))
 
 
 def without_overlap(entries: DataFrame, allowed: DataFrame) -> DataFrame:
@@ -139,32 +155,27 @@ def without_overlap(entries: DataFrame, allowed: DataFrame) -> DataFrame:
 
 def explain_targets(targets: DataFrame, published: DataFrame) -> DataFrame:
     """For each looked-up address: the published entry of that very text, else the first published
-    network (in address order) containing it.  Adds ``matched`` and ``match_kind``."""
-    wanted = targets.select("target", "indicator", "family", "lo", "lo6").distinct()
-    listed = published.select("indicator").distinct().withColumn("_exact", F.lit(True))
-    looked = wanted.join(listed, "indicator", "left")
-    rest = looked.filter("_exact is null").drop("_exact")
+    network (in address order) containing it.  Adds ``matched`` and ``match_kind``.
+
+    ``targets`` holds ``target`` and its address columns; the address is NULL where unreadable.
+    """
+    wanted = targets.select("target", "indicator", "family", "is_net", "lo", "lo6").distinct()
+    listed = published.select(F.col("indicator").alias("_listed")).distinct()
+    looked = wanted.join(listed, wanted["indicator"] == listed["_listed"], "left")
     nets = published.filter("is_net").select(
-        "family", "prefix", "lo", "hi", "lo6", F.col("indicator").alias("net")
+        "family", "prefix", "lo", "hi", "lo6", "hi6", F.col("indicator").alias("net")
     )
-    in4 = covering_v4(
-        rest.filter("family = 4"), nets.filter("family = 4"), "lo", ["net"], "_m"
-    )
-    in6 = covering_v6(
-        rest.filter("family = 6"), nets.filter("family = 6"), "lo6", ["net"], "_m"
-    )
-    exact = looked.filter("_exact").select(
-        "target", F.col("indicator").alias("matched"), F.lit("exact").alias("match_kind")
-    )
-    covered = in4.unionByName(in6).select(
+    found = covering(looked, nets, ["net"], "_net")
+    single = ~F.coalesce("is_net", F.lit(True))
+    return found.select(
         "target",
-        F.col("_m.net").alias("matched"),
-        F.when(F.col("_m").isNotNull(), "inside").otherwise("absent").alias("match_kind"),
-    )
-    bad = looked.filter("family is null and _exact is null").select(
-        "target", F.lit(None).cast("string").alias("matched"), F.lit("invalid").alias("match_kind")
+        F.coalesce("_listed", F.when(single, F.col("_net.net"))).alias("matched"),
+        F.when(F.col("_listed").isNotNull(), "exact")
+        .when(~single, "invalid")
+        .when(F.col("_net").isNotNull(), "inside")
+        .otherwise("absent")
+        .alias("match_kind"),
     )
-    return exact.unionByName(covered).unionByName(bad)
 
 
 def aggregated_runs(networks: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from quorumlens.functions import addresses as A
 from quorumlens.functions import constants as K
 from quorumlens.functions import measures as M
 from quorumlens.functions import scoring as S
-from quorumlens.operators.intervals import covering_v4
+from quorumlens.operators.intervals import covering
 
 
 def _counted_entries(observations: DataFrame, *extra: str) -> DataFrame:
@@ -22,12 +22,8 @@ def enrich(entries: DataFrame, ranges: DataFrame) -> DataFrame:
 
     ``entries`` are aggregated rows (see intervals); ranges are disjoint.
     """
-    payload = ["asn", "country", "name"]
-    four = covering_v4(entries.filter("family = 4"), ranges, "lo", payload, "_net")
-    six = entries.filter("family = 6").withColumn(
-        "_net", F.lit(None).cast(four.schema["_net"].dataType)
-    )
-    return four.unionByName(six).select(
+    table = ranges.withColumn("family", F.lit(4).cast("tinyint"))
+    return covering(entries, table, ["asn", "country", "name"], "_net").select(
         *entries.columns,
         F.coalesce("_net.asn", F.lit(0).cast("bigint")).alias("asn"),
         F.coalesce("_net.country", F.lit("??")).alias("country"),

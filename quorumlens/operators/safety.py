@@ -81,10 +81,16 @@ def drop_examples(judged: DataFrame, limit: int = 5) -> DataFrame:
     return first_per_group(rows, ["tier", "drop_reason"], A.sort_key(), limit)
 
 
-def cap_benign(published: DataFrame, labels: DataFrame, tiers: tuple[str, ...] = ("primary", "permissive")) -> DataFrame:
+def cap_benign(
+    published: DataFrame,
+    labels: DataFrame,
+    tiers: tuple[str, ...] = ("primary", "permissive"),
+    where: Column | None = None,
+) -> DataFrame:
     """High -> medium for bare addresses classified benign; nothing else changes.
 
-    ``labels`` holds (address, label).  Adds ``benign_capped``.
+    ``labels`` holds (address, label); ``where`` narrows the rows that may be capped.  Adds
+    ``benign_capped``.
     """
     benign = (
         labels.filter("label = 'benign'")
@@ -98,6 +104,8 @@ def cap_benign(published: DataFrame, labels: DataFrame, tiers: tuple[str, ...] =
         & (F.col("band") == "high")
         & F.col("tier").isin(*tiers)
     )
+    if where is not None:
+        hit = hit & where
     return (
         published.join(benign, "indicator", "left")
         .withColumn("benign_capped", hit)

@@ -57,10 +57,7 @@ def judge(
     judged = safety.with_drop_reason(scored, rules)
     if labels is None:
         return judged.withColumn("benign_capped", F.lit(False))
-    shown = F.col("drop_reason").isNull() & (F.col("band") != "withheld")
-    capped = safety.cap_benign(judged.filter(shown), labels)
-    rest = judged.filter(~shown).withColumn("benign_capped", F.lit(False))
-    return capped.select(*rest.columns).unionByName(rest)
+    return safety.cap_benign(judged, labels, where=F.col("drop_reason").isNull())
 
 
 def published_of(judged: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quorumlens.functions import addresses as A
 from quorumlens.functions import constants as K
@@ -182,7 +183,7 @@ def declared_attribution(raw: DataFrame) -> DataFrame:
     return meta.groupBy("source").agg(last("copyright"), last("terms"))
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _cover_v6(first: pd.Series, last: pd.Series) -> pd.Series:
     import ipaddress
 
