@@ -3,6 +3,10 @@
 An indicator is a bare address or a network of either family.  IPv4 bounds are BIGINT columns
 ``lo``/``hi``; IPv6 bounds are BINARY(16) columns ``lo6``/``hi6``, which compare bytewise in
 address order.  Everything here runs inside the JVM; no row ever visits Python.
+
+The expressions are SQL text over column names.  The long IPv6 ones are bound with :func:`_let`, a
+lambda over a one-element array: they are evaluated for IPv6 rows only and stay out of the generated
+code of the IPv4 path, which would otherwise grow past what the JVM compiles.
 """
 
 from __future__ import annotations
@@ -16,32 +20,31 @@ from . import constants as K
 
 ADDRESS_COLUMNS = ("indicator", "family", "is_net", "prefix", "lo", "hi", "lo6", "hi6")
 
-_OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-V4_PATTERN = rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"
-_HEX_GROUPS = r"^([0-9a-f]{1,4}(:[0-9a-f]{1,4})*)?$"
-_FULL = 0xFFFFFFFF
+_OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+V4_PATTERN = f"^{_OCTET}(?:[.]{_OCTET}){{3}}$"
+
+
+def _let(name: str, value: str, body: str) -> str:
+    return f"transform(array({value}), {name} -> {body})[0]"
 
 
 def _pow2(exponent: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("bigint"), exponent.cast("int"))
 
 
-def _host_mask32(prefix: Column) -> Column:
-    """Host bits of a 32-bit word under ``prefix`` (clamped to 0..32)."""
-    kept = F.least(F.greatest(prefix, F.lit(0)), F.lit(32))
-    return _pow2(F.lit(32) - kept) - F.lit(1)
+# ------------------------------------------------------------------ IPv4 text <-> number
 
 
-# ------------------------------------------------------------------ IPv4 text <-> number
+def _v4_number_sql(text: str) -> str:
+    number = " + ".join(
+        f"try_cast(get(split({text}, '[.]'), {i}) as bigint) * {256 ** (3 - i)}L" for i in range(4)
+    )
+    return f"if({text} rlike '{V4_PATTERN}', {number}, null)"
 
 
-def v4_number(text: Column) -> Column:
+def v4_number(text: str) -> Column:
     """Dotted quad -> BIGINT; NULL unless four octets <= 255 without leading zeros."""
-    part = F.split(text, r"\.")
-    value = F.lit(0).cast("bigint")
-    for i in range(4):
-        value = value * F.lit(256) + F.get(part, F.lit(i)).try_cast("bigint")
-    return F.when(text.rlike(V4_PATTERN), value)
+    return F.expr(_v4_number_sql(text))
 
 
 def v4_text(number: Column) -> Column:
@@ -51,134 +54,88 @@ def v4_text(number: Column) -> Column:
     )
 
 
-def _v4_prefix(text: Column) -> Column:
-    """Prefix from ``/24``, ``/255.255.255.0`` or ``/0.0.0.255``; NULL if none of these."""
-    digits = text.rlike(r"^[0-9]+$")
-    plain = F.when(digits, text.try_cast("int"))
-    mask = v4_number(text)
-    inverse = F.lit(_FULL) - mask
-
-    def all_low_ones(value: Column) -> Column:
-        return value.bitwiseAND(value + F.lit(1)) == 0
-
-    def ones(value: Column) -> Column:
-        return F.bit_count(value).cast("int")
-
-    by_mask = F.when(all_low_ones(inverse), F.lit(32) - ones(inverse)).when(
-        all_low_ones(mask), F.lit(32) - ones(mask)
+def _v4_prefix_sql(text: str) -> str:
+    """Prefix from ``24``, ``255.255.255.0`` or ``0.0.0.255``; NULL if none of these."""
+    mask = (
+        "case when ((4294967295L - m) & (4294967296L - m)) = 0 then bit_count(m) "
+        "when (m & (m + 1)) = 0 then 32 - bit_count(m) end"
     )
-    found = F.coalesce(plain, by_mask)
-    return F.when(found.between(0, 32), found)
+    by_mask = _let("m", _v4_number_sql(text), mask)
+    plain = f"if(try_cast({text} as int) between 0 and 32, try_cast({text} as int), null)"
+    return f"if({text} rlike '^[0-9]+$', {plain}, {by_mask})"
 
 
 # ------------------------------------------------------------------ IPv6 text <-> bytes
 
 
-def _words6(value: Column) -> list[Column]:
-    return [
-        F.conv(F.hex(F.substring(value, 1 + 4 * i, 4)), 16, 10).cast("bigint") for i in range(4)
-    ]
-
-
-def _bytes6(words: list[Column]) -> Column:
-    return F.unhex(F.concat(*[F.lpad(F.hex(w), 8, "0") for w in words]))
+def _v6_bytes_sql(text: str) -> str:
+    """16 bytes of IPv6 ``text``; NULL if malformed."""
+    pair = (
+        "concat(substr(s, 1, length(s) - length(q)), lower(hex(shiftright(n, 16))), ':', "
+        "lower(hex(n & 65535)))"
+    )
+    unquad = f"if(q = '', s, {_let('n', _v4_number_sql('q'), pair)})"
+    quad = "regexp_extract(s, '^.*:([0-9]+[.][0-9]+[.][0-9]+[.][0-9]+)$', 1)"
+    text_sql = _let("s", f"lower({text})", _let("q", quad, unquad))
+    none = "cast(array() as array<string>)"
+    sides = (
+        "struct(u as t, locate('::', u) as at, "
+        f"if(locate('::', u) > 0, substring_index(u, '::', 1), u) as l, "
+        f"if(locate('::', u) > 0, substring_index(u, '::', -1), '') as r)"
+    )
+    groups = (
+        f"struct(h.t, h.at, h.l, h.r, if(h.l = '', {none}, split(h.l, ':')) as lg, "
+        f"if(h.r = '', {none}, split(h.r, ':')) as rg)"
+    )
+    shape = "^([0-9a-f]{1,4}(:[0-9a-f]{1,4})*)?$"
+    count = "(size(g.lg) + size(g.rg))"
+    valid = (
+        f"g.t is not null and g.l rlike '{shape}' and g.r rlike '{shape}' and if(g.at > 0, "
+        f"locate('::', substr(g.t, g.at + 1)) = 0 and {count} <= 7, {count} = 8)"
+    )
+    packed = (
+        f"unhex(concat_ws('', transform(concat(g.lg, array_repeat('0', greatest(8 - {count}, 0)), "
+        "g.rg), p -> lpad(p, 4, '0'))))"
+    )
+    body = _let("g", groups, f"if({valid}, {packed}, null)")
+    return _let("u", text_sql, _let("h", sides, body))
 
 
-def v6_network(value: Column, prefix: Column) -> Column:
-    """Bytes with the host bits cleared."""
-    return _bytes6(
-        [
-            w - w.bitwiseAND(_host_mask32(prefix - F.lit(32 * i)))
-            for i, w in enumerate(_words6(value))
-        ]
+def _v6_masked_sql(value: str, prefix: str, low: bool) -> str:
+    """Bytes with the host bits cleared (``low``) or set."""
+    word = "cast(conv(hex(substr(b.v, 4 * i + 1, 4)), 16, 10) as bigint)"
+    host = "(shiftleft(1L, 32 - greatest(0, least(32, b.p - 32 * i))) - 1L)"
+    masked = f"({word} - ({word} & {host}))" if low else f"({word} | {host})"
+    body = (
+        f"unhex(concat_ws('', transform(array(0, 1, 2, 3), i -> lpad(hex({masked}), 8, '0'))))"
     )
+    return _let("b", f"struct({value} as v, {prefix} as p)", f"if(b.p >= 128, b.v, {body})")
 
 
-def v6_broadcast(value: Column, prefix: Column) -> Column:
-    """Bytes with the host bits set."""
-    return _bytes6(
-        [
-            w.bitwiseOR(_host_mask32(prefix - F.lit(32 * i)))
-            for i, w in enumerate(_words6(value))
-        ]
-    )
+def v6_network(value: str, prefix: str) -> Column:
+    """Bytes of column ``value`` with the host bits below ``prefix`` cleared."""
+    return F.expr(_v6_masked_sql(value, prefix, True))
 
 
-def v6_text(value: Column) -> Column:
+def _v6_text_sql(value: str) -> str:
     """Canonical text: no leading zeros, the longest (first) zero run of two or more as ``::``."""
-    digits = F.lower(F.hex(value))
-    groups = [
-        F.regexp_replace(F.substring(digits, 1 + 4 * i, 4), "^0{1,3}", "") for i in range(8)
-    ]
-    framed = F.concat(F.lit(":"), F.concat_ws(":", *groups), F.lit(":"))
-
-    def shorten(s: Column) -> Column:
-        out = None
-        for run in range(8, 1, -1):
-            zeros = ":" + "0:" * run
-            at = F.locate(zeros, s)
-            left = F.substring(s, F.lit(2), at - F.lit(2))
-            right = F.rtrim(F.substring(s, at + F.lit(len(zeros)), F.length(s)), F.lit(":"))
-            text = F.concat(F.when(at > 1, left).otherwise(""), F.lit("::"), right)
-            out = F.when(at > 0, text) if out is None else out.when(at > 0, text)
-        return out.otherwise(F.trim(s, F.lit(":")))
-
-    return F.element_at(F.transform(F.array(framed), shorten), 1)
-
-
-def _with_v6_bytes(df: DataFrame, text: Column, out: str) -> DataFrame:
-    """Add the 16 bytes of IPv6 ``text`` as column ``out`` (NULL if malformed)."""
-    low = F.lower(text)
-    quad = F.regexp_extract(low, r"^.*:([0-9]+\.[0-9]+\.[0-9]+\.[0-9]+)$", 1)
-    number = v4_number(quad)
-    head = F.substring(low, F.lit(1), F.length(low) - F.length(quad))
-    unquad = (
-        F.when(~low.contains(":"), None)
-        .when(quad == "", low)
-        .when(
-            number.isNotNull(),
-            F.concat(
-                head,
-                F.lower(F.hex(F.shiftright(number, 16))),
-                F.lit(":"),
-                F.lower(F.hex(number.bitwiseAND(F.lit(65535)))),
-            ),
-        )
-    )
-    df = df.withColumn("_t6", unquad)
-    gap = F.locate("::", F.col("_t6"))
-    df = df.withColumns(
-        {
-            "_gap": gap > 0,
-            "_left": F.substring_index("_t6", "::", 1),
-            "_right": F.when(gap > 0, F.substring_index("_t6", "::", -1)).otherwise(""),
-        }
-    )
-    df = df.withColumns(
-        {
-            "_lg": F.when(F.col("_left") == "", F.array().cast("array<string>")).otherwise(
-                F.split("_left", ":")
-            ),
-            "_rg": F.when(F.col("_right") == "", F.array().cast("array<string>")).otherwise(
-                F.split("_right", ":")
-            ),
-        }
+    groups = (
+        "transform(array(0, 1, 2, 3, 4, 5, 6, 7), i -> "
+        "regexp_replace(lower(hex(substr(v, 2 * i + 1, 2))), '^0{1,3}', ''))"
     )
-    given = F.size("_lg") + F.size("_rg")
-    single_gap = ~F.substring(F.col("_t6"), gap + F.lit(1), F.length("_t6")).contains("::")
-    valid = (
-        F.col("_t6").isNotNull()
-        & F.col("_left").rlike(_HEX_GROUPS)
-        & F.col("_right").rlike(_HEX_GROUPS)
-        & F.when(F.col("_gap"), single_gap & (given <= 7)).otherwise(given == 8)
-    )
-    filled = F.concat(
-        F.col("_lg"),
-        F.array_repeat(F.lit("0"), F.greatest(F.lit(8) - given, F.lit(0))),
-        F.col("_rg"),
+    framed = f"concat(':', concat_ws(':', {groups}), ':')"
+    cut = (
+        "concat(if(locate(z, f) > 1, substr(f, 2, locate(z, f) - 2), ''), '::', "
+        "rtrim(':', substr(f, locate(z, f) + length(z))))"
     )
-    packed = F.unhex(F.concat_ws("", F.transform(filled, lambda g: F.lpad(g, 4, "0"))))
-    return df.withColumn(out, F.when(valid, packed)).drop("_t6", "_gap", "_left", "_right", "_lg", "_rg")
+    runs = ", ".join(f"':{'0:' * n}'" for n in range(8, 1, -1))
+    best = f"filter(array({runs}), r -> locate(r, f) > 0)"
+    text = _let("zs", best, f"if(size(zs) > 0, {_let('z', 'zs[0]', cut)}, trim(':', f))")
+    return _let("v", value, _let("f", framed, text))
+
+
+def v6_text(value: str) -> Column:
+    return F.expr(_v6_text_sql(value))
 
 
 # ------------------------------------------------------------------ whole entries
@@ -193,52 +150,61 @@ def with_address(df: DataFrame, text: str, accept: str = "entry") -> DataFrame:
     """
     if accept not in ("entry", "network", "address"):
         raise ValueError(f"unknown accept mode: {accept}")
-    raw = F.col(text)
-    slash = F.instr(raw, "/")
-    df = df.withColumns(
-        {
-            "_addr": F.when(slash > 0, F.substring_index(raw, "/", 1)).otherwise(raw),
-            "_len": F.when(slash > 0, F.substring(raw, slash + F.lit(1), F.length(raw))),
-        }
+    keep = [F.col(f"`{c}`") for c in df.columns]
+    width = "case when _v4 is not null then 32 when _v6 is not null then 128 end"
+    given = (
+        "null"
+        if accept == "address"
+        else f"case when _v4 is not null then {_v4_prefix_sql('_len')} when _v6 is not null and "
+        "_len rlike '^[0-9]+$' and try_cast(_len as int) <= 128 then try_cast(_len as int) end"
     )
-    df = df.withColumn("_v4", v4_number(F.col("_addr")))
-    df = _with_v6_bytes(df, F.col("_addr"), "_v6")
-    has_len = F.col("_len").isNotNull()
-    v6_len = F.when(F.col("_len").rlike(r"^[0-9]+$"), F.col("_len").try_cast("int"))
-    width = F.when(F.col("_v4").isNotNull(), 32).when(F.col("_v6").isNotNull(), 128)
-    plen = (
-        F.when(~has_len, width)
-        .when(F.col("_v4").isNotNull(), _v4_prefix(F.col("_len")))
-        .when(F.col("_v6").isNotNull(), F.when(v6_len.between(0, 128), v6_len))
+    host = "(shiftleft(1L, 32 - _plen) - 1L)"
+    is_net = "true" if accept == "network" else "_len is not null"
+    split = df.select(
+        *keep,
+        F.expr(f"substring_index(`{text}`, '/', 1)").alias("_addr"),
+        F.expr(f"if(instr(`{text}`, '/') > 0, substr(`{text}`, instr(`{text}`, '/') + 1), null)").alias(
+            "_len"
+        ),
     )
-    if accept == "address":
-        plen = F.when(~has_len, plen)
-    is_net = F.lit(True) if accept == "network" else has_len
-    df = df.withColumns({"_plen": plen.cast("int"), "_net": is_net})
-    ok = F.col("_plen").isNotNull()
-    host = _host_mask32(F.col("_plen"))
-    df = df.withColumns(
-        {
-            "family": F.when(
-                ok, F.when(F.col("_v4").isNotNull(), F.lit(4)).otherwise(F.lit(6))
-            ).cast("tinyint"),
-            "is_net": F.when(ok, F.col("_net")),
-            "prefix": F.when(ok & F.col("_net"), F.col("_plen")),
-            "lo": F.when(ok, F.col("_v4") - F.col("_v4").bitwiseAND(host)),
-            "hi": F.when(ok, F.col("_v4").bitwiseOR(host)),
-            "lo6": F.when(ok & F.col("_v6").isNotNull(), v6_network(F.col("_v6"), F.col("_plen"))),
-            "hi6": F.when(
-                ok & F.col("_v6").isNotNull(), v6_broadcast(F.col("_v6"), F.col("_plen"))
-            ),
-        }
+    read = split.select(
+        *keep,
+        "_addr",
+        "_len",
+        F.expr(_v4_number_sql("_addr")).alias("_v4"),
+        F.expr(f"if(instr(_addr, ':') > 0, {_v6_bytes_sql('_addr')}, null)").alias("_v6"),
     )
-    base = F.when(F.col("family") == 4, v4_text(F.col("lo"))).when(
-        F.col("family") == 6, v6_text(F.col("lo6"))
+    sized = read.select(
+        *keep,
+        "_addr",
+        "_v4",
+        "_v6",
+        F.expr(f"cast(if(_len is null, {width}, {given}) as int)").alias("_plen"),
+        F.expr(is_net).alias("_net"),
     )
-    tail = F.when(F.col("is_net"), F.concat(F.lit("/"), F.col("prefix").cast("string"))).otherwise("")
-    return df.withColumn("indicator", F.concat(base, tail)).drop(
-        "_addr", "_len", "_v4", "_v6", "_plen", "_net"
+    bounded = sized.select(
+        *keep,
+        "_addr",
+        F.expr(
+            "cast(case when _plen is null then null when _v4 is not null then 4 else 6 end as tinyint)"
+        ).alias("family"),
+        F.expr("if(_plen is null, null, _net)").alias("is_net"),
+        F.expr("if(_net, _plen, null)").alias("prefix"),
+        F.expr(f"if(_plen is null, null, _v4 - (_v4 & {host}))").alias("lo"),
+        F.expr(f"if(_plen is null, null, _v4 | {host})").alias("hi"),
+        F.expr(
+            f"if(_plen is null or _v6 is null, null, {_v6_masked_sql('_v6', '_plen', True)})"
+        ).alias("lo6"),
+        F.expr(
+            f"if(_plen is null or _v6 is null, null, {_v6_masked_sql('_v6', '_plen', False)})"
+        ).alias("hi6"),
     )
+    rendered = F.when(
+        F.col("family") == 4, F.when(F.col("is_net"), v4_text(F.col("lo"))).otherwise(F.col("_addr"))
+    ).when(F.col("family") == 6, v6_text("lo6"))
+    tail = F.when(F.col("is_net"), F.concat(F.lit("/"), F.col("prefix").cast("string"))).otherwise("")
+    others = [c for c in ADDRESS_COLUMNS if c != "indicator"]
+    return bounded.select(*keep, F.concat(rendered, tail).alias("indicator"), *others)
 
 
 def network_prefix() -> Column:
@@ -302,38 +268,31 @@ def sites_48() -> Column:
 # ------------------------------------------------------------------ classification
 
 
-def _bounds(cidr: str) -> tuple[Column, Column]:
+def _bounds(cidr: str) -> tuple[str, str]:
     net = ipaddress.ip_network(cidr)
+    ends = (net.network_address, net.broadcast_address)
     if net.version == 4:
-        return F.lit(int(net.network_address)), F.lit(int(net.broadcast_address))
-    return (
-        F.lit(bytearray(net.network_address.packed)),
-        F.lit(bytearray(net.broadcast_address.packed)),
-    )
+        return tuple(f"{int(a)}L" for a in ends)
+    return tuple(f"X'{a.packed.hex()}'" for a in ends)
 
 
-def _point_in(point: Column, cidrs: tuple[str, ...]) -> Column:
-    out = F.lit(False)
-    for cidr in cidrs:
-        low, high = _bounds(cidr)
-        out = out | ((point >= low) & (point <= high))
-    return out
+def _point_in(point: str, cidrs: tuple[str, ...]) -> str:
+    spans = [_bounds(c) for c in cidrs]
+    return "(" + " or ".join(f"({point} >= {lo} and {point} <= {hi})" for lo, hi in spans) + ")"
 
 
-def _span_in(low_end: Column, high_end: Column, cidrs: tuple[str, ...]) -> Column:
-    out = F.lit(False)
-    for cidr in cidrs:
-        low, high = _bounds(cidr)
-        out = out | ((low_end >= low) & (high_end <= high))
-    return out
+def _span_in(low: str, high: str, cidrs: tuple[str, ...]) -> str:
+    spans = [_bounds(c) for c in cidrs]
+    return "(" + " or ".join(f"({low} >= {lo} and {high} <= {hi})" for lo, hi in spans) + ")"
 
 
-def _special(lo: Column, hi: Column, private, private_except, reserved, multicast) -> Column:
-    is_private = (
-        _span_in(lo, hi, private) & ~_point_in(lo, private_except) & ~_point_in(hi, private_except)
+def _special(lo: str, hi: str, private, private_except, reserved, multicast) -> str:
+    exempt = f"({_point_in(lo, private_except)} or {_point_in(hi, private_except)})"
+    return (
+        f"(({_span_in(lo, hi, private)} and not {exempt}) "
+        f"or ({_point_in(lo, reserved)} and {_point_in(hi, reserved)}) "
+        f"or {_span_in(lo, hi, multicast)})"
     )
-    is_reserved = _point_in(lo, reserved) & _point_in(hi, reserved)
-    return is_private | is_reserved | _span_in(lo, hi, multicast)
 
 
 def is_global() -> Column:
@@ -342,12 +301,13 @@ def is_global() -> Column:
     A network is special only if both of its ends are.
     """
     v4 = _special(
-        F.col("lo"), F.col("hi"), K.V4_PRIVATE, K.V4_PRIVATE_EXCEPT, K.V4_RESERVED, K.V4_MULTICAST
+        "lo", "hi", K.V4_PRIVATE, K.V4_PRIVATE_EXCEPT, K.V4_RESERVED, K.V4_MULTICAST
     )
     v6 = _special(
-        F.col("lo6"), F.col("hi6"), K.V6_PRIVATE, K.V6_PRIVATE_EXCEPT, K.V6_RESERVED, K.V6_MULTICAST
+        "e.a", "e.b", K.V6_PRIVATE, K.V6_PRIVATE_EXCEPT, K.V6_RESERVED, K.V6_MULTICAST
     )
-    return ~F.when(F.col("family") == 4, v4).otherwise(v6)
+    ends = "struct(lo6 as a, hi6 as b)"
+    return F.expr(f"not if(family = 4, {v4}, {_let('e', ends, v6)})")
 
 
 # ------------------------------------------------------------------ blocks and buckets
@@ -377,6 +337,12 @@ def spectrum_buckets() -> Column:
     )
 
 
+def _words6(value: Column) -> list[Column]:
+    return [
+        F.conv(F.hex(F.substring(value, 1 + 4 * i, 4)), 16, 10).cast("bigint") for i in range(4)
+    ]
+
+
 def v6_decimal_text(value: Column) -> Column:
     """128-bit value as decimal text.
 

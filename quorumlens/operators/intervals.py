@@ -125,7 +125,7 @@ def _blocks_around(starts: DataFrame) -> DataFrame:
         F.lit(6).cast("tinyint").alias("_f"),
         "_p",
         none.cast("bigint").alias("_k4"),
-        v6_network(F.col("lo6"), F.col("_p")).alias("_k6"),
+        v6_network("lo6", "_p").alias("_k6"),
     )
     return keys4.unionByName(keys6).distinct().withColumn("_contains", F.lit(True))
 
@@ -193,7 +193,7 @@ def aggregated_runs(networks: DataFrame) -> DataFrame:
         F.explode(
             F.sequence(F.greatest(F.col("prefix") - F.lit(120), F.lit(0)), F.col("prefix"))
         ).alias("block_prefix"),
-    ).withColumn("block", v6_network(F.col("lo6"), F.col("block_prefix")))
+    ).withColumn("block", v6_network("lo6", "block_prefix"))
     own = nets.select(
         F.col("prefix").alias("block_prefix"), F.col("lo6").alias("block"), F.lit(True).alias("_listed")
     ).distinct()
@@ -226,7 +226,7 @@ def aggregated_runs(networks: DataFrame) -> DataFrame:
         (F.col("block_prefix") + 1).alias("block_prefix"),
         F.col("block").alias("_parent"),
     )
-    child = full.withColumn("_parent", v6_network(F.col("block"), F.col("block_prefix") - 1))
+    child = full.withColumn("_parent", v6_network("block", "(block_prefix - 1)"))
     roots = child.join(parents, ["block_prefix", "_parent"], "left_anti").drop("_parent")
     members = chain.join(roots, ["block_prefix", "block"]).select(
         "block_prefix", "block", F.col("indicator").alias("member")

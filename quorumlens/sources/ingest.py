@@ -203,8 +203,8 @@ def range_list(raw: DataFrame, sources: DataFrame, fetched) -> DataFrame:
     rows = rows.withColumns({"_start": F.get("_p", F.lit(0)), "_end": F.get("_p", F.lit(1))})
     rows = rows.withColumns(
         {
-            "_a": F.when(F.size("_p") >= 3, A.v4_number(F.col("_start"))),
-            "_b": F.when(F.size("_p") >= 3, A.v4_number(F.col("_end"))),
+            "_a": F.when(F.size("_p") >= 3, A.v4_number("_start")),
+            "_b": F.when(F.size("_p") >= 3, A.v4_number("_end")),
         }
     )
     good = F.coalesce(F.col("_a") <= F.col("_b"), F.lit(False))
