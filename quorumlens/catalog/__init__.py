@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from quorumlens.catalog import scoring_queries  # noqa: F401
+from quorumlens.catalog import address_queries, safety_queries, scoring_queries  # noqa: F401
 from quorumlens.catalog.registry import ORACLE, QUERIES  # noqa: F401
