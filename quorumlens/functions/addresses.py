@@ -204,7 +204,10 @@ def with_address(df: DataFrame, text: str, accept: str = "entry") -> DataFrame:
     ).when(F.col("family") == 6, v6_text("lo6"))
     tail = F.when(F.col("is_net"), F.concat(F.lit("/"), F.col("prefix").cast("string"))).otherwise("")
     others = [c for c in ADDRESS_COLUMNS if c != "indicator"]
-    return bounded.select(*keep, F.concat(rendered, tail).alias("indicator"), *others)
+    named = bounded.select(*keep, F.concat(rendered, tail).alias("indicator"), *others)
+    # A one-row generator: filters on the parsed columns stay above it.  Pushed down, they would
+    # repeat the whole parse inside their condition.
+    return named.select(*keep, F.inline(F.array(F.struct(*ADDRESS_COLUMNS))))
 
 
 def network_prefix() -> Column:
