@@ -1,4 +1,9 @@
 """All registered queries."""
 
-from quorumlens.catalog import address_queries, safety_queries, scoring_queries  # noqa: F401
+from quorumlens.catalog import (  # noqa: F401
+    address_queries,
+    safety_queries,
+    scoring_queries,
+    statistics_queries,
+)
 from quorumlens.catalog.registry import ORACLE, QUERIES  # noqa: F401

@@ -48,7 +48,10 @@ def _spread(ranges: DataFrame, payload: list[str]) -> DataFrame:
         "_family",
         "_bucket",
         "_salt",
-        F.greatest(F.col("lo"), F.shiftleft(F.col("_bucket").cast("bigint"), 16)).alias("_at"),
+        F.when(
+            F.col("_family") == 4,
+            F.greatest(F.col("lo"), F.shiftleft(F.col("_bucket").cast("bigint"), 16)),
+        ).alias("_at"),
         F.col("lo6").alias("_at6"),
         F.lit(0).alias("_kind"),
         "_range",
