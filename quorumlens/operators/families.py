@@ -27,34 +27,28 @@ def observation_coverage(observations: DataFrame, sources: DataFrame) -> DataFra
     )
 
 
-def _distinct_items(published: DataFrame, column: str, out: str) -> DataFrame:
-    return (
-        published.select("family", F.explode(column).alias("_x"))
-        .distinct()
-        .groupBy("family")
-        .agg(F.count("*").alias(out))
-    )
+def _distinct_items(column: str) -> Column:
+    """Distinct array elements in a group.
+
+    Gathers distinct arrays first; they are sets of registry names, so there are few.
+    """
+    return F.size(F.array_distinct(F.flatten(F.collect_set(column)))).cast("bigint")
 
 
 def family_stats(published: DataFrame) -> DataFrame:
-    """Counts, scope and breadth per family."""
-    base = published.groupBy("family").agg(
-        F.count("*").alias("published"),
-        F.count_if(F.col("band") == "high").alias("high"),
-        F.count_if(F.col("band") == "medium").alias("medium"),
-        F.sum(A.subnets_64()).alias("blast_radius_64"),
-    )
-    allocations = (
-        published.select("family", A.allocation_key().alias("_a"))
-        .distinct()
-        .groupBy("family")
-        .agg(F.count("*").alias("distinct_allocations"))
-    )
-    out = base.join(allocations, "family", "left")
-    for column, name in (("independence_classes", "independence_classes"), ("sources", "sources")):
-        out = out.join(_distinct_items(published, column, name), "family", "left")
-    return out.fillna(0, subset=["distinct_allocations", "independence_classes", "sources"]).withColumn(
-        "address_family", A.address_family()
+    """Counts, scope and breadth per family, in one pass."""
+    return (
+        published.groupBy("family")
+        .agg(
+            F.count("*").alias("published"),
+            F.count_if(F.col("band") == "high").alias("high"),
+            F.count_if(F.col("band") == "medium").alias("medium"),
+            F.sum(A.subnets_64()).alias("blast_radius_64"),
+            F.count_distinct(A.allocation_key()).alias("distinct_allocations"),
+            _distinct_items("independence_classes").alias("independence_classes"),
+            _distinct_items("sources").alias("sources"),
+        )
+        .withColumn("address_family", A.address_family())
     )
 
 
@@ -116,41 +110,27 @@ def ipv6_totals(published: DataFrame) -> DataFrame:
 
 def flat_dimensions(published: DataFrame) -> DataFrame:
     """Analyses without signal per family: those whose dimension has fewer than two values."""
-    plain = published.groupBy("family").agg(
+    wide = published.groupBy("family").agg(
         F.count_distinct("score").alias("Score distribution"),
         F.count_distinct("band").alias("Band split"),
-        F.count_distinct(F.array_sort("categories")).alias("Category breakdown"),
-    )
-    wide = (
-        plain.join(
-            _distinct_items(published, "independence_classes", "Corroboration histogram"),
-            "family",
-            "left",
-        )
-        .join(_distinct_items(published, "sources", "Added and removed each run"), "family", "left")
-        .fillna(0)
+        F.count_distinct("categories").alias("Category breakdown"),
+        _distinct_items("independence_classes").alias("Corroboration histogram"),
+        _distinct_items("sources").alias("Added and removed each run"),
     )
     names = [c for c in wide.columns if c != "family"]
-    long = wide.unpivot("family", names, "analysis", "distinct_values").filter("distinct_values < 2")
-    unknown = wide.filter("family = 6").select(
-        "family",
+    counts = F.array(*[F.struct(F.lit(n).alias("analysis"), F.col(f"`{n}`").alias("distinct_values")) for n in names])
+    none = F.struct(
         F.lit("Network and ASN persistence").alias("analysis"),
         F.lit(0).cast("bigint").alias("distinct_values"),
     )
-    return long.unionByName(unknown)
+    every = F.when(F.col("family") == 6, F.array_append(counts, none)).otherwise(counts)
+    return wide.select("family", F.inline(every)).filter("distinct_values < 2")
 
 
 def concentration(published: DataFrame) -> DataFrame:
     """Families resting on fewer than two classes."""
-    classes = _distinct_items(published, "independence_classes", "classes")
     return (
         published.groupBy("family")
-        .agg(F.count("*").alias("entries"))
-        .join(classes, "family", "left")
-        .select(
-            "family",
-            "entries",
-            F.coalesce("classes", F.lit(0)).alias("classes"),
-            (F.coalesce("classes", F.lit(0)) < 2).alias("single_class"),
-        )
+        .agg(F.count("*").alias("entries"), _distinct_items("independence_classes").alias("classes"))
+        .withColumn("single_class", F.col("classes") < 2)
     )
