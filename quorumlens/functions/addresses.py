@@ -102,14 +102,15 @@ def _v6_bytes_sql(text: str) -> str:
 
 
 def _v6_masked_sql(value: str, prefix: str, low: bool) -> str:
-    """Bytes with the host bits cleared (``low``) or set."""
-    word = "cast(conv(hex(substr(b.v, 4 * i + 1, 4)), 16, 10) as bigint)"
-    host = "(shiftleft(1L, 32 - greatest(0, least(32, b.p - 32 * i))) - 1L)"
-    masked = f"({word} - ({word} & {host}))" if low else f"({word} | {host})"
-    body = (
-        f"unhex(concat_ws('', transform(array(0, 1, 2, 3), i -> lpad(hex({masked}), 8, '0'))))"
+    """Bytes with the host bits cleared (``low``) or set: whole hex digits, one split digit, fill."""
+    digit = f"cast(conv(substr(hex({value}), {prefix} div 4 + 1, 1), 16, 10) as bigint)"
+    host = f"(shiftleft(1L, cast(4 - {prefix} % 4 as int)) - 1L)"
+    split = f"hex({digit} - ({digit} & {host}))" if low else f"hex({digit} | {host})"
+    fill = "0" if low else "F"
+    return (
+        f"if({prefix} >= 128, {value}, unhex(rpad(concat(substr(hex({value}), 1, cast({prefix} div 4 as int)), "
+        f"if({prefix} % 4 = 0, '', {split})), 32, '{fill}')))"
     )
-    return _let("b", f"struct({value} as v, {prefix} as p)", f"if(b.p >= 128, b.v, {body})")
 
 
 def v6_network(value: str, prefix: str) -> Column:
@@ -141,6 +142,16 @@ def v6_text(value: str) -> Column:
 # ------------------------------------------------------------------ whole entries
 
 
+def fence(df: DataFrame, *columns: str) -> DataFrame:
+    """Pass ``columns`` through a one-row generator, so that filters on them stay above it.
+
+    A filter pushed below the projection that computes a column repeats the whole computation inside
+    its condition; for parsed columns that is the dearest part of the job.
+    """
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    return df.select(*rest, F.inline(F.array(F.struct(*columns))))
+
+
 def with_address(df: DataFrame, text: str, accept: str = "entry") -> DataFrame:
     """Parse column ``text`` and add the address columns; ``indicator`` is NULL if malformed.
 
@@ -205,9 +216,22 @@ def with_address(df: DataFrame, text: str, accept: str = "entry") -> DataFrame:
     tail = F.when(F.col("is_net"), F.concat(F.lit("/"), F.col("prefix").cast("string"))).otherwise("")
     others = [c for c in ADDRESS_COLUMNS if c != "indicator"]
     named = bounded.select(*keep, F.concat(rendered, tail).alias("indicator"), *others)
-    # A one-row generator: filters on the parsed columns stay above it.  Pushed down, they would
-    # repeat the whole parse inside their condition.
-    return named.select(*keep, F.inline(F.array(F.struct(*ADDRESS_COLUMNS))))
+    return fence(named, *ADDRESS_COLUMNS)
+
+
+def v4_network_columns(low: Column, prefix: Column) -> dict[str, Column]:
+    """Address columns of an IPv4 network given by number, without going through text."""
+    none = F.lit(None).cast("binary")
+    return {
+        "indicator": F.concat(v4_text(low), F.lit("/"), prefix.cast("string")),
+        "family": F.lit(4).cast("tinyint"),
+        "is_net": F.lit(True),
+        "prefix": prefix.cast("int"),
+        "lo": low,
+        "hi": low + _pow2(F.lit(32) - prefix) - F.lit(1),
+        "lo6": none,
+        "hi6": none,
+    }
 
 
 def network_prefix() -> Column:
@@ -376,26 +400,31 @@ def cover_v4_range(df: DataFrame, start: str, end: str) -> DataFrame:
     come out of one range, added as ``block_lo`` and ``block_prefix``.
     """
 
-    def candidates(k: Column) -> Column:
-        size = _pow2(k)
-        a, b = F.col(start), F.col(end)
-        first = F.ceil(a / size).cast("bigint") * size
-        last = (F.floor((b + F.lit(1)) / size).cast("bigint") - F.lit(1)) * size
-
-        def block(at: Column) -> Column:
-            parent = at - at % (size * F.lit(2))
-            fits = (at >= a) & (at + size - F.lit(1) <= b)
-            parent_fits = (parent >= a) & (parent + size * F.lit(2) - F.lit(1) <= b) & (k < 32)
-            return F.when(
-                fits & ~parent_fits,
-                F.struct(at.alias("block_lo"), (F.lit(32) - k).cast("int").alias("block_prefix")),
-            )
-
-        return F.array(block(first), block(last))
-
-    blocks = F.array_distinct(
-        F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(32)), candidates)))
+    top = F.floor(F.log2(F.col(end) - F.col(start) + F.lit(1))).cast("int")
+    levels = df.select("*", F.explode(F.sequence(F.lit(0), top)).alias("_k"))
+    size = _pow2(F.col("_k"))
+    low, high = F.col(start), F.col(end)
+    up = low + size - F.lit(1)
+    down = high + F.lit(1)
+    placed = levels.withColumns(
+        {"_size": size, "_first": up - up % size, "_last": down - down % size - size}
     )
-    return df.withColumn("_b", F.explode(blocks)).select(
-        *df.columns, F.col("_b.block_lo"), F.col("_b.block_prefix")
+
+    def block(at: str, wanted: Column) -> Column:
+        span = F.col("_size") * F.lit(2)
+        parent = F.col(at) - F.col(at) % span
+        fits = (F.col(at) >= low) & (F.col(at) + F.col("_size") - F.lit(1) <= high)
+        parent_fits = (parent >= low) & (parent + span - F.lit(1) <= high) & (F.col("_k") < 32)
+        return F.when(wanted & fits & ~parent_fits, F.col(at))
+
+    first = block("_first", F.lit(True))
+    last = block("_last", F.col("_last") != F.col("_first"))
+    return (
+        placed.select(
+            *df.columns,
+            (F.lit(32) - F.col("_k")).cast("int").alias("block_prefix"),
+            F.explode(F.array(first, last)).alias("block_lo"),
+        )
+        .filter("block_lo is not null")
+        .select(*df.columns, "block_lo", "block_prefix")
     )

@@ -82,6 +82,7 @@ def prior_level(tags: Column) -> Column:
 
 
 def score_bucket(score: Column) -> Column:
-    """Upstream score floored to a multiple of 25 within 0..100."""
+    """Upstream score floored to a multiple of 25 within 0..100; NULL without a score."""
     down = F.floor(score.cast("double") / 25).cast("int") * 25
-    return F.least(F.lit(100), F.greatest(F.lit(0), down))
+    clamped = F.least(F.lit(100), F.greatest(F.lit(0), down))
+    return F.when(score.isNotNull(), clamped)

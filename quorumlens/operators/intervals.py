@@ -189,13 +189,16 @@ def aggregated_runs(networks: DataFrame) -> DataFrame:
     the block, exactly, in DECIMAL.
     """
     nets = networks.select("lo6", "prefix", "indicator").distinct()
-    chain = nets.select(
+    # n networks of at least the shortest prefix p cannot fill a block wider than p - log2(n).
+    widest = nets.agg(
+        (F.min("prefix") - F.floor(F.log2(F.count("*"))).cast("int")).alias("p")
+    ).scalar()
+    lowest = F.greatest(F.col("prefix") - F.lit(120), F.col("_widest"), F.lit(0))
+    chain = nets.withColumn("_widest", widest).select(
         "lo6",
         "prefix",
         "indicator",
-        F.explode(
-            F.sequence(F.greatest(F.col("prefix") - F.lit(120), F.lit(0)), F.col("prefix"))
-        ).alias("block_prefix"),
+        F.explode(F.sequence(lowest, F.col("prefix"))).alias("block_prefix"),
     ).withColumn("block", v6_network("lo6", "block_prefix"))
     own = nets.select(
         F.col("prefix").alias("block_prefix"), F.col("lo6").alias("block"), F.lit(True).alias("_listed")

@@ -147,7 +147,7 @@ NETBLOCK_SCHEMA = "type string, cidr string, sblid string, rir string, copyright
 
 
 def _ndjson(raw: DataFrame) -> DataFrame:
-    return _content(raw, "").withColumn("_j", F.from_json("_l", NETBLOCK_SCHEMA))
+    return A.fence(_content(raw, "").withColumn("_j", F.from_json("_l", NETBLOCK_SCHEMA)), "_j")
 
 
 def netblock_json(raw: DataFrame, sources: DataFrame, fetched) -> DataFrame:
@@ -207,10 +207,11 @@ def range_list(raw: DataFrame, sources: DataFrame, fetched) -> DataFrame:
             "_b": F.when(F.size("_p") >= 3, A.v4_number("_end")),
         }
     )
+    rows = A.fence(rows.select("source", "_p", "_start", "_end", "_a", "_b"), "_a", "_b")
     good = F.coalesce(F.col("_a") <= F.col("_b"), F.lit(False))
-    four = A.cover_v4_range(rows.filter(good), "_a", "_b").select(
-        "source", F.concat(A.v4_text(F.col("block_lo")), F.lit("/"), F.col("block_prefix")).alias("_e")
-    )
+    cut = A.cover_v4_range(rows.filter(good).select("source", "_a", "_b"), "_a", "_b")
+    named = A.v4_network_columns(F.col("block_lo"), F.col("block_prefix"))
+    four = cut.select("source", *[c.alias(n) for n, c in named.items()])
     rest = rows.filter(~good)
     paired = (
         F.col("_start").contains(":") & F.col("_end").contains(":") & (F.size("_p") >= 3)
@@ -221,8 +222,8 @@ def range_list(raw: DataFrame, sources: DataFrame, fetched) -> DataFrame:
     bad = rest.filter(~F.coalesce(paired, F.lit(False))).select(
         "source", F.lit(None).cast("string").alias("_e")
     )
-    blocks = four.unionByName(six).unionByName(bad)
-    return _finish(_with_source(A.with_address(blocks, "_e", "network"), sources), fetched)
+    other = A.with_address(six.unionByName(bad), "_e", "network").drop("_e")
+    return _finish(_with_source(four.unionByName(other), sources), fetched)
 
 
 def dated_tab_list(raw: DataFrame, sources: DataFrame, fetched) -> DataFrame:
@@ -286,7 +287,7 @@ def tagged_csv(raw: DataFrame, sources: DataFrame, fetched) -> DataFrame:
         raw = raw.filter(stripped(F.col("line")) != "").withColumn("_c", csv).select(
             "source", "_c.address", "_c.tags_text"
         )
-    rows = raw.withColumn("_e", stripped(F.coalesce("address", F.lit("")))).filter(
+    rows = A.fence(raw.withColumn("_e", stripped(F.coalesce("address", F.lit("")))), "_e").filter(
         "_e <> '' and _e not like '#%' and _e <> 'Address'"
     )
     rows = _with_source(A.with_address(rows, "_e", "address"), sources)
@@ -320,7 +321,9 @@ def _iso_time(text: Column) -> Column:
 
 def ioc_json(raw: DataFrame, sources: DataFrame, fetched) -> DataFrame:
     """``{query_status, data: [{ioc: "ip:port", ...}]}`` with the upstream's own dates."""
-    doc = raw.withColumn("_j", F.from_json("payload", IOC_SCHEMA)).filter("_j.query_status = 'ok'")
+    doc = A.fence(raw.withColumn("_j", F.from_json("payload", IOC_SCHEMA)), "_j").filter(
+        "_j.query_status = 'ok'"
+    )
     rows = doc.select("source", F.explode("_j.data").alias("_d")).filter(
         "_d.ioc_type = 'ip:port'"
     )
@@ -357,7 +360,7 @@ CONFIDENCE_SCHEMA = (
 
 def confidence_json(raw: DataFrame, sources: DataFrame, fetched) -> DataFrame:
     """``{data: [{ipAddress, abuseConfidenceScore, ...}]}``; a payload with errors has no rows."""
-    doc = raw.withColumn("_j", F.from_json("payload", CONFIDENCE_SCHEMA)).filter(
+    doc = A.fence(raw.withColumn("_j", F.from_json("payload", CONFIDENCE_SCHEMA)), "_j").filter(
         F.coalesce(F.col("_j.errors"), F.lit("")).isin("", "[]", "{}", "null", "false", "0")
     )
     rows = doc.select("source", F.explode("_j.data").alias("_d"))
