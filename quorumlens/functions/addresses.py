@@ -37,7 +37,7 @@ def _pow2(exponent: Column) -> Column:
 
 def _v4_number_sql(text: str) -> str:
     number = " + ".join(
-        f"try_cast(get(split({text}, '[.]'), {i}) as bigint) * {256 ** (3 - i)}L" for i in range(4)
+        f"try_cast(split_part({text}, '.', {i + 1}) as bigint) * {256 ** (3 - i)}L" for i in range(4)
     )
     return f"if({text} rlike '{V4_PATTERN}', {number}, null)"
 
