@@ -489,7 +489,23 @@ def _listed_blocks(spark, sf):
     return A.with_address(line.filter("k % 7 <> 3").select(text.alias("t")).distinct(), "t", "network").drop("t")
 
 
-@query("jn14_contiguous_runs")
+# Blocks of 2**p units of /48, full when every unit is listed; the widest full ones that hold several
+# listed networks.
+_RUNS14 = """nets AS (SELECT DISTINCT 4096 + k AS u0, CASE WHEN m = 0 THEN 47 ELSE 48 END AS prefix FROM (SELECT DISTINCT l_partkey % 4096 AS k, l_suppkey % 5 AS m FROM lineitem) WHERE k % 7 <> 3),
+nets2 AS (SELECT DISTINCT CASE WHEN prefix = 47 THEN u0 // 2 * 2 ELSE u0 END AS u, prefix FROM nets),
+units AS (SELECT u FROM nets2 UNION SELECT u + 1 FROM nets2 WHERE prefix = 47),
+full_blocks AS (SELECT p, u // (1 << p) AS b FROM units, (SELECT unnest(generate_series(0, 13)) AS p) GROUP BY ALL HAVING count(*) = 1 << p),
+roots AS (SELECT * FROM full_blocks f WHERE NOT EXISTS (SELECT 1 FROM full_blocks g WHERE g.p = f.p + 1 AND g.b = f.b // 2)),
+mem AS (SELECT r.p, r.b, n.u, n.prefix, count(*) OVER (PARTITION BY r.p, r.b) AS members FROM roots r JOIN nets2 n ON n.u // (1 << r.p) = r.b AND 48 - n.prefix <= r.p)"""
+
+
+@query(
+    "jn14_contiguous_runs",
+    D.with_sql(
+        _RUNS14,
+        select="SELECT concat('2a00:5:', printf('%x', b * (1 << p)), '::/', 48 - p) AS aggregate, concat('2a00:5:', printf('%x', u), '::/', prefix) AS member, members FROM mem WHERE members > 1",
+    ),
+)
 def jn14(spark, sf):
     """Neighbouring IPv6 networks and the block they fill together."""
     runs = intervals.aggregated_runs(_listed_blocks(spark, sf))
