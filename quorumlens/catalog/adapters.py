@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quorumlens.functions import addresses as A
 from quorumlens.operators.corroborate import Rules
-from quorumlens.sources.registry import REGISTRY_SCHEMA
+from quorumlens.sources.registry import REGISTRY_SCHEMA, dimension
 
 AS_OF = "2024-01-31"
 CUT = "2024-01-17"
@@ -64,6 +64,11 @@ def sources(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(_SOURCES, REGISTRY_SCHEMA)
 
 
+def source_dimension(spark: SparkSession, *columns) -> DataFrame:
+    """Registry columns keyed by ``source``, for joining observations."""
+    return dimension(sources(spark), F.col("name").alias("source"), *columns)
+
+
 def _sql_value(v) -> str:
     if v is None:
         return "NULL"

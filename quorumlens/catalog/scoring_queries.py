@@ -186,7 +186,7 @@ def ag39(spark, sf):
 )
 def jn01(spark, sf):
     """Observations with the class and weight of their source."""
-    dim = D.sources(spark).select(F.col("name").alias("source"), "independence_class", "weight")
+    dim = D.source_dimension(spark, "independence_class", "weight")
     counted = D.observations(spark, sf).groupBy("source").agg(F.count("*").alias("observations"))
     return counted.join(dim, "source")
 
@@ -199,7 +199,7 @@ _ROWS = (
 @query("fn19_vote_contribution", sql(_ROWS))
 def fn19(spark, sf):
     """Weight x recency x severity per observation, a fifth for unvouched evidence."""
-    dim = D.sources(spark).select(F.col("name").alias("source"), "weight", "ttl_days", "dormant")
+    dim = D.source_dimension(spark, "weight", "ttl_days", "dormant")
     ok = S.vouched(F.col("evidence_stale"), F.col("dormant"))
     value = (
         F.col("weight")
@@ -223,7 +223,7 @@ def fn19(spark, sf):
 )
 def fn17(spark, sf):
     """Linear decay to 0.2 over the source's time to live."""
-    dim = D.sources(spark).select(F.col("name").alias("source"), "ttl_days")
+    dim = D.source_dimension(spark, "ttl_days")
     value = S.recency_factor(F.col("last_seen"), S.moment(D.AS_OF), F.col("ttl_days"))
     return (
         D.observations(spark, sf)
@@ -294,7 +294,7 @@ def fn21(spark, sf):
 )
 def fn22(spark, sf):
     """Neither stale nor dormant."""
-    dim = D.sources(spark).select(F.col("name").alias("source"), "dormant")
+    dim = D.source_dimension(spark, "dormant")
     return (
         D.observations(spark, sf)
         .join(dim, "source")
@@ -354,7 +354,7 @@ def fn34(spark, sf):
 )
 def fl06(spark, sf):
     """Rows that vote against rows that only annotate."""
-    dim = D.sources(spark).select(F.col("name").alias("source"), "independence_class", "vote")
+    dim = D.source_dimension(spark, "independence_class", "vote")
     return (
         D.observations(spark, sf)
         .join(dim, "source")

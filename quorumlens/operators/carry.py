@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quorumlens.functions import constants as K
 from quorumlens.functions import scoring as S
 from quorumlens.functions.addresses import ADDRESS_COLUMNS
+from quorumlens.sources.registry import dimension
 
 
 def latest_sightings(observations: DataFrame) -> DataFrame:
@@ -62,7 +63,8 @@ def carried_observations(
     prior = state.select(
         "indicator", F.col("first_seen").alias("_first"), F.explode("sightings").alias("_s")
     ).select("indicator", "_first", "_s.source", F.col("_s.last_seen").alias("_last"))
-    dim = sources.filter("enabled and vote and ttl_days > 0").select(
+    dim = dimension(
+        sources.filter("enabled and vote and ttl_days > 0"),
         F.col("name").alias("source"),
         "independence_class",
         "categories",

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from quorumlens.functions import constants as K
 from quorumlens.functions import scoring as S
 from quorumlens.functions.addresses import ADDRESS_COLUMNS
-from quorumlens.sources.registry import TIERS, in_tier
+from quorumlens.sources.registry import TIERS, dimension, in_tier
 
 
 @dataclass(frozen=True)
@@ -55,8 +55,11 @@ def evidence(
 ) -> DataFrame:
     """One row per (indicator, source, labels) with the strongest evidence found there."""
     now = S.moment(as_of)
-    dim = sources.select(
-        F.col("name").alias("source"), F.col("ttl_days").alias("_ttl"), F.col("dormant").alias("_dormant")
+    dim = dimension(
+        sources,
+        F.col("name").alias("source"),
+        F.col("ttl_days").alias("_ttl"),
+        F.col("dormant").alias("_dormant"),
     )
     obs = complete(observations).join(dim, "source", "left")
     ok = S.vouched(F.col("evidence_stale"), F.col("_dormant"))
@@ -81,7 +84,8 @@ def profiles(
     keys: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per indicator holding all its evidence (array ``rows``) and what no tier changes."""
-    dim = sources.select(
+    dim = dimension(
+        sources,
         F.col("name").alias("source"),
         "ord",
         "independence_class",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quorumlens.functions import constants as K
 from quorumlens.functions import measures as M
+from quorumlens.sources.registry import dimension
 
 
 def patterns(observations: DataFrame, member: Column, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -27,8 +28,10 @@ def patterns(observations: DataFrame, member: Column, keys: tuple[str, ...] = ()
 
 def class_patterns(observations: DataFrame, sources: DataFrame) -> DataFrame:
     """Patterns of voting classes."""
-    dim = sources.select(
-        F.col("name").alias("source"), F.when(F.col("vote"), F.col("independence_class")).alias("_class")
+    dim = dimension(
+        sources,
+        F.col("name").alias("source"),
+        F.when(F.col("vote"), F.col("independence_class")).alias("_class"),
     )
     rows = observations.select("indicator", "source").join(dim, "source", "left")
     return patterns(rows, F.col("_class"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quorumlens.functions import measures as M
-from quorumlens.sources.registry import TIERS, tier_sources
+from quorumlens.sources.registry import TIERS, dimension, tier_sources
 
 
 def run_counts(judged: DataFrame) -> DataFrame:
@@ -41,8 +41,8 @@ def corroboration_histogram(published: DataFrame) -> DataFrame:
 
 def provenance(published: DataFrame, sources: DataFrame) -> DataFrame:
     """One row per (entry, source) with class, weight and flags of the source."""
-    dim = sources.select(
-        F.col("name").alias("source"), "independence_class", "weight", "vote", "redistribute"
+    dim = dimension(
+        sources, F.col("name").alias("source"), "independence_class", "weight", "vote", "redistribute"
     )
     return published.select(
         "tier", "indicator", "band", "score", F.explode("sources").alias("source")

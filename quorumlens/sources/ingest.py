@@ -18,6 +18,7 @@ from quorumlens.functions import addresses as A
 from quorumlens.functions import constants as K
 from quorumlens.functions import scoring as S
 from quorumlens.functions import text as X
+from quorumlens.sources.registry import dimension
 
 OBSERVATION_COLUMNS = (
     *A.ADDRESS_COLUMNS,
@@ -79,7 +80,8 @@ def _content(raw: DataFrame, comments: str = "#") -> DataFrame:
 
 
 def _with_source(df: DataFrame, sources: DataFrame) -> DataFrame:
-    dim = sources.select(
+    dim = dimension(
+        sources,
         F.col("name").alias("source"),
         F.col("categories").alias("_categories"),
         F.col("tag_only").alias("_tag_only"),

@@ -9,6 +9,7 @@ from quorumlens.functions import addresses as A
 from quorumlens.functions import constants as K
 from quorumlens.functions import scoring as S
 from quorumlens.sources.ingest import stripped
+from quorumlens.sources.registry import dimension
 
 ALLOW_COLUMNS = ("allow_source", *A.ADDRESS_COLUMNS)
 
@@ -118,7 +119,7 @@ def stale_sources(fetches: DataFrame, sources: DataFrame, as_of) -> DataFrame:
 
 def mark_stale(observations: DataFrame, staleness: DataFrame) -> DataFrame:
     """Set evidence_stale on every row of a stale source."""
-    flags = staleness.select("source", F.col("stale").alias("_stale"))
+    flags = dimension(staleness, "source", F.col("stale").alias("_stale"))
     return (
         observations.join(flags, "source", "left")
         .withColumn("evidence_stale", F.coalesce("_stale", F.lit(False)))

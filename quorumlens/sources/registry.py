@@ -30,6 +30,23 @@ DEFAULTS = {
 
 TIERS = ("primary", "noncommercial", "permissive")
 
+BROADCAST_ROWS = 10_000
+"""Registries up to this many rows are broadcast; larger ones take an ordinary join."""
+
+
+def dimension(table: DataFrame, *columns) -> DataFrame:
+    """``columns`` of a small table for a join that must not move the observations.
+
+    The table's size is checked (one limited count, remembered on the object).  Beyond the bound the
+    join is left to Spark, which shuffles and splits skewed sources at run time.
+    """
+    small = getattr(table, "_quorumlens_small", None)
+    if small is None:
+        small = table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+        table._quorumlens_small = small
+    picked = table.select(*columns)
+    return F.broadcast(picked) if small else picked
+
 
 def overlay_defaults(raw: DataFrame, defaults: dict | None = None) -> DataFrame:
     """Fill missing registry fields; an explicit value always wins."""
