@@ -16,6 +16,7 @@ is carried along; special tokens inside a text are encoded as the library does a
 
 from __future__ import annotations
 
+from array import array
 from bisect import bisect_left
 
 import numpy as np
@@ -224,47 +225,56 @@ def reused_chunks(docs: DataFrame, path: str, reused: int = REUSED) -> dict:
     once = docs.mapInArrow(texts, "hash long, raw binary").groupBy("hash").agg(F.min("raw").alias("raw"))
     rows = once.mapInArrow(encode, "hash long, raw binary, starts array<int>, tokens array<int>, ids binary").collect()
     return {
-        r["hash"] & 0xFFFFFFFFFFFFFFFF: (bytes(r["raw"]), list(r["starts"]), list(r["tokens"]), bytes(r["ids"]))
+        r["hash"] & 0xFFFFFFFFFFFFFFFF: (bytes(r["raw"]), array("i", r["starts"]), array("i", r["tokens"]), bytes(r["ids"]))
         for r in rows
     }
 
 
-def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", reused: int = REUSED) -> DataFrame:
-    """``docs`` with ``ids_col`` (array<int>), the ids of ``text_col``; a column of that name is replaced."""
+def encoder(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", reused: int = REUSED):
+    """(function over Arrow batches, schema) that adds ``ids_col`` to ``docs``; steps can be chained in one worker."""
     text = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     known = docs.sparkSession.sparkContext.broadcast(reused_chunks(text, path, reused))
     rest = [c for c in docs.columns if c != ids_col]
-    where = rest.index(text_col)
-    schema = docs.select(*rest, F.lit(None).cast("array<int>").alias(ids_col)).schema
+    where = docs.columns.index(text_col)
+    keep = [docs.columns.index(c) for c in rest]
 
     def run(batches):
         worker = Assembler(path, known.value)
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):  # ids of few texts at a time are held
-                batch = whole.slice(at, 256)
+            for at in range(0, whole.num_rows, 128):  # ids of few texts at a time are held
+                batch = whole.slice(at, 128)
                 found = [worker.encode(t or "") for t in batch.column(where).to_pylist()]
                 ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in found])]).astype(np.int32)
                 flat = np.frombuffer(b"".join(found), "<i4")
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*rest, ids_col])
+                yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), ids], [*rest, ids_col])
 
-    return docs.select(*rest).mapInArrow(run, schema)
+    return run, docs.select(*rest, F.lit(None).cast("array<int>").alias(ids_col)).schema
 
 
-def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
-    """``df`` with ``out_col``: the text that ``ids_col`` stands for, special tokens included; null ids give ''."""
-    rest = [c for c in df.columns if c != out_col]
-    where = rest.index(ids_col)
-    schema = df.select(*rest, F.lit("").alias(out_col)).schema
+def decoder(path: str, ids_col: str = "ids", out_col: str = "decoded"):
+    """A function over Arrow batches that adds ``out_col``, the text that ``ids_col`` stands for."""
 
     def run(batches):
-        table = load(path).byte_table()
-        get = table.__getitem__
+        get = load(path).byte_table().__getitem__
         for batch in batches:
             texts = []
-            for ids in batch.column(where):
+            for ids in batch.column(batch.schema.names.index(ids_col)):
                 flat = ids.values.to_numpy(zero_copy_only=False).tolist() if ids.is_valid else []
                 texts.append(b"".join(map(get, flat)).decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*rest, out_col])
+            rest = [c for c in batch.schema.names if c != out_col]
+            columns = [batch.column(batch.schema.names.index(c)) for c in rest]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], [*rest, out_col])
+
+    return run
+
 
-    return df.select(*rest).mapInArrow(run, schema)
+def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", reused: int = REUSED) -> DataFrame:
+    """``docs`` with ``ids_col`` (array<int>), the ids of ``text_col``; a column of that name is replaced."""
+    return docs.mapInArrow(*encoder(docs, path, text_col, ids_col, reused))
+
+
+def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
+    """``df`` with ``out_col``: the text that ``ids_col`` stands for, special tokens included; null ids give ''."""
+    rest = [c for c in df.columns if c != out_col]
+    return df.mapInArrow(decoder(path, ids_col, out_col), df.select(*rest, F.lit("").alias(out_col)).schema)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorumlens.llm import bpe, records, simhash
+from quorumlens.llm import bpe, decontaminate, lines, records, simhash
 from quorumlens.llm.common import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,12 +43,13 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     """Every document encoded by chunk reuse and decoded again."""
     path = tokenizer("byte_bpe_50k.json")
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    coded = bpe.decode(bpe.encode(docs, path).select("doc_id", "ids"), path)
+    encode, _ = bpe.encoder(docs, path)
+    decode = bpe.decoder(path)
 
     def digest(batches):
-        for batch in batches:
+        for batch in decode(encode(batches)):
             n, ids, text = [], [], []
-            for i, t in zip(batch.column(1), batch.column(2).to_pylist()):
+            for i, t in zip(batch.column(2), batch.column(3).to_pylist()):
                 raw = i.values.to_numpy(zero_copy_only=False).astype("<u4", copy=False).tobytes()
                 n.append(len(raw) // 4)
                 ids.append(hashlib.sha256(raw).hexdigest())
@@ -58,7 +59,34 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    return coded.mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+_SHINGLES = r"""
+    SELECT {id} AS id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+    FROM (SELECT {id}, list_filter(regexp_split_to_array(lower(text), '\s+'), lambda x: x <> '') AS w FROM {table})
+"""
+
+
+@query(
+    "op5_decontamination",
+    f"""
+WITH d AS (SELECT DISTINCT * FROM ({_SHINGLES.format(id="doc_id", table="documents")})),
+b AS (SELECT DISTINCT * FROM ({_SHINGLES.format(id="item_id", table="benchmark")})),
+size AS (SELECT id, count(*) AS n FROM b GROUP BY id)
+SELECT d.id AS doc_id, b.id AS item_id, count(*) AS shared, any_value(size.n) AS item_shingles
+FROM d JOIN b ON d.s = b.s JOIN size ON size.id = b.id
+GROUP BY d.id, b.id HAVING count(*) >= 0.8 * any_value(size.n) - 1e-9
+""",
+)
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    """Every test item that a document contains at 0.8 or more of its five-word shingles."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = decontaminate.search(docs, table(spark, sf, "benchmark"))
+    return found.select("doc_id", F.explode("matches").alias("m")).select(
+        "doc_id", "m.item_id", F.col("m.shared").cast("long").alias("shared"), F.col("m.of").cast("long").alias("item_shingles")
+    )
 
 
 @query("op6_token_records")
@@ -69,7 +97,7 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
     )
 
     def digest(batches):
-        for batch in batches:
+        for batch in records.scanner(batches):
             crc = [
                 zlib.crc32(ids.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes())
                 for ids in batch.column(5)
@@ -79,13 +107,49 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
                 [*keep, pa.array(np.array(crc, np.int64))], ["shard", "position", "doc_id", "n_tokens", "ids_crc32"]
             )
 
-    found = records.scan_records(spark, folder).mapInArrow(
+    found = records.files_of(spark, folder).mapInArrow(
         digest, "shard string, position long, doc_id long, n_tokens long, ids_crc32 long"
     )
     index = spark.read.parquet(f"{folder}/index").select("shard", "position", "start")
     return found.join(index, ["shard", "position"]).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+#: Kept lines of ``documents``, after the same rule over plain joins; also the second stage of the pipeline.
+LINES_SQL = r"""
+lines AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS k,
+    unnest(string_split(text, chr(10))) AS line FROM {docs}),
+sets AS (SELECT doc_id, k, line,
+    list_sort(list_distinct(list_filter(regexp_split_to_array(lower(line), '\s+'), lambda x: x <> ''))) AS w FROM lines),
+firsts AS (SELECT w, len(w) AS n, min(struct_pack(d := doc_id, k := k)) AS place FROM sets
+    WHERE len(w) > 0 GROUP BY w),
+numbered AS (SELECT row_number() OVER (ORDER BY place) AS c, * FROM firsts),
+tokens AS (SELECT c, n, unnest(w) AS t FROM numbered),
+pairs AS (SELECT x.c AS c, any_value(x.n) + any_value(y.n) AS sizes, count(*) AS shared FROM tokens x JOIN tokens y
+    ON x.t = y.t AND y.c < x.c AND least(x.n, y.n) >= 0.8 * greatest(x.n, y.n) - 1e-9 GROUP BY x.c, y.c),
+kept AS (SELECT place.d AS doc_id, place.k AS k FROM numbered
+    WHERE c NOT IN (SELECT c FROM pairs WHERE shared * 1.8 >= sizes * 0.8 - 1e-9)
+    UNION ALL SELECT doc_id, k FROM sets WHERE len(w) = 0),
+deduped AS (SELECT s.doc_id, coalesce(string_agg(s.line, chr(10) ORDER BY s.k) FILTER (k.k IS NOT NULL), '') AS text,
+    count(*) AS n_lines, count(*) - count(k.k) AS n_removed
+    FROM sets s LEFT JOIN kept k ON s.doc_id = k.doc_id AND s.k = k.k GROUP BY s.doc_id)
+"""
+
+
+@query(
+    "op7_line_dedup",
+    f"WITH {LINES_SQL.format(docs='documents')} SELECT doc_id, n_lines, n_removed, text AS kept_text FROM deduped",
+)
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without the lines that resemble an earlier line at Jaccard 0.8 or more."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs).select(
+        "doc_id",
+        F.col("n_lines").cast("long"),
+        F.col("n_removed").cast("long"),
+        F.col("text").alias("kept_text"),
+    )
+
+
 @query("op10_simhash")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     """SimHash components of all documents at four bits over four-word shingles."""

@@ -35,7 +35,7 @@ from quorumlens.llm.common import BROADCAST_ROWS
 from quorumlens.llm.tokens import load
 
 #: Text bytes that go to one data file, about.
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 12 << 20
 #: Fixed values of the frame.
 HEAD, BODY, CHECK, END = struct.Struct("<Q"), struct.Struct("<BBqI"), struct.Struct("<I"), b"\n"
 MASK = 0xA282EAD8
@@ -106,7 +106,8 @@ def write_records(
     return folder
 
 
-def _files(spark: SparkSession, folder: str) -> DataFrame:
+def files_of(spark: SparkSession, folder: str) -> DataFrame:
+    """(shard, content) of each data file."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{folder}/data")
     return files.select(F.element_at(F.split("path", "/"), -1).alias("shard"), "content")
 
@@ -128,7 +129,7 @@ def index_of(spark: SparkSession, folder: str) -> DataFrame:
                     ["shard", "position", "size", "doc_id", "n_tokens", "before"],
                 )
 
-    rows = _files(spark, folder).mapInArrow(
+    rows = files_of(spark, folder).mapInArrow(
         run, "shard string, position long, size long, doc_id long, n_tokens long, before long"
     )
     # One row per file: its tokens, and those of the files before it.
@@ -157,22 +158,23 @@ def _rows(name: str, found: list) -> pa.RecordBatch:
     )
 
 
-def scan_records(spark: SparkSession, folder: str) -> DataFrame:
-    """Every record of the data files with its ids, each file read from start to end; no shuffle."""
-
-    def run(batches):
-        for batch in batches:
-            for shard, content in zip(batch.column(0), batch.column(1)):
-                found = []
-                for record in unframe(content.as_buffer()):
-                    found.append(record)
-                    if len(found) == 512:
-                        yield _rows(shard.as_py(), found)
-                        found = []
-                if found:
+def scanner(batches):
+    """Records of the files in Arrow batches of (shard, content), each file read from start to end."""
+    for batch in batches:
+        for shard, content in zip(batch.column(0), batch.column(1)):
+            found = []
+            for record in unframe(content.as_buffer()):
+                found.append(record)
+                if len(found) == 512:
                     yield _rows(shard.as_py(), found)
+                    found = []
+            if found:
+                yield _rows(shard.as_py(), found)
 
-    return _files(spark, folder).mapInArrow(run, _ROWS)
+
+def scan_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Every record of the data files with its ids; no shuffle."""
+    return files_of(spark, folder).mapInArrow(scanner, _ROWS)
 
 
 def read_records(spark: SparkSession, folder: str, wanted: DataFrame) -> DataFrame:
@@ -194,5 +196,5 @@ def read_records(spark: SparkSession, folder: str, wanted: DataFrame) -> DataFra
                         found.append((p["position"], size, doc_id, ids))
                     yield _rows(name, found)
 
-    joined = _files(spark, folder).join(F.broadcast(places) if few else places, "shard")
+    joined = files_of(spark, folder).join(F.broadcast(places) if few else places, "shard")
     return joined.select("shard", "content", "places").mapInArrow(run, _ROWS)

@@ -15,8 +15,8 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Pieces a worker remembers; beyond it forgets all and starts anew, so its memory is bounded.
-REMEMBERED = 1_000_000
+#: Pieces in a worker's young generation; when it is full it becomes the old one, and the old one is forgotten.
+REMEMBERED = 300_000
 #: Characters on which this module and the library might cut differently: such texts go to the library whole.
 UNUSUAL = re.compile("[\x00-\x08\x0b-\x1f\x7f-\xa0\xb2\xb3\xb9\xbc-\xbeİɐ-\U0010ffff]")
 #: The cuts of the two tokenizer families, for the characters let through by UNUSUAL.
@@ -45,10 +45,14 @@ class Pieces(dict):
         self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.lowers = self.tokenizer.normalizer is not None
         self.ends = None
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= REMEMBERED:
-            self.clear()
+            self.age()
+        if piece in self.old:
+            self[piece] = found = self.old[piece]
+            return found
         tail = WORD_TAIL.match(piece) if self.lowers else None
         if tail:  # letters and the marks after them are cut apart anyway
             found = self[tail[1]] + self[tail[2]]
@@ -57,6 +61,10 @@ class Pieces(dict):
         self[piece] = found
         return found
 
+    def age(self) -> None:
+        self.old = dict(self)
+        self.clear()
+
     def by_library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -70,10 +78,10 @@ class Pieces(dict):
         """
         split = [t.lower().split() if self.plain(t) else None for t in texts]
         new = set().union(*filter(None, split)).difference(self)
-        cores = {m[1] if (m := WORD_TAIL.match(w)) else w for w in new if not w.isdigit()}
-        cores = [w for w in cores if w.isalpha() and w not in self]
+        cores = {m[1] if (m := WORD_TAIL.match(w)) else w for w in new if w not in self.old}
+        cores = [w for w in cores if w.isalpha() and w not in self and w not in self.old]
         if len(self) + len(new) + len(cores) >= REMEMBERED:
-            self.clear()
+            self.age()
         if cores:
             if self.ends is None:
                 self.ends = np.array(
