@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorumlens.llm import bpe, decontaminate, lines, records, simhash
+from quorumlens.llm import bpe, decontaminate, lines, records, simhash, suffixes, toxicity
 from quorumlens.llm.common import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,17 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's toxicity, learnt from the labelled rows outside the held-out fifth."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf, "labels"))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 @query("op3_bpe_round_trip")
 def op3(spark: SparkSession, sf: str) -> DataFrame:
     """Every document encoded by chunk reuse and decoded again."""
@@ -150,6 +161,27 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("op8_substring_dedup")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without the 100-byte strings that also start earlier."""
+    found = suffixes.dedup_substrings(table(spark, sf, "documents").select("doc_id", "text"))
+
+    def digest(batches):
+        for batch in batches:
+            size, gone, n, kept = [], [], [], []
+            for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                size.append(len((text or "").encode()))
+                gone.append(sum(s["end"] - s["begin"] for s in spans))
+                n.append(len(spans))
+                kept.append(hashlib.sha256(suffixes.kept_bytes(text, spans)).hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *(pa.array(x, pa.int64()) for x in (size, gone, n)), pa.array(kept)],
+                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+            )
+
+    return found.mapInArrow(digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
 @query("op10_simhash")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     """SimHash components of all documents at four bits over four-word shingles."""

@@ -16,11 +16,13 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Pieces in a worker's young generation; when it is full it becomes the old one, and the old one is forgotten.
-REMEMBERED = 300_000
+REMEMBERED = 380_000
 #: Characters on which this module and the library might cut differently: such texts go to the library whole.
 UNUSUAL = re.compile("[\x00-\x08\x0b-\x1f\x7f-\xa0\xb2\xb3\xb9\xbc-\xbeİɐ-\U0010ffff]")
 #: The cuts of the two tokenizer families, for the characters let through by UNUSUAL.
 BYTE_LEVEL = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+#: A full stop or comma next to another mark: there they belong to one piece with it.
+MARK_RUN = re.compile(r"[.,](?:[^\w\s]|_)|(?:[^\w\s]|_)[.,]")
 WORD_TAIL = re.compile(r"([^\W\d_]+)((?:[^\w\s']|_)+)\Z")
 
 _LOADED: dict[str, "Pieces"] = {}
@@ -76,7 +78,7 @@ class Pieces(dict):
 
         The new words of these texts go to the library as one text, whose ids are cut again at word ends.
         """
-        split = [t.lower().split() if self.plain(t) else None for t in texts]
+        split = [self.words(t) if self.plain(t) else None for t in texts]
         new = set().union(*filter(None, split)).difference(self)
         cores = {m[1] if (m := WORD_TAIL.match(w)) else w for w in new if w not in self.old}
         cores = [w for w in cores if w.isalpha() and w not in self and w not in self.old]
@@ -96,6 +98,13 @@ class Pieces(dict):
         get = self.__getitem__
         return [self.by_library(t) if w is None else b"".join(map(get, w)) for t, w in zip(texts, split)]
 
+    @staticmethod
+    def words(text: str) -> list[str]:
+        text = text.lower()
+        if not MARK_RUN.search(text):  # marks that stand alone are pieces of their own
+            text = text.replace(".", " . ").replace(",", " , ")
+        return text.split()
+
     def byte_table(self) -> list[bytes]:
         """id -> the bytes that it stands for (byte-level vocabularies)."""
         keep = [*range(33, 127), *range(161, 173), *range(174, 256)]
