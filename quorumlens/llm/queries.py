@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorumlens.llm import bpe, decontaminate, lines, records, simhash, suffixes, toxicity
+from quorumlens.llm import bpe, decontaminate, lines, records, simhash, suffixes, toxicity, vectors
 from quorumlens.llm.common import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,12 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     return docs.mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+@query("op4_vector_dedup")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    """Links and components of all embeddings at cosine 0.9."""
+    return vectors.near_duplicates(table(spark, sf, "embeddings"))
+
+
 _SHINGLES = r"""
     SELECT {id} AS id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
         ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
