@@ -137,3 +137,37 @@ def mixed(h: np.ndarray) -> np.ndarray:
     h = h ^ (h >> np.uint64(32))
     h = h * np.uint64(0xD6E8FEB86659FD93)
     return h ^ (h >> np.uint64(32))
+
+
+def block_tasks(rows: DataFrame, key: str, spread: str, limit: int) -> DataFrame:
+    """``rows`` with ``task``: all rows of a ``key`` meet in one task, or, where a key has over ``limit`` rows, every
+    two blocks of it meet in a task of at most that size.  ``spread`` (a long) deals the rows of a key to blocks.
+
+    Hand in a written table: rows are counted by key first.
+    """
+    half = max(1, limit // 2)
+    full = settled(rows.groupBy(key).count().where(F.col("count") > limit), "full-keys")
+    blocks = counted_broadcast(full.select(key, F.ceil(F.col("count") / half).cast("int").alias("blocks")))
+    own = F.pmod(F.xxhash64(spread), F.coalesce("blocks", F.lit(1))).cast("int")
+    # Block x meets every block y in the task (min, max); a key that is not cut is the task (0, 0).
+    met = rows.join(blocks, key, "left").withColumn("x", own)
+    met = met.withColumn("y", F.explode(F.expr("sequence(0, coalesce(blocks, 1) - 1)")))
+    task = F.xxhash64(key, F.least("x", "y"), F.greatest("x", "y")).alias("task")
+    return met.select(task, *[c for c in rows.columns if c != key])
+
+
+def whole_runs(batches):
+    """Numpy columns of Arrow batches sorted by the first column, cut only between two values of it."""
+    held: list[list[np.ndarray]] = []
+    for batch in batches:
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if not batch.num_rows:
+            continue
+        last = int(np.searchsorted(columns[0], columns[0][-1]))  # the last value's rows may go on
+        if last:
+            held.append([c[:last] for c in columns])
+            yield [np.concatenate(v) for v in zip(*held)]
+            held = []
+        held.append([c[last:] for c in columns])
+    if held:
+        yield [np.concatenate(v) for v in zip(*held)]

@@ -1,14 +1,15 @@
 """Line dedup: an exact set-similarity join that removes lines similar to an earlier one.
 
 A line is the set of its lower-cased words.  Words are counted over the whole corpus; in each line they are ordered
-by rarity (words counted once, in any order, before frequent ones).  Two lines with Jaccard similarity of at least
-the threshold share one of their few rarest words, so those words are the join key; a line without a rare word that
-occurs anywhere else cannot be similar to another and leaves the join.  Lengths and the positions of the shared word
-bound the overlap before word sets are compared.  Equal lines are folded to one row before the join, and the join is
-a semi join: a line needs one earlier partner, so no pairs are written.
+by rarity (words without a rank in any order, then frequent ones).  Two lines with Jaccard similarity of at least the
+threshold share one of their rarest words (the prefix), so those words are the join key; a word that occurs once is
+no key at all.  Lengths, the positions of the shared word and a 64-bit map of each line's words bound the overlap
+before words are compared.  A line needs one earlier partner, so a task reports the earliest one that passes the
+bounds and no pairs; the words of lines reported are then fetched and compared.  Lines whose earliest candidate fails
+are the exception: they report all their candidates in a second pass.
 
 Ranks of frequent words are broadcast: words with at least total / FREQUENT occurrences, of which there cannot be
-more than FREQUENT.  Rarer words need no rank.
+more than FREQUENT.  Rarer words need no rank.  Words and lines are known by hashes of 64 bits.
 
 Edge cases: lines without words stay; a null text stays null; the order of lines is (id, content, line number) with
 null ids first; rows that agree in id and text are one document given twice and are cut alike; a document may lose
@@ -25,13 +26,24 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorumlens.llm.common import hash_bitmap, in_bitmap, same, settled, text_key
+from quorumlens.llm.common import (
+    block_tasks,
+    hash_bitmap,
+    in_bitmap,
+    mixed,
+    same,
+    settled,
+    text_key,
+    whole_runs,
+)
 
 THRESHOLD = 0.8
 #: Words at most that get a rank of their own.
 FREQUENT = 200_000
 #: Words a worker remembers; beyond it forgets all.
 REMEMBERED = 500_000
+#: Lines with one word in their prefixes that one task compares at a time.
+WORD_ROWS = 8192
 
 
 def _hash(word: str) -> int:
@@ -43,9 +55,9 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
     def run(batches):
         for whole in batches:
-            for at in range(0, whole.num_rows, 2048):
+            for at in range(0, whole.num_rows, 4096):
                 seen: Counter[str] = Counter()
-                for text in whole.column(0).slice(at, 2048).to_pylist():
+                for text in whole.column(0).slice(at, 4096).to_pylist():
                     seen.update((text or "").lower().split())
                 hashes = np.fromiter(map(_hash, seen), np.uint64, len(seen)).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
@@ -55,110 +67,235 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
 
 
-def _prefix(n: int, threshold: float) -> int:
+class Lines:
+    """The distinct lines of one batch of documents: each with the first place that has it there."""
+
+    def __init__(self, batch: pa.RecordBatch, words: "Words"):
+        ids, contents, texts = (batch.column(i).to_pylist() for i in range(3))
+        order = sorted(range(len(ids)), key=lambda k: (ids[k] is not None, ids[k] or 0, contents[k]))
+        split = [[x.lower().split() for x in (texts[k] or "").split("\n")] for k in order]
+        index = words.indexes([w for lines in split for line in lines for w in line])
+        counts = np.array([len(x) for lines in split for x in lines], np.int64)
+        doc = np.repeat(np.arange(len(order)), [len(x) for x in split])
+        number = np.concatenate([np.arange(len(x)) for x in split]) if split else doc
+        # Words by line and rarity: one sort of (line, place of the word in the batch's order of rarity).
+        own, inverse = np.unique(index, return_inverse=True)
+        rarity = np.lexsort((words.hash[own], words.rank[own]))
+        place = np.empty(len(own), np.int64)
+        place[rarity] = np.arange(len(own))
+        keys = np.unique(np.repeat(np.arange(len(counts)), counts) << 32 | place[inverse])
+        line = keys >> 32
+        word = own[rarity][keys & 0xFFFFFFFF]
+        begin = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(line) else line
+        self.hash, self.again = words.hash[word], words.again[word]
+        self.n = np.diff(np.concatenate([begin, [len(line)]]))
+        spread = mixed(self.hash)
+        total = np.add.reduceat(spread, begin) if len(begin) else np.zeros(0, np.uint64)
+        name = mixed(total ^ self.n.astype(np.uint64))
+        bits = np.bitwise_or.reduceat(np.uint64(1) << (spread >> np.uint64(58)), begin) if len(begin) else total
+        _, first = np.unique(name, return_index=True)
+        self.begin, self.n, self.name, self.bits = begin[first], self.n[first], name[first], bits[first]
+        where = line[self.begin] if len(begin) else line
+        self.line = number[where]
+        self.ids = [ids[order[k]] for k in doc[where]]
+        self.contents = [contents[order[k]] for k in doc[where]]
+
+    def at(self, rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(line, place of the word in it) of the first ``n`` words of each of ``rows``."""
+        line = np.repeat(rows, n)
+        return line, np.arange(len(line)) - np.repeat(np.cumsum(n) - n, n)
+
+
+class Words:
+    """What a task knows of words: hash, rank, and whether the word occurs elsewhere."""
+
+    def __init__(self, ranks: dict[int, int], bitmap: np.ndarray):
+        self.ranks, self.bitmap, self.known = ranks, bitmap, {}
+        self.hash = np.zeros(0, np.uint64)
+        self.rank, self.again = np.zeros(0, np.int64), np.zeros(0, bool)
+
+    def indexes(self, flat: list[str]) -> np.ndarray:
+        if len(self.known) > REMEMBERED:
+            self.__init__(self.ranks, self.bitmap)
+        new = list(set(flat).difference(self.known))
+        if new:
+            h = np.fromiter(map(_hash, new), np.uint64, len(new))
+            self.known.update(zip(new, range(len(self.hash), len(self.hash) + len(new))))
+            self.hash = np.concatenate([self.hash, h])
+            self.rank = np.concatenate([self.rank, [self.ranks.get(x, 0) for x in h.tolist()]])
+            self.again = np.concatenate([self.again, in_bitmap(self.bitmap, h.view(np.int64))])
+        return np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
+
+
+def prefix(n: np.ndarray, threshold: float) -> np.ndarray:
     """Words of which two similar lines share at least one."""
-    return n - int(np.ceil(threshold * n - 1e-9)) + 1
+    return n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
 
 
-def line_sets(docs: DataFrame, threshold: float) -> DataFrame:
-    """(words, doc_id, content, line, n, tokens, probe) for each line with words.
-
-    ``words`` identifies the set (128 bits); ``tokens`` are its word hashes by rarity and ``probe`` the places in the
-    prefix whose word occurs elsewhere; both are empty where there is none.
-    """
-    counts = settled(word_counts(docs.select("text")), "words")
-    total, repeated = counts.agg(F.sum("n"), F.count_if(F.col("n") > 1)).first()
-    common = counts.where(F.col("n") >= max(2, (total or 0) // FREQUENT + 1)).select("hash", "n").collect()
-    rank = {r["hash"] & 0xFFFFFFFFFFFFFFFF: k for k, r in enumerate(sorted(common, key=lambda r: (r["n"], r["hash"])), 1)}
-    context = docs.sparkSession.sparkContext
-    ranks = context.broadcast(rank)
-    again = context.broadcast(hash_bitmap(counts.where("n > 1"), repeated or 0))
+def _scan(docs: DataFrame, words, rows, schema: str) -> DataFrame:
+    """``rows(lines)`` for the lines of every batch of ``docs`` (doc_id, content, text)."""
 
     def run(batches):
-        known: dict[str, tuple[int, bool]] = {}
+        known = Words(*(x.value for x in words))
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                yield rows(Lines(whole.slice(at, 1024), known))
 
-        def look_up(words):
-            new = [w for w in words if w not in known]
-            hashes = np.fromiter(map(_hash, new), np.uint64, len(new))
-            elsewhere = in_bitmap(again.value, hashes.view(np.int64)).tolist()
-            for w, h, e in zip(new, hashes.tolist(), elsewhere):
-                known[w] = (ranks.value.get(h, 0) << 64) | h, e
+    return docs.select("doc_id", "content", "text").mapInArrow(run, schema)
 
-        for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
-                ids, contents, texts = (batch.column(i).to_pylist() for i in range(3))
-                if len(known) > REMEMBERED:
-                    known.clear()
-                look_up(set().union(*((t or "").lower().split() for t in texts)))
-                out: list[tuple] = []
-                for i, c, text in zip(ids, contents, texts):
-                    for k, line in enumerate((text or "").split("\n")):
-                        words = set(line.lower().split())
-                        if not words:
-                            continue
-                        n = len(words)
-                        found = sorted([known[w] for w in words])
-                        probe = [p for p in range(_prefix(n, threshold)) if found[p][1]]
-                        tokens = [f[0] & 0xFFFFFFFFFFFFFFFF for f in found]
-                        name = xxhash.xxh128_digest(np.array(sorted(tokens), np.uint64).tobytes())
-                        out.append((name, i, c, k, n, tokens if probe else [], probe))
-                if out:
-                    yield _batch(out)
-
-    keyed = docs.select("doc_id", "content", "text")
-    return keyed.mapInArrow(
-        run, "words binary, doc_id long, content long, line int, n int, tokens array<long>, probe array<int>"
-    )
 
+def _longs(x: np.ndarray) -> pa.Array:
+    return pa.array(np.ascontiguousarray(x).view(np.int64), pa.int64())
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    words, ids, contents, line, n, tokens, probe = zip(*rows)
-
-    def lists(values, kind, dtype):
-        ends = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
-        flat = np.array([x for v in values for x in v], dtype).view(np.int64 if dtype == np.uint64 else dtype)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, kind))
-
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(words, pa.binary()),
-            pa.array(ids, pa.int64()),
-            pa.array(contents, pa.int64()),
-            pa.array(line, pa.int32()),
-            pa.array(n, pa.int32()),
-            lists(tokens, pa.int64(), np.uint64),
-            lists(probe, pa.int32(), np.int32),
-        ],
-        ["words", "doc_id", "content", "line", "n", "tokens", "probe"],
-    )
+
+def candidates(tasks: DataFrame, threshold: float, wanted=None) -> DataFrame:
+    """(x, y, y_id, y_line): for each line ``x`` the earliest other line of a task that passes the bounds; if
+    ``wanted`` (the broadcast bitmap of lines) is given, all of them for those lines."""
+    share = threshold / (1 + threshold)
+
+    def passes(c, y, x):
+        _, name, _, _, n, pos, bits = c
+        need = (n[x] + n[y]) * share - 1e-9
+        ok = np.minimum(n[x], n[y]) >= np.maximum(n[x], n[y]) * threshold - 1e-9
+        ok &= np.minimum(n[x] - pos[x], n[y] - pos[y]) >= need
+        ok &= np.bitwise_count(bits[x] & ~bits[y]) <= n[x] - need
+        ok &= np.bitwise_count(bits[y] & ~bits[x]) <= n[y] - need
+        return ok
+
+    def run(batches):
+        for columns in whole_runs(batches):
+            task, name = columns[0], columns[1]
+            _, run_of = np.unique(task, return_inverse=True)
+            # Later rows of a line are copies of its first.
+            _, first = np.unique(np.stack([run_of, name]), axis=1, return_index=True) if len(task) else (0, run_of)
+            keep = np.sort(first)
+            c = [v[keep] for v in columns]
+            c[6] = c[6].view(np.uint64)
+            task, rows = c[0], len(keep)
+            begin = np.flatnonzero(np.concatenate([[True], task[1:] != task[:-1]]))
+            end = np.concatenate([begin[1:], [rows]])
+            asked = np.ones(rows, bool) if wanted is None else in_bitmap(wanted.value, c[1])
+            best = np.full(rows, rows)
+            xs, ys = [], []
+
+            def note(y, x):
+                if wanted is None:
+                    np.minimum.at(best, x, y)
+                else:
+                    xs.append(x)
+                    ys.append(y)
+
+            small = end - begin <= 256
+            stop = np.repeat(np.where(small, end, begin), end - begin)
+            at, d = np.flatnonzero(stop - np.arange(rows) > 1), 1
+            while len(at):  # rows and their d-th neighbour, for all small tasks at once
+                some = at[asked[at + d]]
+                hit = passes(c, some, some + d)
+                note(some[hit], some[hit] + d)
+                d += 1
+                at = at[stop[at] - at > d]
+            for a, b in zip(begin[~small], end[~small]):
+                for x in range(a + 1, b):
+                    if asked[x]:
+                        y = np.arange(a, x)
+                        y = y[passes(c, y, np.full(len(y), x))]
+                        y = y[:1] if wanted is None else y
+                        note(y, np.full(len(y), x))
+            if wanted is None:
+                x = np.flatnonzero(best < rows)
+                y = best[x]
+            else:
+                x, y = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (xs, ys))
+            yield pa.RecordBatch.from_arrays(
+                [_longs(c[1][x]), _longs(c[1][y]), _longs(c[2][y]), pa.array(c[3][y].astype(np.int32))],
+                ["x", "y", "y_id", "y_line"],
+            )
+
+    dealt = tasks.select("task", "name", "doc_id", "line", "n", "pos", "bits")
+    dealt = dealt.repartition("task").sortWithinPartitions("task", "doc_id", "line", "name")
+    return dealt.mapInArrow(run, "x long, y long, y_id long, y_line int")
 
 
 def first_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, content, line) of the lines that stay, of ``docs`` (doc_id, content, text)."""
-    sets = line_sets(docs, threshold)
-    first = F.min(F.struct("doc_id", "content", "line", "n", "tokens", "probe")).alias("at")
-    classes = settled(sets.groupBy("words").agg(first).select("at.*"), "line-classes")
-    place = F.struct("doc_id", "content", "line").alias("place")
-    probes = classes.select(place, "n", "tokens", F.explode("probe").alias("pos")).withColumn(
-        "token", F.expr("tokens[pos]")
+    counts = settled(word_counts(docs.select("text")), "words")
+    total, repeated = counts.agg(F.sum("n"), F.count_if(F.col("n") > 1)).first()
+    common = counts.where(F.col("n") >= max(2, (total or 0) // FREQUENT + 1)).select("hash", "n").collect()
+    common = sorted((r["n"], r["hash"]) for r in common)
+    context = docs.sparkSession.sparkContext
+    words = (
+        context.broadcast({h & 0xFFFFFFFFFFFFFFFF: k for k, (_, h) in enumerate(common, 1)}),
+        context.broadcast(hash_bitmap(counts.where("n > 1"), repeated or 0)),
     )
-    later, earlier = probes.alias("x"), probes.alias("y")
-    need = F.col("x.n") + F.col("y.n")
-    # Jaccard >= t is overlap * (1 + t) >= t * (sizes added up).
-    enough = lambda overlap: overlap * (1 + threshold) >= need * threshold - 1e-9
-    rest = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
-    similar = (
-        (F.col("x.token") == F.col("y.token"))
-        & (F.col("y.place") < F.col("x.place"))
-        & (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * threshold - 1e-9)
-        & enough(rest)
-        & enough(F.size(F.array_intersect("x.tokens", "y.tokens")))
+
+    def places(lines: Lines):
+        return pa.RecordBatch.from_arrays(
+            [
+                _longs(lines.name),
+                pa.array(lines.ids, pa.int64()),
+                pa.array(lines.contents, pa.int64()),
+                pa.array(lines.line.astype(np.int32)),
+            ],
+            ["name", "doc_id", "content", "line"],
+        )
+
+    def prefixes(lines: Lines):
+        row, pos = lines.at(np.arange(len(lines.n)), prefix(lines.n, threshold))
+        word = lines.begin[row] + pos
+        row, pos, word = (v[lines.again[word]] for v in (row, pos, word))
+        ids = np.array([-(1 << 63) if i is None else i for i in lines.ids], np.int64)  # nulls first
+        return pa.RecordBatch.from_arrays(
+            [
+                _longs(lines.hash[word]),
+                _longs(lines.name[row]),
+                pa.array(ids[row]),
+                *(pa.array(v.astype(np.int32)) for v in (lines.line[row], lines.n[row], pos)),
+                _longs(lines.bits[row]),
+            ],
+            ["word", "name", "doc_id", "line", "n", "pos", "bits"],
+        )
+
+    place = F.struct("doc_id", "content", "line")
+    scanned = _scan(docs, words, places, "name long, doc_id long, content long, line int")
+    classes = settled(scanned.groupBy("name").agg(F.min(place).alias("place")), "line-classes")
+    keys = settled(
+        _scan(docs, words, prefixes, "word long, name long, doc_id long, line int, n int, pos int, bits long"),
+        "line-prefixes",
     )
-    gone = later.join(earlier, similar, "left_semi").select("place.*").distinct()
-    return classes.select("doc_id", "content", "line").join(
-        gone, same(classes, gone, "doc_id", "content", "line"), "left_anti"
+    tasks = block_tasks(keys, "word", "name", WORD_ROWS)
+    found = candidates(tasks, threshold).groupBy("x").agg(F.min(F.struct("y_id", "y_line", "y")).alias("y"))
+    gone, left = _verified(docs, words, classes, settled(found.select("x", "y.y"), "line-pairs"), threshold)
+    several = left.count()
+    if several:
+        asked = context.broadcast(hash_bitmap(left.select(F.col("x").alias("hash")), several))
+        more = settled(candidates(tasks, threshold, asked).select("x", "y").distinct(), "line-pairs")
+        gone = gone.union(_verified(docs, words, classes, more, threshold)[0])
+    return classes.join(gone.select(F.col("x").alias("name")).distinct(), "name", "left_anti").select("place.*")
+
+
+def _verified(docs, words, classes, pairs, threshold) -> tuple[DataFrame, DataFrame]:
+    """Of ``pairs`` (x, y): the x whose y is earlier and similar, and the other x; both as (x)."""
+    names = settled(
+        pairs.select(F.col("x").alias("hash")).union(pairs.select("y")).distinct(), "lines-to-compare"
     )
+    wanted = docs.sparkSession.sparkContext.broadcast(hash_bitmap(names, names.count()))
+
+    def tokens(lines: Lines):
+        rows = np.flatnonzero(in_bitmap(wanted.value, lines.name.view(np.int64)))
+        line, pos = lines.at(rows, lines.n[rows])
+        ends = np.concatenate([[0], np.cumsum(lines.n[rows])]).astype(np.int32)
+        values = pa.ListArray.from_arrays(pa.array(ends), _longs(lines.hash[lines.begin[line] + pos]))
+        return pa.RecordBatch.from_arrays([_longs(lines.name[rows]), values], ["name", "tokens"])
+
+    own = _scan(docs, words, tokens, "name long, tokens array<long>").groupBy("name").agg(F.first("tokens").alias("tokens"))
+    own = settled(own.join(names.select(F.col("hash").alias("name")), "name").join(classes, "name"), "line-words")
+    x = own.select(F.col("name").alias("x"), F.col("tokens").alias("tx"), F.col("place").alias("px"))
+    y = own.select(F.col("name").alias("y"), F.col("tokens").alias("ty"), F.col("place").alias("py"))
+    shared = F.size(F.array_intersect("tx", "ty"))
+    enough = shared * (1 + threshold) >= (F.size("tx") + F.size("ty")) * threshold - 1e-9
+    judged = pairs.join(x, "x").join(y, "y").select("x", (enough & (F.col("py") < F.col("px"))).alias("similar"))
+    judged = settled(judged.groupBy("x").agg(F.max("similar").alias("similar")), "lines-compared")
+    return judged.where("similar").select("x"), judged.where("not similar").select("x")
 
 
 def dedup_lines(

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorumlens.llm import bpe, decontaminate, lines, records, simhash, suffixes, toxicity, vectors
+from quorumlens.llm import bpe, decontaminate, lines, records, simhash, suffixes, toxicity, urls, vectors
 from quorumlens.llm.common import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,6 +188,72 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
     return found.mapInArrow(digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
+RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+def _urls_sql() -> str:
+    rule, verdict = "NULL", "NULL"
+    for says, host, path in sorted(RULES, key=lambda r: len(r[1] + r[2])):
+        fits = f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}')"
+        rule = f"CASE WHEN {fits} THEN '{host}{path}' ELSE {rule} END"
+        verdict = f"CASE WHEN {fits} THEN '{says}' ELSE {verdict} END"
+    k = urls.ORDER
+    steps = [f"f AS (SELECT gram, {1 / urls.ALPHABET!r} AS y, {1 / urls.ALPHABET!r} AS n FROM grams)"]
+    name = "f"
+    for o in range(k + 1):
+        steps += [
+            f"j{o} AS (SELECT substr(gram, {k + 1 - o}, {o + 1}) AS tail, sum(y) AS y, sum(n) AS n FROM seen GROUP BY 1)",
+            f"c{o} AS (SELECT substr(tail, 1, {o}) AS context, sum(y) AS y, sum(n) AS n FROM j{o} GROUP BY 1)",
+            f"""f{o} AS (SELECT gram, (coalesce(j.y, 0) + {urls.SMOOTH} * f.y) / (coalesce(c.y, 0) + {urls.SMOOTH}) AS y,
+                (coalesce(j.n, 0) + {urls.SMOOTH} * f.n) / (coalesce(c.n, 0) + {urls.SMOOTH}) AS n
+                FROM {name} f LEFT JOIN j{o} j ON j.tail = substr(gram, {k + 1 - o}, {o + 1})
+                LEFT JOIN c{o} c ON c.context = substr(gram, {k + 1 - o}, {o}))""",
+        ]
+        name = f"f{o}"
+    return rf"""
+WITH split AS (SELECT page_id,
+        translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz') AS host,
+        coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+ruled AS (SELECT *, {rule} AS rule, {verdict} AS by_rule FROM split),
+texts AS (SELECT host, path, by_rule, host || path AS text, count(*) AS n,
+    instr('0123456789abcdef', md5(host || path)[1]) % {urls.FOLDS} AS fold FROM ruled GROUP BY host, path, by_rule),
+chars AS (SELECT host, path, by_rule, n, fold, unnest(list_transform(range(1, length(text) + 1),
+    lambda i: substr(repeat(chr(2), {k}) || text, i, {k + 1}))) AS gram FROM texts),
+seen AS (SELECT gram, sum(CASE WHEN by_rule = 'allow' THEN n ELSE 0 END) AS y,
+    sum(CASE WHEN by_rule = 'block' THEN n ELSE 0 END) AS n FROM chars
+    WHERE by_rule IS NOT NULL AND fold <> 0 GROUP BY gram),
+grams AS (SELECT DISTINCT gram FROM chars),
+{", ".join(steps)},
+means AS (SELECT host, path, round(sum(ln(f.y) - ln(f.n)) / count(*), 6) AS score
+    FROM chars JOIN {name} f USING (gram) GROUP BY host, path),
+scored AS (SELECT t.*, coalesce(m.score, 0) AS score FROM texts t LEFT JOIN means m USING (host, path)),
+grid AS (SELECT floor(score * 1000) AS step, sum(CASE WHEN by_rule = 'allow' THEN n ELSE 0 END) AS y,
+    sum(CASE WHEN by_rule = 'block' THEN n ELSE 0 END) AS n FROM scored WHERE by_rule IS NOT NULL AND fold = 0 GROUP BY 1),
+wrong AS (SELECT step, round(coalesce(sum(y) OVER w, 0) / (SELECT sum(y)::DOUBLE FROM grid) + 1
+    - coalesce(sum(n) OVER w, 0) / (SELECT sum(n)::DOUBLE FROM grid), 9) AS lost
+    FROM grid WINDOW w AS (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+cut AS (SELECT coalesce((SELECT step / 1000 AS at_least FROM wrong WHERE (SELECT sum(y) > 0 AND sum(n) > 0 FROM grid)
+    ORDER BY lost, step LIMIT 1), 0) AS least_score)
+SELECT r.page_id, r.host, r.path, r.rule,
+    coalesce(r.by_rule, CASE WHEN s.score >= (SELECT least_score FROM cut) THEN 'allow' ELSE 'block' END) AS verdict
+FROM ruled r JOIN scored s USING (host, path)
+"""
+
+
+@query("op9_url_filter", _urls_sql())
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    """Every page's url judged by rules and, beyond them, by the ratio of character models."""
+    found = urls.judge(table(spark, sf, "pages").select("page_id", "url"), RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
 @query("op10_simhash")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     """SimHash components of all documents at four bits over four-word shingles."""

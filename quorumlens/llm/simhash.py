@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorumlens.llm.common import components, counted_broadcast, settled
+from quorumlens.llm.common import block_tasks, components, settled, whole_runs
 
 BITS, SEGMENT = 64, 2
 #: Rows of a cell that one task takes at a time; fuller cells are cut into blocks of half of it.
@@ -145,19 +145,10 @@ def _visits(fps: DataFrame, groups) -> DataFrame:
 def links(fps: DataFrame, radius: int, cell_rows: int = CELL_ROWS) -> DataFrame:
     """(a, b): links that connect all of ``fp`` (distinct longs) within ``radius`` bits as their full graph would."""
     visits = settled(_visits(fps, plan(radius)), "cells")
-    half = max(1, cell_rows // 2)
-    full = settled(visits.groupBy("cell").count().where(F.col("count") > cell_rows), "full-cells")
-    blocks = full.select("cell", F.ceil(F.col("count") / half).cast("int").alias("blocks"))
-    known = visits.join(counted_broadcast(blocks), "cell", "left")
-    own = F.pmod(F.xxhash64("fp"), F.coalesce("blocks", F.lit(1))).cast("int")
-    # Block x meets every block y in the task (min, max); a cell that is not cut is the task (0, 0).
-    tasks = known.withColumn("x", own).withColumn("y", F.explode(F.expr("sequence(0, coalesce(blocks, 1) - 1)")))
-    tasks = tasks.select("fp", F.xxhash64("cell", F.least("x", "y"), F.greatest("x", "y")).alias("task"))
+    tasks = block_tasks(visits, "cell", "fp", cell_rows)
 
     def run(batches):
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def meet(task, fp):
+        for task, fp in whole_runs(batches):
             fp = fp.view(np.uint64)
             hit = touched(task, fp, radius)
             task, fp = task[hit], fp[hit]
@@ -166,19 +157,6 @@ def links(fps: DataFrame, radius: int, cell_rows: int = CELL_ROWS) -> DataFrame:
                 [pa.array(np.concatenate(v).view(np.int64)) for v in zip(*found)], ["a", "b"]
             )
 
-        for batch in batches:
-            task, fp = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            if not len(task):
-                continue
-            last = int(np.searchsorted(task, task[-1]))  # the last task's rows may go on in the next batch
-            if last:
-                held.append((task[:last], fp[:last]))
-                yield from meet(*(np.concatenate(v) for v in zip(*held)))
-                held = []
-            held.append((task[last:], fp[last:]))
-        if held:
-            yield from meet(*(np.concatenate(v) for v in zip(*held)))
-
     dealt = tasks.select("task", "fp").repartition("task").sortWithinPartitions("task")
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
