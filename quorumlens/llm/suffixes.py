@@ -11,12 +11,14 @@ equality is all that is computed:
 
 1. The block of BLOCK bytes from a trigger on lies inside every string of its phrase.  Blocks are counted over the
    corpus.  A start is left out if any block inside its string occurs only once: nearly all text without repeats.
-2. What is left of each phrase, with the bytes its strings cover, is an entry of the dictionary.  Where all entries
-   of a block are equal, as inside copies, the first occurrence stays and all others go, without a look at starts.
-3. Where entries of a block differ, as at the ends of repeats, starts are compared one by one.
+2. What is left of each phrase, with the bytes its strings cover, is an entry of the dictionary.  The first occurrence
+   of an entry stays and all others go with all their starts.
+3. Where a block has several entries, as at the ends of repeats, the starts of one occurrence of each are compared.
 
-Counts, minima and joins are Spark's, so a passage in a third of all documents is folded before it is shuffled, and
-no group is gathered.  Hashes have 64 bits.
+Counts and minima are Spark's, so a passage in a third of all documents is folded before it is shuffled; whether an
+occurrence is the first is told by a bitmap of bounded size, and only rows that it cannot tell are joined.  A block's
+distinct entries meet in one task: repeated text around the same bytes, in all ways in which it goes on.  Hashes have
+64 bits.
 
 Edge cases: matches lie within a document; null texts are empty; texts under SIZE bytes lose nothing; SIZE is at least 32; documents are
 ordered by (id, content) with null ids first; rows that agree in id and text are one document given twice and are
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorumlens.llm.common import hash_bitmap, in_bitmap, mixed, same, settled, text_key
+from quorumlens.llm.common import hash_bitmap, in_bitmap, mixed, same, settled, text_key, whole_runs
 
 #: Bytes of a removed string at least.
 SIZE = 100
@@ -110,10 +112,6 @@ def _raw(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-def _longs(values) -> pa.Array:
-    return pa.array(np.concatenate(values).view(np.int64) if len(values) else np.zeros(0, np.int64), pa.int64())
-
-
 def block_counts(texts: DataFrame, size: int) -> DataFrame:
     """(hash, n): occurrences of each block in the one text column of ``texts``."""
 
@@ -132,107 +130,166 @@ def block_counts(texts: DataFrame, size: int) -> DataFrame:
     return texts.mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
 
 
-_ENTRY = "block long, entry long, doc_id long, content long, lo int, hi int, bytes binary"
-
-
-def dictionary(texts: DataFrame, size: int) -> DataFrame:
-    """Occurrences of dictionary entries in ``texts`` (doc_id, content, text), for blocks that repeat."""
-    counts = settled(block_counts(texts.select("text"), size).where("n > 1"), "blocks")
-    bits = texts.sparkSession.sparkContext.broadcast(hash_bitmap(counts, counts.count()))
+def _phrases(texts: DataFrame, size: int, repeated, rows, schema: str) -> DataFrame:
+    """``rows(ids, contents, raws, parses, entries)`` for batches of ``texts`` (doc_id, content, text)."""
 
     def run(batches):
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                out: list[list] = [[] for _ in range(7)]
-                for i, c, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                docs = []
+                for i, c, text in zip(*(whole.column(k).slice(at, 256).to_pylist() for k in range(3))):
                     raw = _raw(text)
-                    if len(raw) < size:
-                        continue
-                    parse = Parse(raw, size)
-                    phrase, lo, hi = parse.entries(in_bitmap(bits.value, parse.block.view(np.int64)))
-                    if not len(phrase):
-                        continue
-                    own = parse.hashes(lo, hi + size)
-                    shape = ((parse.trigger[phrase] - lo) << 16 | (hi - lo)).astype(np.uint64)
-                    out[0].append(parse.block[phrase])
-                    out[1].append(mixed(own ^ mixed(shape + np.uint64(1))))
-                    out[2].extend([i] * len(lo))
-                    out[3].extend([c] * len(lo))
-                    out[4].extend(lo.tolist())
-                    out[5].extend(hi.tolist())
-                    out[6].extend(raw[a : b + size] for a, b in zip(lo.tolist(), hi.tolist()))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        _longs(out[0]),
-                        _longs(out[1]),
-                        pa.array(out[2], pa.int64()),
-                        pa.array(out[3], pa.int64()),
-                        pa.array(out[4], pa.int32()),
-                        pa.array(out[5], pa.int32()),
-                        pa.array(out[6], pa.binary()),
-                    ],
-                    ["block", "entry", "doc_id", "content", "lo", "hi", "bytes"],
-                )
-
-    return texts.select("doc_id", "content", "text").mapInArrow(run, _ENTRY)
-
-
-def _starts(entries: DataFrame, mixed_blocks: np.ndarray, size: int) -> DataFrame:
-    """(string, doc_id, content, lo) of each start in entries whose block has other entries."""
-    bits = entries.sparkSession.sparkContext.broadcast(mixed_blocks)
+                    if len(raw) >= size:
+                        parse = Parse(raw, size)
+                        found = parse.entries(in_bitmap(repeated.value, parse.block.view(np.int64)))
+                        if len(found[0]):
+                            docs.append((i, c, parse, *found))
+                if docs:
+                    yield rows(docs)
+
+    return texts.select("doc_id", "content", "text").mapInArrow(run, schema)
+
+
+def _names(doc) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(block, entry, place) of each entry of a document: 64-bit names of its block, its content and this occurrence."""
+    i, c, parse, phrase, lo, hi = doc
+    shape = ((parse.trigger[phrase] - lo) << 16 | (hi - lo)).astype(np.uint64)
+    entry = mixed(parse.hashes(lo, hi + parse.size) ^ mixed(shape + np.uint64(1)))
+    own = mixed(np.array([0 if i is None else i + 1, c], np.int64).view(np.uint64))
+    return parse.block[phrase], entry, mixed(entry ^ mixed(own[0] ^ mixed(own[1] ^ lo.astype(np.uint64))))
+
+
+def _columns(docs, *extra) -> list[pa.Array]:
+    n = [len(d[3]) for d in docs]
+    names = [np.concatenate(x) for x in zip(*map(_names, docs))]
+    return [
+        *(pa.array(x.view(np.int64)) for x in names),
+        pa.array([d[0] for d, k in zip(docs, n) for _ in range(k)], pa.int64()),
+        pa.array(np.repeat(np.array([d[1] for d in docs], np.int32), n)),
+        pa.array(np.concatenate([d[4] for d in docs]).astype(np.int32)),
+        pa.array(np.concatenate([d[5] for d in docs]).astype(np.int32)),
+    ]
+
+
+_FIELDS = ["block", "entry", "place", "doc_id", "content", "lo", "hi"]
+_ENTRY = "block long, entry long, place long, doc_id long, content int, lo int, hi int"
+_RANGE = "doc_id long, content int, lo int, hi int"
+
+
+def _merged(batches):
+    """Ranges of starts of one document that follow each other, as one; batches of (doc_id, content, lo, hi)."""
+    for batch in batches:
+        ids = batch.column(0).fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
+        content, lo, hi = (batch.column(k).to_numpy(zero_copy_only=False) for k in (1, 2, 3))
+        if len(lo):
+            new = (ids[1:] != ids[:-1]) | (content[1:] != content[:-1]) | (lo[1:] != hi[:-1] + 1)
+            head = np.flatnonzero(np.concatenate([[True], new]))
+            tail = np.concatenate([head[1:] - 1, [len(lo) - 1]])
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k).take(pa.array(head)) for k in (0, 1, 2)), pa.array(hi[tail])],
+                ["doc_id", "content", "lo", "hi"],
+            )
+
+
+def _later_starts(entries: DataFrame, size: int) -> DataFrame:
+    """Ranges of starts in ``entries`` (with bytes) of which another entry of the block has an earlier one."""
 
     def run(batches):
-        for whole in batches:
-            chosen = in_bitmap(bits.value, whole.column(0).to_numpy(zero_copy_only=False))
-            few = whole.filter(pa.array(chosen))
-            for at in range(0, few.num_rows, 2048):
-                batch = few.slice(at, 2048)
-                ends = np.cumsum([0, *map(len, raws := batch.column(4).to_pylist())])
-                raw = b"".join(raws)
-                up, down = _powers(len(raw) + 1)
-                sums = np.zeros(len(raw) + 1, np.uint64)
-                np.cumsum(_CODES[np.frombuffer(raw, np.uint8)] * up[:-1], out=sums[1:])
-                n = np.diff(ends) - size + 1
-                row = np.repeat(np.arange(len(n)), n)
-                offset = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-                a = ends[:-1][row] + offset
-                string = mixed((sums[a + size] - sums[a]) * down[a])
-                lo = batch.column(3).to_numpy(zero_copy_only=False)[row] + offset
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(string.view(np.int64)),
-                        batch.column(1).take(pa.array(row)),
-                        batch.column(2).take(pa.array(row)),
-                        pa.array(lo.astype(np.int32)),
-                    ],
-                    ["string", "doc_id", "content", "lo"],
-                )
-
-    light = entries.select("block", "doc_id", "content", "lo", "bytes")
-    return light.mapInArrow(run, "string long, doc_id long, content long, lo int")
+        for block, _, content, lo, raws, ids, null in whole_runs(batches):
+            run_of = np.unique(block, return_inverse=True)[1]
+            size_of = np.fromiter(map(len, raws), np.int64, len(raws))
+            ends = np.concatenate([[0], np.cumsum(size_of)])
+            raw = b"".join(raws)
+            up, down = _powers(len(raw) + 1)
+            sums = np.zeros(len(raw) + 1, np.uint64)
+            np.cumsum(_CODES[np.frombuffer(raw, np.uint8)] * up[:-1], out=sums[1:])
+            n = size_of - size + 1
+            row = np.repeat(np.arange(len(n)), n)
+            offset = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            a = ends[:-1][row] + offset
+            string = mixed((sums[a + size] - sums[a]) * down[a])
+            start = lo[row] + offset
+            # First of equal strings in the order (id, content, start); nulls are first.
+            order = np.lexsort((start, content[row], ids[row], ~null[row], string, run_of[row]))
+            same_as = (string[order][1:] == string[order][:-1]) & (run_of[row][order][1:] == run_of[row][order][:-1])
+            later = np.sort(order[1:][same_as])
+            kept = pa.array(np.where(null, 0, ids)[row[later]], pa.int64(), mask=null[row[later]])
+            yield from _merged(
+                [
+                    pa.RecordBatch.from_arrays(
+                        [
+                            kept,
+                            pa.array(content[row[later]].astype(np.int32)),
+                            pa.array(start[later].astype(np.int32)),
+                            pa.array(start[later].astype(np.int32)),
+                        ],
+                        ["doc_id", "content", "lo", "hi"],
+                    )
+                ]
+            )
+
+    dealt = entries.select(
+        "block",
+        "place",
+        "content",
+        "lo",
+        "bytes",
+        F.coalesce("doc_id", F.lit(0)).alias("doc_id"),
+        F.col("doc_id").isNull().alias("null"),
+    )
+    return dealt.repartition("block").sortWithinPartitions("block", "place").mapInArrow(run, _RANGE)
 
 
 def repeated_starts(texts: DataFrame, size: int = SIZE) -> DataFrame:
     """(doc_id, content, lo, hi): ranges of starts whose string of ``size`` bytes also starts earlier."""
-    entries = settled(dictionary(texts, size), "entries")
-    place = F.struct("doc_id", "content", "lo")
-    blocks = settled(
-        entries.groupBy("block").agg(
-            F.min(place).alias("first"), F.min("entry").alias("e0"), F.max("entry").alias("e1"), F.count("*").alias("n")
-        ),
+    context = texts.sparkSession.sparkContext
+    counts = settled(block_counts(texts.select("text"), size).where("n > 1").select("hash"), "blocks")
+    repeated = context.broadcast(hash_bitmap(counts, counts.count()))
+
+    def light(docs):
+        return pa.RecordBatch.from_arrays(_columns(docs), _FIELDS)
+
+    entries = settled(_phrases(texts, size, repeated, light, _ENTRY), "entries")
+    first = F.min(F.struct("doc_id", "content", "lo", "place")).alias("first")
+    dictionary = settled(
+        entries.groupBy("block", "entry").agg(first, F.count("*").alias("n")).select("block", "entry", "first.place", "n"),
         "dictionary",
     )
-    # Blocks with one entry: every occurrence after the first.
-    alike = blocks.where("e0 = e1 and n > 1").select("block", "first")
-    light = entries.select("block", "doc_id", "content", "lo", "hi")
-    copies = light.join(alike, "block").where(place != F.col("first")).select("doc_id", "content", "lo", "hi")
-    # Blocks with several: start by start.
-    differ = blocks.where("e0 != e1").select(F.col("block").alias("hash"))
-    starts = settled(_starts(entries, hash_bitmap(differ, differ.count()), size), "starts")
-    first = starts.groupBy("string").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = starts.join(first.drop("n"), "string").where(place != F.col("first"))
-    return copies.union(later.select("doc_id", "content", "lo", F.col("lo").alias("hi")))
+    # Occurrences after the first of their entry go, with all their starts.  Most are told by the bitmap alone.
+    repeats = dictionary.where("n > 1").select("block", "entry", F.col("place").alias("first"))
+    firsts = context.broadcast(hash_bitmap(dictionary.select(F.col("place").alias("hash")), dictionary.count()))
+
+    def certain(batches):
+        for batch in batches:
+            away = ~in_bitmap(firsts.value, batch.column(0).to_numpy(zero_copy_only=False))
+            some = batch.filter(pa.array(away))
+            yield pa.RecordBatch.from_arrays(some.columns[1:], ["doc_id", "content", "lo", "hi"])
+
+    def unsure(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(in_bitmap(firsts.value, batch.column(2).to_numpy(zero_copy_only=False))))
+
+    sure = entries.select("place", "doc_id", "content", "lo", "hi").mapInArrow(
+        lambda batches: _merged(certain(batches)), _RANGE
+    )
+    rest = entries.mapInArrow(unsure, _ENTRY).join(repeats, ["block", "entry"]).where("place != first")
+    # Entries that share a block are compared start by start, each entry once.
+    several = settled(dictionary.groupBy("block").count().where(F.col("count") > 1), "several")
+    chosen = settled(dictionary.join(several, "block").select(F.col("place").alias("hash")), "chosen")
+    wanted = context.broadcast(hash_bitmap(chosen, chosen.count()))
+
+    def with_bytes(docs):
+        columns = _columns(docs)
+        keep = np.flatnonzero(in_bitmap(wanted.value, columns[2].to_numpy()))
+        raws = [d[2].raw[a : b + size] for d in docs for a, b in zip(d[4].tolist(), d[5].tolist())]
+        take = pa.array(keep)
+        return pa.RecordBatch.from_arrays(
+            [*(c.take(take) for c in columns), pa.array([raws[k] for k in keep], pa.binary())], [*_FIELDS, "bytes"]
+        )
+
+    compared = _phrases(texts, size, repeated, with_bytes, f"{_ENTRY}, bytes binary")
+    later = _later_starts(compared, size)
+    return sure.union(rest.select("doc_id", "content", "lo", "hi")).union(later)
 
 
 def dedup_substrings(
@@ -242,7 +299,10 @@ def dedup_substrings(
     names = [c for c in docs.columns if c != out_col]
     kind = "array<struct<begin:int,end:int>>"
     keyed = docs.select(*text_key(id_col, text_col), F.struct(*names).alias("row"))
-    keyed = keyed.withColumn("doc_id", F.col("doc_id").cast("long"))
+    # Content only tells rows of one id apart: 32 bits will do.
+    keyed = keyed.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn(
+        "content", F.shiftright("content", 32).cast("int")
+    )
     texts = keyed.select("doc_id", "content", F.col(f"row.`{text_col}`").cast("string").alias("text"))
     ranges = repeated_starts(texts, size).groupBy("doc_id", "content").agg(
         F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("ranges")

@@ -160,12 +160,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     share = counts.get(1, 0) / total if total else 0.0
     if len(counts) < 2:
         return Model(share=share)
-    by_class = []
-    for label in (0, 1):
-        few = marks.where(F.col("label") == label)
-        rows = own.where(F.octet_length("text") <= SAMPLE_BYTES).join(few, "id")
-        picked = rows.orderBy(F.xxhash64("id"), "id", "text").limit(SAMPLE_ROWS).select("text").collect()
-        by_class.append([r["text"] for r in picked if r["text"]])
+    # Ids are picked from the labels alone; they are few by SAMPLE_ROWS and travel to the texts.
+    pick = lambda k: marks.where(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS)
+    picked = F.broadcast(pick(0).union(pick(1)))
+    rows = own.where(F.octet_length("text") <= SAMPLE_BYTES).join(picked, "id")
+    rows = rows.groupBy("id", "label").agg(F.min("text").alias("text")).collect()
+    by_class = [sorted(r["text"] for r in rows if r["label"] == k and r["text"]) for k in (0, 1)]
+    for texts in by_class:
+        Random(3).shuffle(texts)
     cut = [int(len(texts) * TRAIN_SHARE) for texts in by_class]
     ordinary, toxic = (texts[:k] for texts, k in zip(by_class, cut))
     if not ordinary or not toxic:
