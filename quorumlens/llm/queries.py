@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorumlens.llm import bpe, decontaminate, lines, records, simhash, suffixes, toxicity, urls, vectors
+from quorumlens.llm import bpe, decontaminate, lines, records, secrets, simhash, suffixes, toxicity, urls, vectors
 from quorumlens.llm.common import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,20 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("op2_secrets")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's secrets: fixed forms and spans of high entropy."""
+    found = secrets.scan(table(spark, sf, "documents").select("doc_id", "text"))
+    base = F.filter("secrets", lambda x: x["order"] < len(secrets.FORMS))
+    count = lambda k: F.size(F.filter("secrets", lambda x: x["kind"] == k)).cast("long")
+    return found.select(
+        "doc_id",
+        *(count(form[0]).alias(f"n_{form[0]}") for form in secrets.FORMS),
+        F.sha2(secrets.written(base), 256).alias("base_sha256"),
+        secrets.written(F.col("secrets")).alias("spans"),
+    )
+
+
 @query("op3_bpe_round_trip")
 def op3(spark: SparkSession, sf: str) -> DataFrame:
     """Every document encoded by chunk reuse and decoded again."""

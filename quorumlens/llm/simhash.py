@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorumlens.llm.common import block_tasks, components, settled, whole_runs
+from quorumlens.llm.common import block_tasks, components, same, settled, text_key, whole_runs
 
 BITS, SEGMENT = 64, 2
 #: Rows of a cell that one task takes at a time; fuller cells are cut into blocks of half of it.
@@ -179,3 +179,23 @@ def near_duplicates(
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(least, "root").select(F.col("fp").alias("fingerprint"), "component_id")
     return found.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+def keep_one(
+    docs: DataFrame, words: int = 5, radius: int = 7, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``docs`` with one row of each component: the smallest id that is not null, then the least content hash.
+
+    Rows that agree in id and text are one document, of which one row stays.
+    """
+    keyed = docs.select(*text_key(id_col, text_col), F.struct(*docs.columns).alias("row"))
+    keyed = keyed.withColumn("doc_id", F.col("doc_id").cast("long"))
+    texts = keyed.select("doc_id", "content", F.col(f"row.`{text_col}`").cast("string").alias("text"))
+    found = settled(fingerprints(texts, words).select("doc_id", "content", "fingerprint"), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "content")).alias("first")
+    classes = settled(found.groupBy(F.col("fingerprint").alias("fp")).agg(first), "classes")
+    roots = components(links(classes, radius)).select(F.col("node").alias("fp"), "root")
+    rooted = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.content")
+    stay = keyed.join(kept, same(keyed, kept, "doc_id", "content"), "left_semi")
+    return stay.groupBy("doc_id", "content").agg(F.first("row").alias("row")).select("row.*")

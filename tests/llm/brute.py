@@ -150,3 +150,38 @@ def leaks(docs, items, threshold=0.8, k=5):
             if q and len(q & s) >= threshold * len(q) - 1e-9:
                 out.add((i, j))
     return out
+
+
+def secret_rows(docs):
+    import math
+    import re
+
+    from quorumlens.llm import secrets
+
+    out = []
+    allowed = re.compile("|".join(f"(?:{a})" for a in secrets.ALLOWED))
+    for i, text in docs:
+        text, base, more = text or "", [], []
+        for order, (kind, pattern, group, least) in enumerate(secrets.FORMS):
+            for m in re.finditer(pattern, text):
+                if len(m.group(group)) >= least:
+                    base.append((m.start(), order, m.end(), kind))
+        for order, c in enumerate(secrets.CLASSES, len(secrets.FORMS)):
+            for m in re.finditer(c.pattern, text):
+                if allowed.fullmatch(m.group()):
+                    continue
+                spans = []
+                for at in range(len(m.group()) - c.window + 1):
+                    part = m.group()[at : at + c.window]
+                    h = -sum(part.count(x) / c.window * math.log2(part.count(x) / c.window) for x in set(part))
+                    if h >= c.bits - 1e-9:
+                        lo, hi = m.start() + at, m.start() + at + c.window
+                        if spans and lo <= spans[-1][1]:
+                            spans[-1][1] = hi
+                        else:
+                            spans.append([lo, hi])
+                more += [(a, order, b, c.kind) for a, b in spans]
+        join = lambda v: ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(v))
+        n = [sum(s[1] == k for s in base) for k in range(3)]
+        out.append((i, *n, hashlib.sha256(join(base).encode()).hexdigest(), join(base + more)))
+    return sorted(out)
