@@ -352,19 +352,25 @@ def allowed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def range_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers as tab-separated range rows with gaps; a few ASNs hold a single range."""
-    c = table(spark, sf, "customer").withColumn("lo", F.lit(16777216) + F.col("c_custkey") * 131072)
+    """Customers as tab-separated range rows with gaps; a few ASNs hold a single range.
+
+    Ranges of 512 addresses lie in layers, so that seven million customers have ranges of their own.
+    """
+    key = F.col("c_custkey")
+    c = table(spark, sf, "customer").withColumn(
+        "lo", F.lit(16777216) + key % 27648 * 131072 + F.floor(key / 27648) * 512
+    )
     asn = F.when(F.col("c_custkey") % 97 == 0, F.col("c_custkey") + 50000).otherwise(
         F.col("c_nationkey").cast("bigint") + 1000
     )
     country = F.when(F.col("c_nationkey") == 7, "").otherwise(
         F.concat(F.char(F.col("c_nationkey") + 65), F.lit("X"))
     )
-    return c.filter(F.col("lo") < F.lit(1 << 32)).select(
+    return c.select(
         F.concat_ws(
             "\t",
             F.col("lo").cast("string"),
-            (F.col("lo") + 131071 - F.col("c_custkey") % 3 * 20000).cast("string"),
+            (F.col("lo") + 511 - F.col("c_custkey") % 3 * 80).cast("string"),
             asn.cast("string"),
             country,
             F.concat(F.lit("NET "), F.col("c_mktsegment")),
@@ -379,11 +385,11 @@ def ranges(spark: SparkSession, sf: str) -> DataFrame:
 
 
 RANGES = """ranges AS (
-  SELECT lo, lo + 131071 - c_custkey % 3 * 20000 AS hi,
+  SELECT lo, lo + 511 - c_custkey % 3 * 80 AS hi,
     CASE WHEN c_custkey % 97 = 0 THEN c_custkey + 50000 ELSE c_nationkey + 1000 END AS asn,
     CASE WHEN c_nationkey = 7 THEN '??' ELSE concat(chr(c_nationkey + 65), 'X') END AS country,
     concat('NET ', c_mktsegment) AS name
-  FROM (SELECT *, 16777216 + c_custkey * 131072 AS lo FROM customer) WHERE lo < 4294967296)"""
+  FROM (SELECT *, 16777216 + c_custkey % 27648 * 131072 + c_custkey // 27648 * 512 AS lo FROM customer))"""
 
 
 def labels(spark: SparkSession, sf: str) -> DataFrame:

@@ -31,12 +31,12 @@ def sk01(spark, sf):
 @query(
     "sk02_csv_table",
     psql(
-        f"SELECT indicator, concat('v', family) AS address_family, CAST(CAST(score AS DECIMAL(5,2)) AS VARCHAR) AS score, band, {LISTS}, {FIRST} AS first_seen, {LAST} AS last_seen, coalesce({REF}, '') AS source_reference FROM pub WHERE tier = 'primary'"
+        f"SELECT tier, indicator, concat('v', family) AS address_family, CAST(CAST(score AS DECIMAL(5,2)) AS VARCHAR) AS score, band, {LISTS}, {FIRST} AS first_seen, {LAST} AS last_seen, coalesce({REF}, '') AS source_reference FROM pub"
     ),
 )
 def sk02(spark, sf):
-    """Flat table with joined lists."""
-    return W.csv_rows(published(spark, sf, ("primary",)))
+    """Flat table with joined lists, all tiers."""
+    return W.csv_rows(published(spark, sf), "tier")
 
 
 @query(
@@ -59,7 +59,7 @@ def so02(spark, sf):
 
 @query(
     "sk04_ipset_lines",
-    psql("SELECT tier, family::BIGINT AS family, concat('add quorum', CASE WHEN family = 6 THEN '6' ELSE '' END, ' ', indicator) AS line FROM pub"),
+    psql("SELECT tier, family::BIGINT AS family, concat('add quorum', CASE WHEN family = 6 THEN '6' ELSE '' END, ' ', indicator) AS line FROM pub WHERE band = 'high'"),
 )
 def sk04(spark, sf):
     """Set lines, one set per family."""
@@ -68,7 +68,7 @@ def sk04(spark, sf):
 
 @query(
     "sk04_nft_elements",
-    psql("SELECT tier, family::BIGINT AS family, concat('add element inet quorum blocklist', family, ' { ', indicator, ' }') AS line FROM pub"),
+    psql("SELECT tier, family::BIGINT AS family, concat('add element inet quorum blocklist', family, ' { ', indicator, ' }') AS line FROM pub WHERE band = 'high'"),
 )
 def sk04n(spark, sf):
     """Set element lines."""
@@ -78,7 +78,7 @@ def sk04n(spark, sf):
 @query(
     "sk04_excluded_counts",
     psql(
-        "SELECT tier, f::BIGINT AS family, count(*) FILTER (family = f) AS included, count(*) FILTER (family <> f) AS excluded FROM pub, (VALUES (4), (6)) v(f) GROUP BY ALL"
+        "SELECT tier, f::BIGINT AS family, count(*) FILTER (family = f) AS included, count(*) FILTER (family <> f) AS excluded FROM pub, (VALUES (4), (6)) v(f) WHERE band = 'high' GROUP BY ALL"
     ),
 )
 def sk04x(spark, sf):
@@ -94,7 +94,7 @@ _Z = "strftime({c}, '%Y-%m-%dT%H:%M:%SZ')"
     psql(
         "SELECT tier, concat('indicator--', h[1:8], '-', h[9:12], '-', h[13:16], '-', h[17:20], '-', h[21:32]) AS id, concat('[ipv', family, '-addr:value = ''', indicator, ''']') AS pattern, "
         f"CAST(floor(score) AS BIGINT) AS confidence, {_Z.format(c='first_seen')} AS created, {_Z.format(c='last_seen')} AS modified, CASE WHEN len(categories) > 0 THEN array_to_string(categories, '|') ELSE 'malicious-activity' END AS labels, "
-        "array_to_string(sources, '|') AS reported_by FROM (SELECT *, sha256(indicator) AS h FROM pub)"
+        "array_to_string(sources, '|') AS reported_by FROM (SELECT *, sha256(indicator) AS h FROM pub WHERE band = 'high')"
     ),
 )
 def sk05(spark, sf):
@@ -114,7 +114,7 @@ def sk05(spark, sf):
 @query(
     "sk06_misp_attributes",
     psql(
-        "SELECT tier, 'ip-dst' AS type, 'Network activity' AS category, band = 'high' AS to_ids, indicator AS value, concat('score=', CAST(round_even(score, 0) AS BIGINT), ' classes=', array_to_string(classes, ',')) AS comment FROM pub"
+        "SELECT tier, 'ip-dst' AS type, 'Network activity' AS category, true AS to_ids, indicator AS value, concat('score=', CAST(round_even(score, 0) AS BIGINT), ' classes=', array_to_string(classes, ',')) AS comment FROM pub WHERE band = 'high'"
     ),
 )
 def sk06(spark, sf):
@@ -136,17 +136,12 @@ def sk07(spark, sf):
 @query(
     "tk05_address_order",
     psql(
-        "SELECT indicator, position FROM (SELECT indicator, row_number() OVER (ORDER BY family, lo, coalesce(prefix, 128)) AS position FROM pub WHERE tier = 'primary') WHERE position <= 100"
+        "SELECT tier, indicator, row_number() OVER (PARTITION BY tier ORDER BY family, lo, coalesce(prefix, 128)) AS position FROM pub"
     ),
 )
 def tk05(spark, sf):
-    """First hundred lines of the primary list in address order."""
-    top = W.in_address_order(published(spark, sf, ("primary",))).limit(100)
-    from pyspark.sql import Window
-
-    from quorumlens.functions.addresses import sort_key
-
-    return top.select("indicator", F.row_number().over(Window.orderBy(*sort_key())).alias("position"))
+    """Place of every entry in the address order of its tier's list."""
+    return W.positions(published(spark, sf))
 
 
 @query(

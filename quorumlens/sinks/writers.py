@@ -8,21 +8,6 @@ from pyspark.sql import functions as F
 from quorumlens.functions import addresses as A
 from quorumlens.functions import text as X
 
-CSV_COLUMNS = (
-    "indicator",
-    "address_family",
-    "score",
-    "band",
-    "independence_classes",
-    "sources",
-    "categories",
-    "tags",
-    "first_seen",
-    "last_seen",
-    "source_reference",
-)
-
-
 def iso_time(ts: Column) -> Column:
     """Timestamp as ISO 8601 with offset, microseconds only where there are any."""
     return F.concat(
@@ -37,13 +22,35 @@ def in_address_order(df: DataFrame) -> DataFrame:
     return df.orderBy(*A.sort_key())
 
 
-def of_family(df: DataFrame, family: int) -> DataFrame:
-    return df.filter(F.col("family") == family)
+def blockable(published: DataFrame) -> DataFrame:
+    """What may be blocked or alerted on without a look: the high band alone."""
+    return published.filter(F.col("band") == "high")
+
+
+def positions(published: DataFrame) -> DataFrame:
+    """(tier, indicator, position): place in the address order of its tier's whole list.
 
+    Rows are ranked within blocks of the leading address bits and moved on by the rows of the blocks before; only
+    one row per block meets in one task.
+    """
+    from pyspark.sql import Window
+
+    block = F.when(F.col("family") == 4, F.lpad(F.hex(F.shiftright("lo", 16)), 8, "0")).otherwise(
+        F.substring(F.hex("lo6"), 1, 12)
+    )
+    rows = published.withColumn("_block", block)
+    per = rows.groupBy("tier", "family", "_block").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("tier").orderBy("family", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select("tier", "family", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("tier", "family", "_block").orderBy(*A.sort_key()))
+    placed = rows.withColumn("_own", own).join(per, ["tier", "family", "_block"])
+    return placed.select("tier", "indicator", (F.col("_before") + F.col("_own")).alias("position"))
 
-def csv_rows(published: DataFrame) -> DataFrame:
-    """Flat table: two-decimal score, list columns joined by ``|``."""
+
+def csv_rows(published: DataFrame, *keep: str) -> DataFrame:
+    """Flat table: two-decimal score, list columns joined by ``|``; ``keep`` names columns that go before."""
     return published.select(
+        *keep,
         "indicator",
         A.address_family().alias("address_family"),
         F.col("score").cast("decimal(5,2)").cast("string").alias("score"),
@@ -83,17 +90,17 @@ def list_rows(published: DataFrame) -> DataFrame:
 
 
 def ipset_rows(published: DataFrame, set_name: str = "quorum") -> DataFrame:
-    """One ``add`` line per entry; one set per family."""
+    """One ``add`` line per high entry; one set per family."""
     name = F.when(F.col("family") == 4, set_name).otherwise(set_name + "6")
-    return published.select(
+    return blockable(published).select(
         "tier", "family", F.concat(F.lit("add "), name, F.lit(" "), F.col("indicator")).alias("line")
     )
 
 
 def nft_rows(published: DataFrame) -> DataFrame:
-    """One set element line per entry."""
+    """One set element line per high entry."""
     name = F.when(F.col("family") == 4, "blocklist4").otherwise("blocklist6")
-    return published.select(
+    return blockable(published).select(
         "tier",
         "family",
         F.concat(F.lit("add element inet quorum "), name, F.lit(" { "), F.col("indicator"), F.lit(" }")).alias(
@@ -103,8 +110,8 @@ def nft_rows(published: DataFrame) -> DataFrame:
 
 
 def excluded_counts(published: DataFrame) -> DataFrame:
-    """Per family's set: how many records of the other family it leaves out."""
-    per = published.groupBy("tier").agg(
+    """Per family's set: how many high records of the other family it leaves out."""
+    per = blockable(published).groupBy("tier").agg(
         F.count_if(F.col("family") == 4).alias("_v4"), F.count_if(F.col("family") == 6).alias("_v6")
     )
     return per.select(
@@ -119,10 +126,10 @@ def excluded_counts(published: DataFrame) -> DataFrame:
 
 
 def stix_rows(published: DataFrame) -> DataFrame:
-    """STIX 2.1 indicator objects, one row each."""
+    """STIX 2.1 indicator objects of the high entries, one row each."""
     kind = F.when(F.col("family") == 4, "ipv4-addr").otherwise("ipv6-addr")
     zulu = lambda c: F.replace(iso_time(F.col(c)), F.lit("+00:00"), F.lit("Z"))
-    return published.select(
+    return blockable(published).select(
         "tier",
         F.lit("indicator").alias("type"),
         F.lit("2.1").alias("spec_version"),
@@ -145,12 +152,12 @@ def stix_rows(published: DataFrame) -> DataFrame:
 
 
 def misp_rows(published: DataFrame) -> DataFrame:
-    """MISP attributes, one row each."""
-    return published.select(
+    """MISP attributes of the high entries, one row each."""
+    return blockable(published).select(
         "tier",
         F.lit("ip-dst").alias("type"),
         F.lit("Network activity").alias("category"),
-        (F.col("band") == "high").alias("to_ids"),
+        F.lit(True).alias("to_ids"),
         F.col("indicator").alias("value"),
         F.concat(
             F.lit("score="),
@@ -193,9 +200,7 @@ def write_all(published: DataFrame, folder: str) -> None:
     """
     ordered = in_address_order(published)
     full_rows(ordered).write.mode("overwrite").partitionBy("tier").json(f"{folder}/records")
-    csv_rows(ordered.filter("tier = 'primary'")).write.mode("overwrite").option("header", True).csv(
-        f"{folder}/table"
-    )
+    csv_rows(ordered, "tier").write.mode("overwrite").partitionBy("tier").option("header", True).csv(f"{folder}/table")
     list_rows(ordered).write.mode("overwrite").partitionBy("tier", "band", "list").text(
         f"{folder}/lists"
     )
