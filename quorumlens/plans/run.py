@@ -2,27 +2,34 @@
 
 from __future__ import annotations
 
+import re
+import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quorumlens.operators import carry, corroborate, intervals, reports, safety
 from quorumlens.operators.corroborate import Rules
-from quorumlens.session import cut_lineage
 from quorumlens.sinks import writers
+from quorumlens.sources.reference_tables import AllowlistIncomplete, require_complete_allowlist
 from quorumlens.sources.registry import TIERS
 
 
 @dataclass
 class RunTables:
-    """Inputs of a run; state and labels may be absent on a first run."""
+    """Inputs of a run; state and labels may be absent on a first run.
+
+    ``allow_sources`` names the configured allowlists; with it, ``allowed`` must have ``allow_source`` and a
+    network of each.
+    """
 
     fresh: DataFrame
     sources: DataFrame
     allowed: DataFrame
     state: DataFrame | None = None
     labels: DataFrame | None = None
+    allow_sources: DataFrame | None = None
 
 
 @dataclass
@@ -74,18 +81,24 @@ def run(
 ) -> RunResult:
     """Score, guard, write the lists and the next state under ``folder``.
 
-    The judged table feeds many outputs, so it is written once to the checkpoint folder; a lost
-    executor then costs a re-read.
+    Nothing is published without a complete allowlist.  The judged table feeds many outputs, so it is written
+    once, by tier, and read back; a lost executor then costs a re-read.  Judged rows and state go to folders of
+    their own for every run, so no run overwrites what it or a later one reads.
     """
+    allowed = tables.allowed
+    if tables.allow_sources is not None:
+        allowed = require_complete_allowlist(tables.allow_sources, allowed)
+    if not allowed.limit(1).count():
+        raise AllowlistIncomplete("the allowlist is empty")
+    name = f"run={re.sub('[^0-9]', '', str(as_of))[:14]}-{time.time_ns()}"
     observations = corroborate.complete(tables.fresh)
     if tables.state is not None:
         carried = carry.carried_observations(tables.fresh, tables.state, tables.sources, as_of)
         observations = observations.unionByName(carried, allowMissingColumns=True)
-    judged = cut_lineage(
-        judge(
-            observations, tables.sources, tables.allowed, as_of, tables.state, tables.labels, tiers, rules
-        )
-    )
+    judged = judge(observations, tables.sources, allowed, as_of, tables.state, tables.labels, tiers, rules)
+    judged.write.partitionBy("tier").parquet(f"{folder}/judged/{name}")
+    spark = judged.sparkSession
+    judged = spark.read.schema(judged.schema).parquet(f"{folder}/judged/{name}")
     counts = reports.run_counts(judged)
     if tables.state is not None:
         new = counts.filter("tier = 'primary'").first()
@@ -94,5 +107,13 @@ def run(
     published = published_of(judged)
     writers.write_all(published, folder)
     state = carry.build_state(safety.kept(judged), observations)
-    state.write.mode("overwrite").parquet(f"{folder}/state")
+    state.write.parquet(f"{folder}/state/{name}")
+    state = spark.read.schema(state.schema).parquet(f"{folder}/state/{name}")
     return RunResult(observations, judged, published, counts, state)
+
+
+def latest_state(spark: SparkSession, folder: str) -> DataFrame:
+    """The state that the last run under ``folder`` wrote."""
+    states = spark.read.parquet(f"{folder}/state")
+    last = states.select("run").distinct().agg(F.max(F.col("run").cast("string"))).first()[0]
+    return states.filter(F.col("run").cast("string") == last).drop("run")

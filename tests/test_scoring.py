@@ -14,6 +14,8 @@ from quorumlens.functions import addresses as A
 from quorumlens.functions import constants as K
 from quorumlens.operators import carry, corroborate, safety
 from quorumlens.plans import run as plan
+from quorumlens.sinks import writers
+from quorumlens.sources.reference_tables import AllowlistIncomplete
 from quorumlens.sources.registry import REGISTRY_SCHEMA
 
 NOW = datetime(2024, 2, 1)
@@ -220,7 +222,7 @@ def test_two_runs_with_state(spark, tmp_path):
 
     first = frame([obs("9.0.0.1", n, age=3) for n in "abc"] + [obs("9.0.0.2", n, age=3) for n in "abc"])
     one = plan.run(plan.RunTables(first, sources, allowed), NOW - timedelta(days=3), str(tmp_path / "one"))
-    state = spark.read.parquet(str(tmp_path / "one/state"))
+    state = plan.latest_state(spark, str(tmp_path / "one"))
     assert {r.indicator: r.band for r in one.published.filter("tier = 'primary'").collect()} == {"9.0.0.1": "high", "9.0.0.2": "high"}
 
     # Source c misses the second run, and nobody reports the second address.
@@ -239,6 +241,38 @@ def test_two_runs_with_state(spark, tmp_path):
     assert {(r["value"], r["list"]) for r in lists.collect()} == {("9.0.0.1", "all"), ("9.0.0.1", "v4")}
 
 
+def test_no_allowlist_no_run(spark, tmp_path):
+    sources = spark.createDataFrame(REGISTRY, REGISTRY_SCHEMA)
+    rows = A.with_address(spark.createDataFrame([obs("9.0.0.1", n) for n in "abc"], OBS), "t").drop("t")
+    allowed = allow_frame(spark, "8.8.8.0/24")
+    with pytest.raises(AllowlistIncomplete):
+        plan.run(plan.RunTables(rows, sources, allowed.filter("false")), NOW, str(tmp_path / "none"))
+    configured = spark.createDataFrame([("one",), ("two",)], "allow_source string")
+    partial = allowed.withColumn("allow_source", F.lit("one"))
+    with pytest.raises(AllowlistIncomplete, match="two"):
+        plan.run(plan.RunTables(rows, sources, partial, allow_sources=configured), NOW, str(tmp_path / "part"))
+    assert not (tmp_path / "none").exists() and not (tmp_path / "part").exists()
+
+
+def test_block_lists_hold_high_entries_only(spark):
+    rows = [obs(ip, n) for ip in ("9.0.0.1", "9.0.0.2", "2a00::1") for n in "abc"]
+    df = A.with_address(spark.createDataFrame(rows, OBS), "t").drop("t")
+    sources = spark.createDataFrame(REGISTRY, REGISTRY_SCHEMA)
+    judged = plan.judge(df, sources, allow_frame(spark, "8.8.8.0/24"), NOW, tiers=("primary",))
+    published = plan.published_of(judged).withColumn(
+        "band", F.when(F.col("indicator") == "9.0.0.2", "medium").otherwise("high")
+    )
+    for form in (writers.ipset_rows, writers.nft_rows, writers.stix_rows, writers.misp_rows):
+        text = " ".join(str(r) for r in form(published).collect())
+        assert "9.0.0.1" in text and "9.0.0.2" not in text, form.__name__
+    counts = {r.family: (r.included, r.excluded) for r in writers.excluded_counts(published).collect()}
+    assert counts == {4: (1, 1), 6: (1, 1)}
+    assert "9.0.0.2" in str(writers.list_rows(published).collect())
+    assert [(r.indicator, r.position) for r in writers.positions(published).orderBy("position").collect()] == [
+        ("9.0.0.1", 1), ("9.0.0.2", 2), ("2a00::1", 3)
+    ]
+
+
 def test_hot_group_examples_stay_exact(spark):
     df = spark.range(5000).select(F.lit("g").alias("g"), F.col("id"))
     rows = safety.first_per_group(df, ["g"], [F.col("id").asc()], 5).collect()
