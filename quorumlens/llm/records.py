@@ -57,7 +57,7 @@ def unframe(data, at: int = 0):
     view = memoryview(data)
     while at < len(view):
         head = bytes(view[at : at + HEAD.size])
-        if len(head) < HEAD.size or CHECK.unpack_from(view, at + HEAD.size)[0] != masked(head):
+        if at + HEAD.size + CHECK.size > len(view) or CHECK.unpack_from(view, at + HEAD.size)[0] != masked(head):
             raise ValueError(f"wrong record length at byte {at}")
         size = HEAD.unpack(head)[0]
         body = at + HEAD.size + CHECK.size
