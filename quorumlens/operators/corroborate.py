@@ -51,42 +51,19 @@ def complete(observations: DataFrame) -> DataFrame:
 
 
 def evidence(
-    observations: DataFrame, sources: DataFrame, as_of, keys: tuple[str, ...] = ()
+    observations: DataFrame, sources: DataFrame, as_of, rules: Rules = Rules(), keys: tuple[str, ...] = ()
 ) -> DataFrame:
-    """One row per (indicator, source, labels) with the strongest evidence found there."""
+    """One row per (indicator, source) with the strongest evidence found there.
+
+    References are unique per listing, so they are folded here and never gathered; labels come from a fixed
+    vocabulary.  What is left of a hot indicator is one row for each source that lists it.
+    """
     now = S.moment(as_of)
     dim = dimension(
         sources,
         F.col("name").alias("source"),
         F.col("ttl_days").alias("_ttl"),
         F.col("dormant").alias("_dormant"),
-    )
-    obs = complete(observations).join(dim, "source", "left")
-    ok = S.vouched(F.col("evidence_stale"), F.col("_dormant"))
-    obs = obs.withColumn("_ok", ok)
-    labels = ["source", "categories", "tags", "source_reference", "source_registry"]
-    return obs.groupBy(*keys, *ADDRESS_COLUMNS, *labels).agg(
-        F.min("first_seen").alias("first_seen"),
-        F.max("last_seen").alias("last_seen"),
-        F.max(
-            S.freshness(F.col("last_seen"), now, F.coalesce(F.col("_ttl"), F.lit(0)), F.col("_ok"))
-        ).alias("freshness"),
-        F.max("_ok").alias("vouched"),
-        F.max(F.col("_ok") & ~F.col("carried")).alias("live"),
-    )
-
-
-def profiles(
-    observations: DataFrame,
-    sources: DataFrame,
-    as_of,
-    rules: Rules = Rules(),
-    keys: tuple[str, ...] = (),
-) -> DataFrame:
-    """One row per indicator holding all its evidence (array ``rows``) and what no tier changes."""
-    dim = dimension(
-        sources,
-        F.col("name").alias("source"),
         "ord",
         "independence_class",
         "weight",
@@ -95,11 +72,13 @@ def profiles(
         "tag_only",
         *[in_tier(t).alias(f"in_{t}") for t in TIERS],
     )
-    ev = evidence(observations, sources, as_of, keys).join(dim, "source", "left")
-    known = F.col("independence_class").isNotNull()
+    ok = S.vouched(F.col("evidence_stale"), F.col("_dormant"))
+    obs = complete(observations).join(dim, "source", "left").withColumn("_ok", ok)
+    fresh = S.freshness(F.col("last_seen"), now, F.coalesce(F.col("_ttl"), F.lit(0)), F.col("_ok"))
     promotes = (
         F.col("vote")
-        & F.col("live")
+        & F.col("_ok")
+        & ~F.col("carried")
         & F.col("redistribute")
         & (
             F.col("source").isin(*rules.netblock_sources)
@@ -109,6 +88,35 @@ def profiles(
             )
         )
     )
+    known = F.col("independence_class").isNotNull()
+
+    def all_of(name: str) -> Column:
+        return F.array_distinct(F.flatten(F.collect_set(name))).alias(name)
+
+    return obs.groupBy(*keys, *ADDRESS_COLUMNS, "source").agg(
+        F.max(F.when(F.col("vote"), F.col("weight") * fresh * S.severity(F.col("categories")))).alias("_vote"),
+        F.max("_ok").alias("vouched"),
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_seen").alias("last_seen"),
+        F.max(F.when(known, S.prior_level(F.col("tags"))).otherwise(0)).alias("prior_level"),
+        F.max(F.when(promotes, F.col("ord"))).alias("promotes"),
+        F.min(F.nullif("source_reference", F.lit(""))).alias("reference"),
+        F.min(F.nullif("source_registry", F.lit(""))).alias("registry"),
+        all_of("categories"),
+        all_of("tags"),
+        *[F.any_value(c).alias(c) for c in ("independence_class", "tag_only", *(f"in_{t}" for t in TIERS))],
+    )
+
+
+def profiles(
+    observations: DataFrame,
+    sources: DataFrame,
+    as_of,
+    rules: Rules = Rules(),
+    keys: tuple[str, ...] = (),
+) -> DataFrame:
+    """One row per indicator holding one element for each of its sources (array ``rows``) and what no tier changes."""
+    ev = evidence(observations, sources, as_of, rules, keys)
 
     def flag(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(False)).alias(name)
@@ -116,23 +124,23 @@ def profiles(
     row = F.struct(
         "source",
         F.col("independence_class").alias("class"),
-        F.when(F.col("vote"), F.col("weight") * F.col("freshness") * S.severity(F.col("categories"))).alias(
-            "vote"
-        ),
+        F.col("_vote").alias("vote"),
         "vouched",
         flag("tag_only"),
         *[flag(f"in_{t}") for t in TIERS],
         "categories",
         "tags",
-        F.nullif(F.col("source_reference"), F.lit("")).alias("reference"),
-        F.nullif(F.col("source_registry"), F.lit("")).alias("registry"),
+        "reference",
+        "registry",
         "first_seen",
         "last_seen",
     )
     grouped = ev.groupBy(*keys, *ADDRESS_COLUMNS).agg(
         F.collect_list(row).alias("rows"),
-        F.max(F.when(known, S.prior_level(F.col("tags"))).otherwise(0)).alias("prior_level"),
-        F.max(F.when(promotes, F.struct("ord", "source"))).getField("source").alias("promoted_by"),
+        F.max("prior_level").alias("prior_level"),
+        F.max(F.when(F.col("promotes").isNotNull(), F.struct("promotes", "source")))
+        .getField("source")
+        .alias("promoted_by"),
     )
     voters = grouped.withColumn("voting", F.expr("filter(rows, r -> r.vote is not null)"))
     classed = voters.withColumn(

@@ -241,6 +241,14 @@ def test_two_runs_with_state(spark, tmp_path):
     assert {(r["value"], r["list"]) for r in lists.collect()} == {("9.0.0.1", "all"), ("9.0.0.1", "v4")}
 
 
+def test_a_hot_indicator_has_one_element_per_source(spark):
+    base = A.with_address(spark.createDataFrame([obs("9.0.0.1", n) for n in "abc"], OBS), "t").drop("t")
+    hot = base.crossJoin(spark.range(100_000)).withColumn("source_reference", F.concat(F.lit("r"), "id")).drop("id")
+    sources = spark.createDataFrame(REGISTRY, REGISTRY_SCHEMA)
+    sizes = corroborate.profiles(hot, sources, NOW).select(F.size("rows").alias("n")).collect()
+    assert [r.n for r in sizes] == [3]
+
+
 def test_no_allowlist_no_run(spark, tmp_path):
     sources = spark.createDataFrame(REGISTRY, REGISTRY_SCHEMA)
     rows = A.with_address(spark.createDataFrame([obs("9.0.0.1", n) for n in "abc"], OBS), "t").drop("t")
