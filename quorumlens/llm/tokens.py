@@ -23,6 +23,7 @@ UNUSUAL = re.compile("[\x00-\x08\x0b-\x1f\x7f-\xa0\xb2\xb3\xb9\xbc-\xbeİɐ-\U00
 BYTE_LEVEL = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 #: A full stop or comma next to another mark: there they belong to one piece with it.
 MARK_RUN = re.compile(r"[.,](?:[^\w\s]|_)|(?:[^\w\s]|_)[.,]")
+OTHER_MARK = re.compile(r"[^\w\s.,]|_")
 WORD_TAIL = re.compile(r"([^\W\d_]+)((?:[^\w\s']|_)+)\Z")
 
 _LOADED: dict[str, "Pieces"] = {}
@@ -101,7 +102,11 @@ class Pieces(dict):
     @staticmethod
     def words(text: str) -> list[str]:
         text = text.lower()
-        if not MARK_RUN.search(text):  # marks that stand alone are pieces of their own
+        if OTHER_MARK.search(text):
+            runs = MARK_RUN.search(text)
+        else:
+            runs = ".." in text or ",," in text or ".," in text or ",." in text
+        if not runs:  # marks that stand alone are pieces of their own
             text = text.replace(".", " . ").replace(",", " , ")
         return text.split()
 
