@@ -154,12 +154,17 @@ def candidates(tasks: DataFrame, threshold: float, wanted=None) -> DataFrame:
     share = threshold / (1 + threshold)
 
     def passes(c, y, x):
-        _, name, _, _, n, pos, bits = c
-        need = (n[x] + n[y]) * share - 1e-9
-        ok = np.minimum(n[x], n[y]) >= np.maximum(n[x], n[y]) * threshold - 1e-9
-        ok &= np.minimum(n[x] - pos[x], n[y] - pos[y]) >= need
-        ok &= np.bitwise_count(bits[x] & ~bits[y]) <= n[x] - need
-        ok &= np.bitwise_count(bits[y] & ~bits[x]) <= n[y] - need
+        """Which pairs of rows pass all bounds; the map of words tells most of them apart and comes first."""
+        n, pos, bits = c[4], c[5], c[6]
+        nx, ny = n[x], n[y]
+        need = (nx + ny) * share - 1e-9
+        ok = np.bitwise_count(bits[x] & ~bits[y]) <= nx - need
+        some = np.flatnonzero(ok)
+        x, y, nx, ny, need = x[some], y[some], nx[some], ny[some], need[some]
+        fine = np.minimum(nx, ny) >= np.maximum(nx, ny) * threshold - 1e-9
+        fine &= np.minimum(nx - pos[x], ny - pos[y]) >= need
+        fine &= np.bitwise_count(bits[y] & ~bits[x]) <= ny - need
+        ok[some] = fine
         return ok
 
     def run(batches):
