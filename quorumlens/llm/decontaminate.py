@@ -1,12 +1,9 @@
-"""Benchmark decontamination: size-partitioned MinHash containment search, verified on the shingles themselves.
+"""Benchmark decontamination: containment search over a whole index of the items' shingles, verified on the strings.
 
-Test items are partitioned by their number of distinct word shingles, in powers of two.  For each partition a text
-is taken in half-overlapping windows of four times the partition's lower bound, so that an item lies within one
-window and window and item are of like size: the one case in which MinHash tells containment.  Item and window are
-sketched by one-permutation MinHash (a minimum in each of BINS ranges of the hash), and an item is a candidate where
-a window has one of its minima in the same bin.  With at least half of an item in a window the chance to miss it is
-below 1e-6, and pieces of an item that lie apart add up over windows.  Candidates are then held against the whole
-text: the share of the item's distinct shingles that the text contains, compared as strings.
+Every distinct shingle of every test item is indexed by its hash, and every shingle of a text is looked up: a text's
+hits are counted by item, and an item of which enough hashes are found is a candidate.  No shingle is sampled, so a
+contained item is always a candidate, whatever its size and wherever its pieces stand.  Candidates are then held
+against the text: the share of the item's distinct shingles that the text contains, compared as strings.
 
 Items travel to the texts, never texts to items: blocks of items of bounded size are broadcast one after another
 (most benchmarks are one block), and no text is shuffled.
@@ -25,7 +22,6 @@ from pyspark.sql import functions as F
 from quorumlens.llm.common import mixed
 
 WORDS, THRESHOLD = 5, 0.8
-BINS_LOG = 6
 #: Text bytes of the items that are broadcast at a time.
 BLOCK_BYTES = 16 << 20
 
@@ -66,64 +62,56 @@ def shingle_hashes(joined: bytes, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed((sums[ends] - sums[starts]) * down[starts])
 
 
-def signature(h: np.ndarray) -> np.ndarray:
-    """The least hash of each bin that has any; a hash tells its bin."""
-    h = np.unique(h)
-    _, first = np.unique(h >> np.uint64(64 - BINS_LOG), return_index=True)
-    return h[first]
-
-
-def window_minima(h: np.ndarray, step: int) -> np.ndarray:
-    """Bin minima of windows of two blocks of ``step`` shingles, one block apart."""
-    block = np.arange(len(h)) // step
-    least = np.full((block[-1] + 1, 1 << BINS_LOG), np.iinfo(np.uint64).max, np.uint64)
-    np.minimum.at(least, (block, (h >> np.uint64(64 - BINS_LOG)).astype(np.int64)), h)
-    return np.minimum(least[:-1], least[1:]) if len(least) > 1 else least
-
-
 class Items:
     """A block of test items as a task searches them."""
 
     def __init__(self, rows: list[tuple[int | None, str | None]], words: int):
         self.words, self.ids, self.shingles = words, [], []
-        self.by_size: dict[int, dict[int, list[int]]] = {}
+        hashes = []
         for item, text in rows:
             joined, starts, ends = shingled(text, words)
             if not len(starts):
                 continue
-            own = {joined[a:b] for a, b in zip(starts.tolist(), ends.tolist())}
-            table = self.by_size.setdefault(len(own).bit_length() - 1, {})
-            for h in signature(shingle_hashes(joined, starts, ends)).tolist():
-                table.setdefault(h, []).append(len(self.ids))
+            self.shingles.append({joined[a:b] for a, b in zip(starts.tolist(), ends.tolist())})
+            hashes.append(np.unique(shingle_hashes(joined, starts, ends)))
             self.ids.append(item)
-            self.shingles.append(own)
-        self.wanted = np.unique(np.array([h for t in self.by_size.values() for h in t], np.uint64))
-        self.bits = np.zeros(1 << 20, bool)
-        self.bits[(self.wanted >> np.uint64(44)).astype(np.int64)] = True
-
-    def candidates(self, h: np.ndarray) -> set[int]:
-        # A window can only meet an item in a hash that is a minimum of some item.
-        some = h[self.bits[(h >> np.uint64(44)).astype(np.int64)]]
-        if not np.isin(some, self.wanted).any():
-            return set()
-        found: set[int] = set()
-        for size, table in self.by_size.items():
-            least = np.unique(window_minima(h, 2 << size))
-            for x in least[np.isin(least, self.wanted)].tolist():
-                found.update(table.get(x, ()))
-        return found
+        size = np.array([len(h) for h in hashes], np.int64)
+        flat = np.concatenate([np.zeros(0, np.uint64), *hashes])
+        order = np.argsort(flat, kind="stable")
+        # Items by hash: those of hash k are owner[begin[k] : begin[k + 1]].
+        self.owner = np.repeat(np.arange(len(size)), size)[order]
+        self.hash, begin = np.unique(flat[order], return_index=True)
+        self.begin = np.append(begin, len(flat))
+        self.total = np.array([len(s) for s in self.shingles], np.int64)
+        self.twins = self.total - size  # shingles of an item with one hash
+        bits = min(26, max(20, (16 * len(self.hash)).bit_length()))
+        self.shift = np.uint64(64 - bits)
+        self.bits = np.zeros(1 << bits, bool)
+        self.bits[(self.hash >> self.shift).astype(np.int64)] = True
+
+    def candidates(self, h: np.ndarray, threshold: float) -> np.ndarray:
+        """The items of which a text with the hashes ``h`` may hold the share ``threshold``."""
+        some = np.unique(h[self.bits[(h >> self.shift).astype(np.int64)]])
+        at = np.searchsorted(self.hash, some)
+        at = at[self.hash[np.minimum(at, len(self.hash) - 1)] == some] if len(some) else at
+        if not len(at):
+            return at
+        n = self.begin[at + 1] - self.begin[at]
+        rows = np.arange(n.sum()) + np.repeat(self.begin[at] - np.cumsum(n) + n, n)
+        item, shared = np.unique(self.owner[rows], return_counts=True)
+        return item[shared + self.twins[item] >= threshold * self.total[item] - 1e-9]
 
     def search(self, text: str | None, threshold: float) -> list[tuple[int | None, int, int]]:
         """(item, shingles shared, shingles of the item) of each item contained in ``text``."""
         joined, starts, ends = shingled(text, self.words)
         if not len(starts):
             return []
-        found = self.candidates(shingle_hashes(joined, starts, ends))
-        if not found:
+        found = self.candidates(shingle_hashes(joined, starts, ends), threshold)
+        if not len(found):
             return []
         own = {joined[a:b] for a, b in zip(starts.tolist(), ends.tolist())}
         out = []
-        for k in sorted(found):
+        for k in found.tolist():
             shared = len(own & self.shingles[k])
             if shared >= threshold * len(self.shingles[k]) - 1e-9:
                 out.append((self.ids[k], shared, len(self.shingles[k])))
