@@ -149,13 +149,13 @@ def _longs(x: np.ndarray) -> pa.Array:
 
 
 def candidates(tasks: DataFrame, threshold: float, wanted=None) -> DataFrame:
-    """(x, y, y_id, y_line): for each line ``x`` the earliest other line of a task that passes the bounds; if
+    """(x, y, y_id, y_content, y_line): for each line ``x`` the earliest other line of a task that passes the bounds; if
     ``wanted`` (the broadcast bitmap of lines) is given, all of them for those lines."""
     share = threshold / (1 + threshold)
 
     def passes(c, y, x):
         """Which pairs of rows pass all bounds; the map of words tells most of them apart and comes first."""
-        n, pos, bits = c[4], c[5], c[6]
+        n, pos, bits = c[5], c[6], c[7]
         nx, ny = n[x], n[y]
         need = (nx + ny) * share - 1e-9
         ok = np.bitwise_count(bits[x] & ~bits[y]) <= nx - need
@@ -175,7 +175,7 @@ def candidates(tasks: DataFrame, threshold: float, wanted=None) -> DataFrame:
             _, first = np.unique(np.stack([run_of, name]), axis=1, return_index=True) if len(task) else (0, run_of)
             keep = np.sort(first)
             c = [v[keep] for v in columns]
-            c[6] = c[6].view(np.uint64)
+            c[7] = c[7].view(np.uint64)
             task, rows = c[0], len(keep)
             begin = np.flatnonzero(np.concatenate([[True], task[1:] != task[:-1]]))
             end = np.concatenate([begin[1:], [rows]])
@@ -212,13 +212,13 @@ def candidates(tasks: DataFrame, threshold: float, wanted=None) -> DataFrame:
             else:
                 x, y = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (xs, ys))
             yield pa.RecordBatch.from_arrays(
-                [_longs(c[1][x]), _longs(c[1][y]), _longs(c[2][y]), pa.array(c[3][y].astype(np.int32))],
-                ["x", "y", "y_id", "y_line"],
+                [_longs(c[1][x]), *(_longs(c[k][y]) for k in (1, 2, 3)), pa.array(c[4][y].astype(np.int32))],
+                ["x", "y", "y_id", "y_content", "y_line"],
             )
 
-    dealt = tasks.select("task", "name", "doc_id", "line", "n", "pos", "bits")
-    dealt = dealt.repartition("task").sortWithinPartitions("task", "doc_id", "line", "name")
-    return dealt.mapInArrow(run, "x long, y long, y_id long, y_line int")
+    dealt = tasks.select("task", "name", "doc_id", "content", "line", "n", "pos", "bits")
+    dealt = dealt.repartition("task").sortWithinPartitions("task", "doc_id", "content", "line", "name")
+    return dealt.mapInArrow(run, "x long, y long, y_id long, y_content long, y_line int")
 
 
 def first_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -254,21 +254,27 @@ def first_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                 _longs(lines.hash[word]),
                 _longs(lines.name[row]),
                 pa.array(ids[row]),
+                pa.array(np.array(lines.contents, np.int64)[row]),
                 *(pa.array(v.astype(np.int32)) for v in (lines.line[row], lines.n[row], pos)),
                 _longs(lines.bits[row]),
             ],
-            ["word", "name", "doc_id", "line", "n", "pos", "bits"],
+            ["word", "name", "doc_id", "content", "line", "n", "pos", "bits"],
         )
 
     place = F.struct("doc_id", "content", "line")
     scanned = _scan(docs, words, places, "name long, doc_id long, content long, line int")
     classes = settled(scanned.groupBy("name").agg(F.min(place).alias("place")), "line-classes")
     keys = settled(
-        _scan(docs, words, prefixes, "word long, name long, doc_id long, line int, n int, pos int, bits long"),
+        _scan(
+            docs,
+            words,
+            prefixes,
+            "word long, name long, doc_id long, content long, line int, n int, pos int, bits long",
+        ),
         "line-prefixes",
     )
     tasks = block_tasks(keys, "word", "name", WORD_ROWS)
-    found = candidates(tasks, threshold).groupBy("x").agg(F.min(F.struct("y_id", "y_line", "y")).alias("y"))
+    found = candidates(tasks, threshold).groupBy("x").agg(F.min(F.struct("y_id", "y_content", "y_line", "y")).alias("y"))
     gone, left = _verified(docs, words, classes, settled(found.select("x", "y.y"), "line-pairs"), threshold)
     several = left.count()
     if several:
