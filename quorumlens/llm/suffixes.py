@@ -195,7 +195,11 @@ def _later_starts(entries: DataFrame, size: int) -> DataFrame:
     """Ranges of starts in ``entries`` (with bytes) of which another entry of the block has an earlier one."""
 
     def run(batches):
-        for block, _, content, lo, raws, ids, null in whole_runs(batches):
+        for block, place, content, lo, raws, ids, null in whole_runs(batches):
+            # Copies of a row have the same places: one of them is compared.
+            key = (block, place, null, ids, content, lo)
+            keep = np.concatenate([[True], np.any([v[1:] != v[:-1] for v in key], axis=0)])
+            block, content, lo, raws, ids, null = (v[keep] for v in (block, content, lo, raws, ids, null))
             run_of = np.unique(block, return_inverse=True)[1]
             size_of = np.fromiter(map(len, raws), np.int64, len(raws))
             ends = np.concatenate([[0], np.cumsum(size_of)])
@@ -237,7 +241,8 @@ def _later_starts(entries: DataFrame, size: int) -> DataFrame:
         F.coalesce("doc_id", F.lit(0)).alias("doc_id"),
         F.col("doc_id").isNull().alias("null"),
     )
-    return dealt.repartition("block").sortWithinPartitions("block", "place").mapInArrow(run, _RANGE)
+    dealt = dealt.repartition("block").sortWithinPartitions("block", "place", "null", "doc_id", "content", "lo")
+    return dealt.mapInArrow(run, _RANGE)
 
 
 def repeated_starts(texts: DataFrame, size: int = SIZE) -> DataFrame:
