@@ -11,8 +11,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorumlens.llm import bpe, decontaminate, lines, records, secrets, simhash, suffixes, toxicity, urls, vectors
-from quorumlens.llm.common import shared_folder
+from quorumlens.llm import bpe, decontaminate, lattice, lines, manifest, records, secrets, simhash, suffixes, toxicity
+from quorumlens.llm import tries, urls, vectors
+from quorumlens.llm.common import settled, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -273,3 +274,136 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     """SimHash components of all documents at four bits over four-word shingles."""
     found = simhash.near_duplicates(table(spark, sf, "documents"), words=4, radius=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _crc(text: str) -> str:
+    """SQL for the unsigned crc32 of a string of decimal digits."""
+    step = "lambda x, i: xor(x >> 1, 3988292384::UBIGINT * (x & 1))"
+    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::UBIGINT)"
+    folded = f"lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)::UBIGINT[]), {step})"
+    return f"xor(list_reduce(list_concat([4294967295::UBIGINT], {codes}), {folded}), 4294967295::UBIGINT)::BIGINT"
+
+
+@query("op11_language_model")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's log10 probability over all segmentations, learnt outside the held-out seventh."""
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
+    docs = table(spark, sf, "documents").select("doc_id", "text", held_out.alias("held_out"))
+    return lattice.score_corpus(docs, tokenizer("piece_bpe_32k.model"), ~F.col("held_out"), ["doc_id", "held_out"])
+
+
+def _manifest_sql(levels: int = 8) -> str:
+    """Nodes and proofs level by level; ``levels`` levels hold 16 ** levels rows of a source."""
+    enc = lambda x: f"CASE WHEN {x} IS NULL THEN '-' ELSE strlen({x}::VARCHAR)::VARCHAR || ':' || {x}::VARCHAR END"
+    leaf = lambda text: "sha256(" + " || ".join(map(enc, ["doc_id", "source", "lang", "n_chars", text])) + ")"
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    def tree(n: str, rows: str) -> str:
+        """Levels {n}0.. (tree, node, digest, size: nodes of the level), runs {n}r0.. and {n}last, the last nodes."""
+        out = [f"{n}0 AS (SELECT tree, idx AS node, digest, count(*) OVER (PARTITION BY tree) AS size FROM {rows})"]
+        for k in range(levels):
+            out += [
+                f"""{n}r{k} AS (SELECT tree, node // 16 AS node, list(digest ORDER BY node) AS run,
+                    (any_value(size) + 15) // 16 AS size FROM {n}{k} WHERE size > 1 GROUP BY tree, node // 16)""",
+                f"{n}{k + 1} AS (SELECT tree, node, sha256(array_to_string(run, '')) AS digest, size FROM {n}r{k})",
+            ]
+        last = " UNION ALL ".join(f"SELECT tree, digest FROM {n}{k} WHERE size = 1" for k in range(levels + 1))
+        return ", ".join([*out, f"{n}last AS ({last})"])
+
+    def walk(n: str, rows: str, tree: str, idx: str) -> str:
+        """Steps of ``cur`` and ``proof`` through the runs of a tree."""
+        out, last = [], rows
+        for k in range(levels):
+            at = f"w.{idx} // {16**k} % 16"
+            left, right = f"array_to_string(r.run[1:{at}], '')", f"array_to_string(r.run[{at} + 2:], '')"
+            out.append(
+                f"""{n}w{k} AS (SELECT w.* REPLACE (
+                    CASE WHEN r.run IS NULL THEN cur ELSE sha256({left} || cur || {right}) END AS cur,
+                    CASE WHEN r.run IS NULL THEN proof ELSE proof || {left} || {right} END AS proof)
+                FROM {last} w LEFT JOIN {n}r{k} r ON r.tree = {tree} AND r.node = w.{idx} // {16 ** (k + 1)})"""
+            )
+            last = f"{n}w{k}"
+        return ", ".join(out)
+
+    return f"""
+WITH hashed AS (SELECT doc_id, source, {leaf("text")} AS leaf,
+    CASE WHEN {_crc("doc_id::VARCHAR")} % 5 = 0 THEN {leaf(low)} ELSE {leaf("text")} END AS cur FROM documents),
+placed AS (SELECT doc_id, leaf, cur, '' AS proof, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM hashed),
+leaves AS (SELECT tree, idx, leaf AS digest FROM placed),
+{tree("a", "leaves")},
+subroots AS (SELECT 0 AS tree, tree AS idx, digest FROM alast),
+{tree("b", "subroots")},
+{walk("a", "placed", "w.tree", "idx")},
+{walk("b", f"aw{levels - 1}", "0", "tree")}
+SELECT w.doc_id, w.leaf, s.digest AS subroot, t.digest AS root, sha256(w.proof) AS proof_sha256,
+    w.cur AS folded_root, w.cur = t.digest AS verified
+FROM bw{levels - 1} w JOIN alast s ON s.tree = w.tree CROSS JOIN blast t
+"""
+
+
+@query("op12_merkle_manifest", _manifest_sql())
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's leaf and proof, and what they lead to once a fifth of the texts is tampered with."""
+    docs = table(spark, sf, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    low = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    hit = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    tampered = F.when(hit, manifest.leaf_digest(*fields, low))
+    made = manifest.build(docs, manifest.leaf_digest(*fields, F.col("text")), "source", "doc_id", {"tampered": tampered})
+    root, groups = made.root, made.groups
+
+    def digest(batches):
+        for batch in batches:
+            proofs, folded = [], []
+            at = [batch.schema.get_field_index(c) for c in ("tree", "idx", "size", "digest", "k_tampered", "path")]
+            for tree, idx, size, leaf, other, path in zip(*(batch.column(k).to_pylist() for k in at)):
+                proofs.append(hashlib.sha256(path.encode()).hexdigest())
+                shape = manifest.shape_of(idx, size) + manifest.shape_of(tree, groups)
+                folded.append(manifest.fold(other or leaf, path, shape))
+            same = batch.schema.get_field_index
+            columns = [batch.column(same("id")), batch.column(same("digest")), batch.column(same("note"))]
+            columns += [pa.array([root] * len(folded)), pa.array(proofs), pa.array(folded)]
+            columns.append(pa.array([f == root for f in folded]))
+            names = ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return manifest.prove(
+        made,
+        digest,
+        "doc_id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean",
+    )
+
+
+@query(
+    "op13_conversation_trie",
+    f"""
+WITH own AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+        PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT conv_id, conv_id - conv_id % 100 AS donor, {_crc("conv_id::VARCHAR")} % 6 AS h
+    FROM (SELECT DISTINCT conv_id FROM own)),
+parts AS (SELECT c.conv_id, 0 AS part, o.pos, o.role, o.text FROM convs c JOIN own o ON o.conv_id = c.donor AND o.pos <= c.h
+    UNION ALL SELECT c.conv_id, 1, o.pos, o.role, o.text FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.pos > c.h),
+whole AS (SELECT c.conv_id, coalesce(list(struct_pack(role := p.role, text := p.text) ORDER BY part, pos)
+    FILTER (p.pos IS NOT NULL), []) AS turns FROM convs c LEFT JOIN parts p ON p.conv_id = c.conv_id GROUP BY c.conv_id),
+steps AS (SELECT conv_id, unnest(range(len(turns) + 1)) AS depth, turns FROM whole),
+paths AS (SELECT conv_id, depth, turns[1:depth] AS path, depth = len(turns) AS ended FROM steps),
+nodes AS (SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ended), '')) AS ends FROM paths GROUP BY path, depth),
+kids AS (SELECT path[1:depth - 1] AS above, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+tree AS (SELECT n.*, coalesce(k.n, 0) AS children,
+    CASE WHEN n.depth = 0 THEN 0 ELSE (n.n - 1) * length(path[n.depth].text) END AS saved
+    FROM nodes n LEFT JOIN kids k ON k.above = n.path),
+below AS (SELECT path[1:d] AS top, count(*) FILTER (children = 0) AS leaves, sum(saved) AS saved
+    FROM (SELECT *, unnest(range(depth + 1)) AS d FROM tree) GROUP BY 1)
+SELECT t.conv_id, t.depth, p.conv_id AS parent_conv_id, t.n AS n_convs, t.children AS n_children, b.leaves AS n_leaves,
+    b.saved::BIGINT AS saved_tokens, t.ends AS ends_sha256
+FROM tree t JOIN below b ON b.top = t.path LEFT JOIN nodes p ON t.depth > 0 AND p.path = t.path[1:t.depth - 1]
+""",
+)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    """The prefix trie of conversations that take up to five first turns of the conversation that opens their hundred."""
+    turns = settled(tries.ordered_turns(table(spark, sf, "conversations")), "turns")
+    conv = F.col("conv_id")
+    return tries.trie(tries.rebuilt(turns, conv - conv % 100, F.crc32(conv.cast("string")) % 6, 5))
