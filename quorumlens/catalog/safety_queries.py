@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quorumlens.catalog import adapters as D
 from quorumlens.catalog.registry import query
 from quorumlens.functions import addresses as A
-from quorumlens.operators import carry, corroborate, intervals, reports, safety
+from quorumlens.operators import carry, corroborate, intervals, ordered, reports, safety
 from quorumlens.plans import run as plan
 
 JUDGED = D.JUDGED.format(scored="scored")
@@ -169,6 +169,26 @@ def jn03(spark, sf):
     return enrich(entries, D.ranges(spark, sf)).select("indicator", "asn", "country", "name")
 
 
+@query(
+    "jn03_overlapping_ranges",
+    D.with_sql(
+        D.OBS,
+        _ENT,
+        "rng AS (SELECT 16777216 + s_suppkey * 99991 AS lo, 16777216 + s_suppkey * 99991 + s_suppkey % 7 * 60000 AS hi, s_name AS name FROM supplier)",
+        select="SELECT indicator, CASE WHEN e.lo <= r.hi THEN r.name END AS name FROM (SELECT * FROM ent WHERE family = 4) e ASOF LEFT JOIN rng r ON e.lo >= r.lo "
+        "UNION ALL SELECT indicator, NULL FROM ent WHERE family = 6",
+    ),
+)
+def jn03_overlap(spark, sf):
+    """The range with the greatest start answers where ranges overlap, and only if it reaches the address."""
+    start = F.lit(16777216) + F.col("s_suppkey") * 99991
+    ranges = D.table(spark, sf, "supplier").select(
+        start.alias("lo"), (start + F.col("s_suppkey") % 7 * 60000).alias("hi"), F.col("s_name").alias("name")
+    )
+    entries = D.observations(spark, sf).select(*A.ADDRESS_COLUMNS).distinct()
+    return ordered.as_of(entries, ranges, ["name"], "net").select("indicator", "net.name")
+
+
 def _targets(spark, sf):
     """Orders as looked-up addresses, some of them unreadable."""
     o = D.table(spark, sf, "orders").select((F.col("o_orderkey") % 24000).alias("slot"), "o_orderkey")

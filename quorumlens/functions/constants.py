@@ -90,3 +90,7 @@ V6_RESERVED = (
     "8000::/3", "a000::/3", "c000::/3", "e000::/4", "f000::/5", "f800::/6", "fe00::/9",
 )
 V6_MULTICAST = ("ff00::/8",)
+
+# What stands for a network or country that no range names.
+UNKNOWN_NETWORK = "unrouted or unknown"
+UNKNOWN_COUNTRY = "??"

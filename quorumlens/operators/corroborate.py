@@ -135,7 +135,9 @@ def profiles(
         "first_seen",
         "last_seen",
     )
-    grouped = ev.groupBy(*keys, *ADDRESS_COLUMNS).agg(
+    # Grouped by the indicator alone, which names its address: a later join by indicator needs no shuffle.
+    grouped = ev.groupBy(*keys, "indicator").agg(
+        *[F.any_value(c).alias(c) for c in ADDRESS_COLUMNS if c != "indicator"],
         F.collect_list(row).alias("rows"),
         F.max("prior_level").alias("prior_level"),
         F.max(F.when(F.col("promotes").isNotNull(), F.struct("promotes", "source")))

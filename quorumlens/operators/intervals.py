@@ -1,241 +1,131 @@
-"""Interval lookups without nested loops.
+"""Lookups of addresses and networks in tables of networks, as joins on prefix keys.
 
-Ranges are laid out over the buckets they touch (the first 16 bits of the address) and merged with
-the entries in address order; a running maximum answers "which range starting at or before this
-entry reaches furthest".  One shuffle, one pass over the entries, no candidate pairs.
-
-Entries must be aggregated rows (one per indicator and key), as every caller's are: an IPv4 bucket
-then holds at most its 65,536 addresses per entry kind.  An IPv6 bucket has no such bound, so its
-entries are salted and its ranges repeated per salt.
+A network is its own key: (family, prefix length, leading bits).  An address lies in a network if it has that network's key at
+that network's length, so a probe has one key for every length present in the table, and containment in either
+direction is a hash join.  Only keys are probed: what belongs to an entry stays where it is, and the answer is joined
+to it by indicator.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quorumlens.functions.addresses import v6_network
-
-V6_SALTS = 64
+from quorumlens.functions.addresses import ADDRESS_COLUMNS, v6_network
+from quorumlens.operators.ordered import collapsed
+from quorumlens.session import written
 
+#: Networks up to which a table's keys are broadcast (at most 130 keys each); beyond, the join shuffles keys.
+BROADCAST_NETWORKS = 1_000
 
-def _first16(value: Column) -> Column:
-    return F.conv(F.hex(F.substring(value, 1, 2)), 16, 10).cast("int")
+_KEY = ["_how", "_f", "_p", "_k4", "_k6"]
+_INSIDE, _AROUND, _EXACT = 0, 1, 2
 
 
-def _spread(ranges: DataFrame, payload: list[str]) -> DataFrame:
-    """Ranges repeated for every bucket (and salt) they touch."""
+def _keyed(df: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` and the key columns of rows with ``_how``, ``family``, ``_p``, ``lo`` and ``lo6``."""
+    size = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.lit(32) - F.col("_p"))
     four = F.col("family") == 4
-    buckets = F.when(
-        four,
-        F.sequence(F.shiftright("lo", 16).cast("int"), F.shiftright("hi", 16).cast("int")),
-    ).otherwise(F.sequence(_first16(F.col("lo6")), _first16(F.col("hi6"))))
-    salts = F.when(four, F.array(F.lit(0))).otherwise(
-        F.sequence(F.lit(0), F.lit(V6_SALTS - 1))
-    )
-    reach = F.struct(
-        "hi",
-        "hi6",
-        (-F.col("lo")).alias("neg_lo"),
-        (-F.col("prefix")).alias("neg_prefix"),
-        F.struct(*payload).alias("payload"),
-    )
-    rows = ranges.select(
-        F.col("family").alias("_family"), "lo", "lo6", reach.alias("_range"), salts.alias("_salts"),
-        F.explode(buckets).alias("_bucket"),
-    ).select("*", F.explode("_salts").alias("_salt"))
-    return rows.select(
-        "_family",
-        "_bucket",
-        "_salt",
-        F.when(
-            F.col("_family") == 4,
-            F.greatest(F.col("lo"), F.shiftleft(F.col("_bucket").cast("bigint"), 16)),
-        ).alias("_at"),
-        F.col("lo6").alias("_at6"),
-        F.lit(0).alias("_kind"),
-        "_range",
+    return df.select(
+        *keep,
+        "_how",
+        F.col("family").cast("int").alias("_f"),
+        "_p",
+        F.when(four, F.col("lo") - F.col("lo") % size).otherwise(F.lit(-1)).alias("_k4"),
+        F.when(four, F.lit(b"")).otherwise(v6_network("lo6", "_p")).alias("_k6"),
     )
 
 
-def covering(
-    entries: DataFrame, ranges: DataFrame, payload: list[str], out: str = "match"
-) -> DataFrame:
-    """Add struct column ``out`` with ``payload`` of the range covering the entry's first address,
-    NULL if none does.  Where ranges nest, the outermost one is returned.
-
-    ``ranges`` has ``family`` and inclusive ``lo``/``hi`` or ``lo6``/``hi6``; ``prefix`` is needed for
-    IPv6 only.
-    """
-    if "prefix" not in ranges.columns:
-        ranges = ranges.withColumn("prefix", F.lit(None).cast("int"))
-    if "lo6" not in ranges.columns:
-        none = F.lit(None).cast("binary")
-        ranges = ranges.withColumns({"lo6": none, "hi6": none})
-    build = _spread(ranges, payload)
-    four = F.col("family") == 4
-    plain = ("tinyint", "int", "bigint", "string", "binary")
-    spread_by = F.xxhash64(*[F.col(c) for c, t in entries.dtypes if t in plain])
-    probe = entries.select(
-        F.col("family").alias("_family"),
-        F.when(four, F.shiftright("lo", 16).cast("int")).otherwise(_first16(F.col("lo6"))).alias("_bucket"),
-        F.when(four, F.lit(0))
-        .otherwise(F.pmod(spread_by, F.lit(V6_SALTS)).cast("int"))
-        .alias("_salt"),
-        F.col("lo").alias("_at"),
-        F.col("lo6").alias("_at6"),
-        F.lit(1).alias("_kind"),
-        F.lit(None).cast(build.schema["_range"].dataType).alias("_range"),
-        F.struct(*entries.columns).alias("_row"),
-    )
-    build = build.withColumn("_row", F.lit(None).cast(probe.schema["_row"].dataType))
-    order = (
-        Window.partitionBy("_family", "_bucket", "_salt")
-        .orderBy("_at", "_at6", "_kind")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    merged = probe.unionByName(build).withColumn("_best", F.max("_range").over(order))
-    reaches = F.when(F.col("_family") == 4, F.col("_best.hi") >= F.col("_at")).otherwise(
-        F.col("_best.hi6") >= F.col("_at6")
-    )
-    hit = F.when(reaches, F.col("_best.payload"))
-    return merged.filter("_kind = 1").select("_row.*", hit.alias(out))
+def _lengths(networks: DataFrame, family: str = "family", prefix: str = "prefix") -> Column:
+    """The prefix lengths that occur in a table's networks of the row's ``family`` (at most 162 in all)."""
+    found = networks.select(F.col(family).cast("int"), F.col(prefix).cast("int")).distinct().collect()
+    of = lambda f: F.array(*[F.lit(p) for p in sorted(p for x, p in found if x == f)]).cast("array<int>")
+    return F.when(F.col("family") == 4, of(4)).otherwise(of(6))
 
 
-def _blocks_around(starts: DataFrame) -> DataFrame:
-    """Every network, of any prefix length, that contains the first address of an allowed range."""
-    four = (
-        starts.filter("family = 4")
-        .select("lo")
-        .distinct()
-        .withColumn("_p", F.explode(F.sequence(F.lit(0), F.lit(32))))
+def overlapping(entries: DataFrame, allowed: DataFrame) -> DataFrame:
+    """Indicators of ``entries`` that lie in a network of ``allowed`` or contain (part of) one."""
+    nets = allowed.select("family", "prefix", "lo", "lo6").distinct()
+    upward = F.sequence(F.lit(0), F.col("prefix").cast("int"))
+    keys = _keyed(nets.select("*", F.lit(_INSIDE).alias("_how"), F.col("prefix").cast("int").alias("_p"))).union(
+        _keyed(nets.select("*", F.lit(_AROUND).alias("_how"), F.explode(upward).alias("_p"))).distinct()
     )
-    size = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.lit(32) - F.col("_p"))
-    six = (
-        starts.filter("family = 6")
-        .select("lo6")
-        .distinct()
-        .withColumn("_p", F.explode(F.sequence(F.lit(0), F.lit(128))))
-    )
-    none = F.lit(None)
-    keys4 = four.select(
-        F.lit(4).cast("tinyint").alias("_f"),
-        "_p",
-        (F.col("lo") - F.col("lo") % size).alias("_k4"),
-        none.cast("binary").alias("_k6"),
+    if nets.limit(BROADCAST_NETWORKS + 1).count() <= BROADCAST_NETWORKS:
+        keys = F.broadcast(keys)
+    width = F.coalesce(F.col("prefix"), F.when(F.col("family") == 4, 32).otherwise(128)).cast("int")
+    inside = F.transform(
+        F.filter(_lengths(nets), lambda p: p <= width), lambda p: F.struct(F.lit(_INSIDE).alias("_how"), p.alias("_p"))
     )
-    keys6 = six.select(
-        F.lit(6).cast("tinyint").alias("_f"),
-        "_p",
-        none.cast("bigint").alias("_k4"),
-        v6_network("lo6", "_p").alias("_k6"),
-    )
-    return keys4.unionByName(keys6).distinct().withColumn("_contains", F.lit(True))
+    own = F.struct(F.lit(_AROUND).alias("_how"), F.col("prefix").cast("int").alias("_p"))
+    around = F.when(F.col("prefix").isNotNull(), F.array(own)).otherwise(F.array().cast("array<struct<_how:int,_p:int>>"))
+    probes = entries.select("indicator", "family", "lo", "lo6", F.inline(F.concat(inside, around)))
+    return _keyed(probes, "indicator").join(keys, _KEY, "left_semi").select("indicator").distinct()
 
 
-def flag_overlap(entries: DataFrame, allowed: DataFrame, out: str = "allowlisted") -> DataFrame:
+def flag_overlap(
+    entries: DataFrame, allowed: DataFrame, out: str = "allowlisted", keys: DataFrame | None = None
+) -> DataFrame:
     """Add boolean ``out``: the entry lies in an allowed network, or contains (part of) one.
 
-    ``allowed`` holds networks with the address columns; ``entries`` are distinct indicators.
+    ``allowed`` holds networks with the address columns; ``entries`` are distinct indicators.  ``keys``: the address
+    columns of the entries, where they can be had for less than ``entries``.
     """
-    spans = allowed.select("family", "prefix", "lo", "hi", "lo6", "hi6").distinct()
-    inside = covering(entries, spans, ["family"], "_inside")
-    keys = _blocks_around(spans)
-    around = (
-        (inside["family"] == keys["_f"])
-        & (inside["prefix"] == keys["_p"])
-        & inside["lo"].eqNullSafe(keys["_k4"])
-        & inside["lo6"].eqNullSafe(keys["_k6"])
+    probed = (entries if keys is None else keys).select(*ADDRESS_COLUMNS)
+    hits = overlapping(probed, allowed).withColumn(out, F.lit(True))
+    return entries.join(hits, "indicator", "left").select(
+        *entries.columns, F.coalesce(F.col(out), F.lit(False)).alias(out)
     )
-    hit = F.col("_inside").isNotNull() | F.coalesce(F.col("_contains"), F.lit(False))
-    return inside.join(keys, around, "left").select(*entries.columns, hit.alias(out))
 
 
 def without_overlap(entries: DataFrame, allowed: DataFrame) -> DataFrame:
     """Entries that touch no allowed network in either direction."""
-    return flag_overlap(entries, allowed, "_allowed").filter("not _allowed").drop("_allowed")
+    return entries.join(overlapping(entries, allowed), "indicator", "left_anti").select(*entries.columns)
 
 
 def explain_targets(targets: DataFrame, published: DataFrame) -> DataFrame:
     """For each looked-up address: the published entry of that very text, else the first published
     network (in address order) containing it.  Adds ``matched`` and ``match_kind``.
 
-    ``targets`` holds ``target`` and its address columns; the address is NULL where unreadable.
+    ``targets`` holds ``target`` and its address columns; the address is NULL where unreadable.  The keys of
+    ``published``, texts and networks, are written once to the shared folder.
     """
+    text = F.struct(
+        F.lit(_EXACT).alias("_how"), F.lit(0).alias("_f"), F.lit(-1).alias("_p"), F.lit(-1).cast("bigint").alias("_k4"),
+        F.col("indicator").cast("binary").alias("_k6"),
+    )
+    net = F.struct(
+        F.lit(_INSIDE).alias("_how"),
+        F.col("family").cast("int").alias("_f"),
+        F.col("prefix").cast("int").alias("_p"),
+        F.coalesce("lo", F.lit(-1).cast("bigint")).alias("_k4"),
+        F.coalesce("lo6", F.lit(b"")).alias("_k6"),
+    )
+    both = F.when(F.col("is_net"), F.array(text, net)).otherwise(F.array(text))
+    keys = written(published.select(F.col("indicator").alias("found"), F.inline(both)), "published-keys")
     wanted = targets.select("target", "indicator", "family", "is_net", "lo", "lo6").distinct()
-    listed = published.select(F.col("indicator").alias("_listed")).distinct()
-    looked = wanted.join(listed, wanted["indicator"] == listed["_listed"], "left")
-    nets = published.filter("is_net").select(
-        "family", "prefix", "lo", "hi", "lo6", "hi6", F.col("indicator").alias("net")
-    )
-    found = covering(looked, nets, ["net"], "_net")
     single = ~F.coalesce("is_net", F.lit(True))
-    return found.select(
+    lengths = _lengths(keys.where("_p >= 0"), "_f", "_p")
+    inside = wanted.where(single).select(
+        "target", "family", "lo", "lo6", F.lit(_INSIDE).alias("_how"), F.explode(lengths).alias("_p")
+    )
+    exact = wanted.where("indicator is not null").select("target", text.alias("_x")).select("target", "_x.*")
+    probes = _keyed(inside, "target").unionByName(exact)
+    hits = probes.join(keys, _KEY).groupBy("target").agg(
+        F.max(F.when(F.col("_p") < 0, F.col("found"))).alias("listed"),
+        # The widest network around an address is the first in address order.
+        F.min(F.when(F.col("_p") >= 0, F.struct("_p", "found"))).getField("found").alias("around"),
+    )
+    return wanted.join(hits, "target", "left").select(
         "target",
-        F.coalesce("_listed", F.when(single, F.col("_net.net"))).alias("matched"),
-        F.when(F.col("_listed").isNotNull(), "exact")
+        F.coalesce("listed", "around").alias("matched"),
+        F.when(F.col("listed").isNotNull(), "exact")
         .when(~single, "invalid")
-        .when(F.col("_net").isNotNull(), "inside")
+        .when(F.col("around").isNotNull(), "inside")
         .otherwise("absent")
         .alias("match_kind"),
     )
 
 
 def aggregated_runs(networks: DataFrame) -> DataFrame:
-    """IPv6 networks that collapse into a larger block together: (aggregate, member) rows.
-
-    A block is fully listed when its disjoint listed parts add up to its size, so the collapse is
-    one sum per ancestor block instead of a merge loop.  Shares are counted in units of 2**-120 of
-    the block, exactly, in DECIMAL.
-    """
-    nets = networks.select("lo6", "prefix", "indicator").distinct()
-    # n networks of at least the shortest prefix p cannot fill a block wider than p - log2(n).
-    widest = nets.agg(
-        (F.min("prefix") - F.floor(F.log2(F.count("*"))).cast("int")).alias("p")
-    ).scalar()
-    lowest = F.greatest(F.col("prefix") - F.lit(120), F.col("_widest"), F.lit(0))
-    chain = nets.withColumn("_widest", widest).select(
-        "lo6",
-        "prefix",
-        "indicator",
-        F.explode(F.sequence(lowest, F.col("prefix"))).alias("block_prefix"),
-    ).withColumn("block", v6_network("lo6", "block_prefix"))
-    own = nets.select(
-        F.col("prefix").alias("block_prefix"), F.col("lo6").alias("block"), F.lit(True).alias("_listed")
-    ).distinct()
-    # Nets inside another listed net do not count twice.
-    nested = (
-        chain.filter("block_prefix < prefix")
-        .join(own, ["block_prefix", "block"], "left_semi")
-        .select("lo6", "prefix")
-        .distinct()
-    )
-    top = chain.join(nested, ["lo6", "prefix"], "left_anti")
-    depth = F.col("prefix") - F.col("block_prefix")
-    units = F.lit(120) - depth
-
-    def power(e):
-        third = F.least(F.greatest(e, F.lit(0)), F.lit(40))
-        return F.call_function("shiftleft", F.lit(1).cast("bigint"), third.cast("int")).cast("decimal(13,0)")
-
-    share = (
-        (power(units) * power(units - 40)).cast("decimal(26,0)") * power(units - 80)
-    ).cast("decimal(38,0)")
-    whole = F.lit(str(2**120)).cast("decimal(38,0)")
-    full = (
-        top.groupBy("block_prefix", "block")
-        .agg(F.sum(share).alias("_s"))
-        .filter(F.col("_s") == whole)
-        .select("block_prefix", "block")
-    )
-    parents = full.select(
-        (F.col("block_prefix") + 1).alias("block_prefix"),
-        F.col("block").alias("_parent"),
-    )
-    child = full.withColumn("_parent", v6_network("block", "(block_prefix - 1)"))
-    roots = child.join(parents, ["block_prefix", "_parent"], "left_anti").drop("_parent")
-    members = chain.join(roots, ["block_prefix", "block"]).select(
-        "block_prefix", "block", F.col("indicator").alias("member")
-    )
-    sizes = members.groupBy("block_prefix", "block").agg(F.count("*").alias("members"))
-    return members.join(sizes.filter("members > 1"), ["block_prefix", "block"])
+    """IPv6 networks that collapse into a larger block together: (block, block_prefix, member, members) rows."""
+    return collapsed(networks).filter("members > 1")

@@ -9,7 +9,7 @@ from quorumlens.functions import addresses as A
 from quorumlens.functions import constants as K
 from quorumlens.functions import measures as M
 from quorumlens.functions import scoring as S
-from quorumlens.operators.intervals import covering
+from quorumlens.operators.ordered import as_of
 
 
 def _counted_entries(observations: DataFrame, *extra: str) -> DataFrame:
@@ -20,14 +20,13 @@ def _counted_entries(observations: DataFrame, *extra: str) -> DataFrame:
 def enrich(entries: DataFrame, ranges: DataFrame) -> DataFrame:
     """Add asn, country and network name of the first address; 0 / ?? where unknown or IPv6.
 
-    ``entries`` are aggregated rows (see intervals); ranges are disjoint.
+    The range with the greatest start at or before the address answers, if it reaches the address.
     """
-    table = ranges.withColumn("family", F.lit(4).cast("tinyint"))
-    return covering(entries, table, ["asn", "country", "name"], "_net").select(
+    return as_of(entries, ranges, ["asn", "country", "name"], "_net").select(
         *entries.columns,
         F.coalesce("_net.asn", F.lit(0).cast("bigint")).alias("asn"),
-        F.coalesce("_net.country", F.lit("??")).alias("country"),
-        F.coalesce("_net.name", F.lit("unrouted or unknown")).alias("name"),
+        F.coalesce("_net.country", F.lit(K.UNKNOWN_COUNTRY)).alias("country"),
+        F.coalesce("_net.name", F.lit(K.UNKNOWN_NETWORK)).alias("name"),
     )
 
 

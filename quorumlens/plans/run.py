@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quorumlens.functions.addresses import ADDRESS_COLUMNS
 from quorumlens.operators import carry, corroborate, intervals, reports, safety
 from quorumlens.operators.corroborate import Rules
 from quorumlens.sinks import writers
@@ -53,11 +54,13 @@ def judge(
 ) -> DataFrame:
     """Scored rows of all tiers with ``allowlisted``, ``drop_reason`` and ``benign_capped``.
 
-    The allowlist lookup runs once per indicator, before the tiers fan out; filtering comes after
-    scoring, so restricted sources still corroborate.
+    The allowlist lookup runs once per indicator and on its address alone; the answer joins the profile, which is
+    already dealt by indicator, before the tiers fan out.  Filtering comes after scoring, so restricted sources still
+    corroborate.
     """
     profile = corroborate.profiles(observations, sources, as_of, rules)
-    flagged = intervals.flag_overlap(profile, allowed)
+    keys = observations.select(*ADDRESS_COLUMNS).distinct()
+    flagged = intervals.flag_overlap(profile, allowed, keys=keys)
     scored = corroborate.score(flagged, tiers, rules)
     if state is not None:
         scored = carry.merge_first_seen(scored, state)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,11 +39,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from there.
+def written(df: DataFrame, kind: str) -> DataFrame:
+    """Write ``df`` to a new folder below the shared checkpoint folder and read it back.
 
-    Used where several outputs hang off one expensive result, so that a lost executor costs a
-    re-read rather than a recomputation.
+    Used where several jobs need one result, so that it is made once and a lost executor costs a re-read rather than a
+    recomputation.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    folder = f"{checkpoint_dir(df.sparkSession)}/{kind}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
