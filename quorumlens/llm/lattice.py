@@ -47,7 +47,7 @@ TASK_WORDS = 50_000
 #: Arcs a level from which on they are added up as arrays.
 FEW = 24
 #: Distinct words and bytes of them that a task counts before it passes them on.
-HELD, HELD_BYTES = 200_000, 32 << 20
+HELD, HELD_BYTES = 400_000, 32 << 20
 #: Fixed values of the vocabulary file: its word mark, and its piece that ends a text.
 MARK, END = "▁", "</s>"
 
@@ -100,12 +100,18 @@ class Lattice:
         self.first = self.last - sizes + 1
         self.codes = np.frombuffer(self.text.encode("utf-32-le", "surrogatepass"), np.uint32)
         self.byte_logs = np.array([self._by_bytes(c) for c in range(128)])
+        self.held: tuple | None = None
 
     def _by_bytes(self, code: int) -> float:
         return float(self.logs[self.vocab.bytes[list(chr(code).encode("utf-8", "surrogatepass"))]].sum())
 
     def arcs(self, low: int, high: int):
         """(from, to, piece or -1 for a character by its bytes, log weight) of arcs that end in (low, high]."""
+        if self.held is None or self.held[0] != (low, high):
+            self.held = (low, high), self._arcs(low, high)
+        return self.held[1]
+
+    def _arcs(self, low: int, high: int):
         at = max(0, low - self.vocab.longest + 1)
         found = chain.from_iterable(self.vocab.automaton.iter(self.text, at, high))
         pair = np.fromiter(found, np.int64).reshape(-1, 2)
@@ -210,35 +216,29 @@ def count_words(docs: DataFrame, learns: Column, text_col: str = "text") -> Data
     """(word, n, seen): uses of each word in documents that teach and in all; the empty word is the end of a text."""
 
     def run(batches):
-        taught: Counter[bytes] = Counter()
-        seen: Counter[bytes] = Counter()
+        # Words of documents that teach, and of the others.
+        counts: list[Counter[bytes]] = [Counter(), Counter()]
         held = 0
 
         def emit():
-            for at in range(0, len(keys := list(seen)), 20_000):
-                some = keys[at : at + 20_000]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(some, pa.binary()),
-                        pa.array([taught[w] for w in some], pa.int64()),
-                        pa.array([seen[w] for w in some], pa.int64()),
-                    ],
-                    ["word", "n", "seen"],
-                )
-            taught.clear()
-            seen.clear()
+            for teaches, count in enumerate(counts):
+                words, uses = list(count), list(count.values())
+                for at in range(0, len(words), 20_000):
+                    n = pa.array(uses[at : at + 20_000], pa.int64())
+                    taught = n if teaches else pa.array([0] * len(n), pa.int64())
+                    word = pa.array(words[at : at + 20_000], pa.binary())
+                    yield pa.RecordBatch.from_arrays([word, taught, n], ["word", "n", "seen"])
+                count.clear()
 
         for batch in batches:
             for text, teaches in zip(batch.column(0), batch.column(1).to_pylist()):
                 words = words_of(text.as_py())
                 words.append(b"")
-                seen.update(words)
-                if teaches:
-                    taught.update(words)
+                counts[teaches].update(words)
                 held += sum(map(len, words))
-                full = len(seen) > HELD
+                full = sum(map(len, counts)) > HELD
                 if held > HELD_BYTES:
-                    full, held = full or sum(map(len, seen)) > HELD_BYTES // 2, 0
+                    full, held = full or sum(len(w) for c in counts for w in c) > HELD_BYTES // 2, 0
                 if full:
                     yield from emit()
         yield from emit()
@@ -347,29 +347,33 @@ def score(
         keys, base, weight, known = table.value
         at = {k: i for i, k in enumerate(keys)}
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
+            totals, rest, uses, ends = [], [], [], [0]
             for text in batch.column(0):
                 words = words_of(text.as_py())
                 words.append(b"")
-                places, uses, others = [], [], []
-                for word, n in Counter(words).items():
-                    k = at.get(word)
-                    if k is None and len(word) > KEY_BYTES:
-                        word = key_of(word)
-                        k = at.get(word)
-                    if k is None:
-                        others.append({"key": word, "uses": n})
-                    else:
-                        places.append(k)
-                        uses.append(n)
-                p, n = np.array(places, np.int64), np.array(uses, np.int64)
-                found = (len(words), int(n[known[p]].sum()), float(n @ base[p]), float(n @ weight[p]), others)
-                for column, value in zip(out, found):
-                    column.append(value)
+                counted = Counter(words)
+                if max(map(len, counted)) > KEY_BYTES:
+                    counted = {key_of(w): n for w, n in counted.items()}
+                k = np.array([at.get(w, -1) for w in counted])
+                n = np.fromiter(counted.values(), np.int64, len(counted))
+                own = list(counted)
+                for other in np.flatnonzero(k < 0).tolist():
+                    rest.append(own[other])
+                    uses.append(n[other])
+                ends.append(len(rest))
+                p, n = k[k >= 0], n[k >= 0]
+                totals.append((len(words), int(n[known[p]].sum()), float(n @ base[p]), float(n @ weight[p])))
+            pairs = pa.StructArray.from_arrays(
+                [pa.array(rest, pa.binary()), pa.array(np.array(uses, np.int32))], ["key", "uses"]
+            )
+            columns = list(zip(*totals)) or [[], [], [], []]
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-            kinds.append(pa.list_(pa.struct([("key", pa.binary()), ("uses", pa.int32())])))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], *(pa.array(v, k) for v, k in zip(out, kinds))],
+                [
+                    *batch.columns[1:],
+                    *(pa.array(v, kind) for v, kind in zip(columns, kinds)),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs),
+                ],
                 [*batch.schema.names[1:], "n_tokens", "known", "base", "own", "others"],
             )
 
