@@ -129,7 +129,7 @@ class Shard:
         return out
 
 
-def _shards(batches):
+def _shards(batches, most_rows: int, most_turns: int):
     """Shards of rows (conv_id, pos, turn, size) sorted by conv_id and pos."""
     ids: list[int] = []
     turns: list[list[bytes]] = []
@@ -138,7 +138,7 @@ def _shards(batches):
     for batch in batches:
         for conv, pos, turn, size in zip(*(c.to_pylist() for c in batch.columns)):
             if pos == 0:
-                if ids and (held >= SHARD_TURNS or len(ids) >= SHARD_ROWS):
+                if ids and (held >= most_turns or len(ids) >= most_rows):
                     yield Shard(ids, turns, sizes)
                     ids, turns, sizes, held = [], [], [], 0
                 ids.append(conv)
@@ -167,9 +167,15 @@ _LONG, _BIN = pa.int64(), pa.binary()
 _LOCAL_TYPES = [_LONG, _LONG, _BIN, pa.int32(), _LONG, _LONG, _LONG, _LONG, _BIN, _LONG]
 
 
-def _walked(batches):
-    for shard in _shards(batches):
-        yield from _batches(shard.nodes(), _LOCAL_TYPES, _NAMES)
+def local_nodes(turns: DataFrame, shard_rows: int = SHARD_ROWS, shard_turns: int = SHARD_TURNS) -> DataFrame:
+    """The nodes of every shard (_LOCAL) of conversations (conv_id, pos, turn, size)."""
+
+    def walk(batches):
+        for shard in _shards(batches, shard_rows, shard_turns):
+            yield from _batches(shard.nodes(), _LOCAL_TYPES, _NAMES)
+
+    rows = turns.select("conv_id", "pos", "turn", "size").repartitionByRange("conv_id")
+    return rows.sortWithinPartitions("conv_id", "pos").mapInArrow(walk, _LOCAL)
 
 
 def _summed(batches):
@@ -244,14 +250,13 @@ def _digests(batches):
     yield from _batches(rows(), [_BIN, pa.string()], ["key", "ends_sha256"])
 
 
-def trie(turns: DataFrame) -> DataFrame:
+def trie(turns: DataFrame, shard_rows: int = SHARD_ROWS, shard_turns: int = SHARD_TURNS) -> DataFrame:
     """The nodes of conversations (conv_id, pos, turn, size), one row of pos 0 in each.
 
     conv_id (smallest member), depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256.  A node's turns
     are the first ``depth`` turns of conversation ``conv_id``.
     """
-    rows = turns.select("conv_id", "pos", "turn", "size").repartitionByRange("conv_id").sortWithinPartitions("conv_id", "pos")
-    local = settled(rows.mapInArrow(_walked, _LOCAL), "local-nodes")
+    local = settled(local_nodes(turns, shard_rows, shard_turns), "local-nodes")
     owners = local.groupBy("key").agg(F.min("first").alias("owner"), (F.sum("n") == F.sum("n_ends")).alias("childless"))
     told = local.select("shard", "place", "key", "depth", "first", "n", "size").join(owners, "key")
     told = told.select("shard", "place", "key", "depth", "first", "n", "size", "owner", "childless")

@@ -49,21 +49,19 @@ def model(rows):
     return sorted(out, key=str)
 
 
-def found(spark, rows, parts=4):
+def found(spark, rows, parts=4, **shards):
     df = spark.createDataFrame([(*r, 1, "s", 2) for r in rows], SCHEMA).repartition(parts)
     turns = tries.settled(tries.ordered_turns(df), "turns")
     conv = F.col("conv_id")
-    out = tries.trie(tries.rebuilt(turns, conv - conv % 100, F.crc32(conv.cast("string")) % 6, 5))
+    out = tries.trie(tries.rebuilt(turns, conv - conv % 100, F.crc32(conv.cast("string")) % 6, 5), **shards)
     return sorted((tuple(r) for r in out.collect()), key=str)
 
 
-@pytest.fixture(params=[(4096, 32768), (7, 10_000), (4096, 9)])
-def shards(spark, monkeypatch, request):
-    monkeypatch.setattr(tries, "SHARD_ROWS", request.param[0])
-    monkeypatch.setattr(tries, "SHARD_TURNS", request.param[1])
+@pytest.fixture(params=[{}, {"shard_rows": 7}, {"shard_turns": 9}])
+def shards(spark, request):
     before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    yield
+    yield request.param
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
 
 
@@ -82,7 +80,7 @@ def test_trie_matches_a_plain_one(spark, shards):
     rows += [(20, None, "user", "first"), (20, None, None, None), (20, 0, "user", "tie"), (20, 0, "user", "tie")]
     rows += [(None, 0, "user", "nobody's"), (None, 1, "user", "hi")]
     rng.shuffle(rows)
-    assert found(spark, rows) == model(rows)
+    assert found(spark, rows, **shards) == model(rows)
 
 
 def test_conversations_that_lose_all_turns_are_members_of_the_root(spark):
@@ -98,13 +96,9 @@ def test_no_conversations(spark):
     assert found(spark, [], 1) == [] and found(spark, [(None, 1, "user", "x")], 1) == []
 
 
-def test_a_hot_first_turn_meets_in_no_task(spark, monkeypatch):
-    monkeypatch.setattr(tries, "SHARD_ROWS", 50)
+def test_a_hot_first_turn_meets_in_no_task(spark):
     rows = [(c * 100, t, "user", "same" if t == 0 else f"{c}") for c in range(1_000) for t in range(2)]
-    df = spark.createDataFrame([(*r, 1, "s", 2) for r in rows], SCHEMA)
-    turns = tries.ordered_turns(df).withColumn("size", F.col("size"))
-    start = turns.select("conv_id", F.lit(0).alias("pos"), F.lit(None).cast("binary").alias("turn"), F.lit(0).cast("long").alias("size")).distinct()
-    rows = start.union(turns).repartitionByRange("conv_id").sortWithinPartitions("conv_id", "pos")
-    local = rows.mapInArrow(tries._walked, tries._LOCAL)
-    hot = local.where("depth = 1").select("n").collect()
+    turns = tries.ordered_turns(spark.createDataFrame([(*r, 1, "s", 2) for r in rows], SCHEMA))
+    start = turns.where("pos = 1").select("conv_id", F.lit(0).alias("pos"))
+    hot = tries.local_nodes(turns.unionByName(start, allowMissingColumns=True), shard_rows=50).where("depth = 1").select("n").collect()
     assert len(hot) >= 20 and max(r.n for r in hot) <= 50 and sum(r.n for r in hot) == 1_000
