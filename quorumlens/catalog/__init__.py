@@ -3,6 +3,7 @@
 from quorumlens.catalog import (  # noqa: F401
     address_queries,
     ingest_queries,
+    run_queries,
     safety_queries,
     scoring_queries,
     sink_queries,

@@ -8,6 +8,7 @@ from quorumlens.catalog import adapters as D
 from quorumlens.catalog.registry import query
 from quorumlens.functions import addresses as A
 from quorumlens.functions import text as X
+from quorumlens.operators.ordered import ranked
 
 QUAD = r"[0-9]+[.][0-9]+[.][0-9]+[.][0-9]+"
 H = {k: f"CAST('{2**k}' AS HUGEINT)" for k in (12, 32, 40, 48, 80, 84, 96, 112, 116)}
@@ -219,15 +220,11 @@ def fn12(spark, sf):
 )
 def fn13(spark, sf):
     """Position of each entry within its top block, by number and never by text."""
-    from pyspark.sql import Window
-
     block = F.when(F.col("family") == 4, F.shiftright("lo", 24)).otherwise(
         F.conv(F.hex(F.substring("lo6", 1, 4)), 16, 10).cast("bigint") + (1 << 32)
     )
-    w = Window.partitionBy("_b").orderBy(*A.sort_key())
-    return (
-        entries(spark, sf).withColumn("_b", block).select("indicator", F.row_number().over(w).alias("position"))
-    )
+    keys = entries(spark, sf).select("indicator", "family", "lo", "lo6", "prefix", block.alias("block"))
+    return ranked(keys, "block", A.sort_key(), "position").select("indicator", "position")
 
 
 @query(

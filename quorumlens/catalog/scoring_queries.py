@@ -171,8 +171,7 @@ _SCENARIO_CTE = (
 )
 def ag39(spark, sf):
     """Published, high and medium with and without a source, and per score floor."""
-    obs = reports.with_scenarios(D.observations(spark, sf), _SCENARIOS)
-    out = C.corroborate(obs, D.sources(spark), D.AS_OF, C.TIERS, D.RULES, ("scenario",))
+    out = C.corroborate_scenarios(D.observations(spark, sf), D.sources(spark), D.AS_OF, _SCENARIOS, C.TIERS, D.RULES)
     return reports.band_counts(out, "scenario")
 
 

@@ -371,8 +371,8 @@ P1 = "p1 AS (SELECT *, coalesce(prefix, CASE WHEN family = 4 THEN 32 ELSE 128 EN
 SUB64 = f"CASE WHEN NOT is_net THEN 1 WHEN family = 4 THEN hi - lo + 1 ELSE greatest((hi - lo + 1) // CAST('{2**64}' AS HUGEINT), 1) END"
 
 
-def fsql(select: str) -> str:
-    return psql(select, P1)
+def fsql(select: str, *more: str) -> str:
+    return psql(select, P1, *more)
 
 
 def primary(spark, sf):
@@ -452,20 +452,46 @@ def fl11(spark, sf):
     )
 
 
+_SIX = "(SELECT * FROM p1 WHERE family = 6)"
+
+
 @query(
     "ag19_flat_dimensions",
     fsql(
-        "SELECT family::BIGINT AS family, analysis, v AS distinct_values FROM (SELECT family, unnest([{'analysis': 'Score distribution', 'v': count(DISTINCT score)}, {'analysis': 'Band split', 'v': count(DISTINCT band)}, "
-        "{'analysis': 'Category breakdown', 'v': count(DISTINCT categories)}, {'analysis': 'Corroboration histogram', 'v': (SELECT count(DISTINCT c) FROM (SELECT unnest(classes) AS c FROM p1 q WHERE q.family = p1.family))}, "
-        "{'analysis': 'Added and removed each run', 'v': (SELECT count(DISTINCT c) FROM (SELECT unnest(sources) AS c FROM p1 q WHERE q.family = p1.family))}], recursive := true) FROM p1 GROUP BY family) WHERE v < 2 "
-        "UNION ALL SELECT 6::BIGINT, 'Network and ASN persistence', 0::BIGINT"
+        "SELECT 6::BIGINT AS family, analysis, v AS distinct_values, reason FROM (SELECT unnest(["
+        "{'analysis': 'Score distribution', 'v': count(DISTINCT score), 'reason': concat('all scores are ', round(min(score), 1))}, "
+        "{'analysis': 'Band split', 'v': count(DISTINCT band), 'reason': concat('all entries are ', min(band))}, "
+        "{'analysis': 'Category breakdown', 'v': count(DISTINCT list_sort(categories)), 'reason': 'all entries have one set of categories'}, "
+        f"{{'analysis': 'Corroboration histogram', 'v': (SELECT count(DISTINCT c) FROM (SELECT unnest(classes) AS c FROM {_SIX})), "
+        f"'reason': concat((SELECT count(DISTINCT c) FROM (SELECT unnest(classes) AS c FROM {_SIX})), ' class in all')}}, "
+        f"{{'analysis': 'Added and removed each run', 'v': (SELECT count(DISTINCT c) FROM (SELECT unnest(sources) AS c FROM {_SIX})), 'reason': 'one source, so all entries come and go together'}}, "
+        "{'analysis': 'Network and ASN persistence', 'v': 0::BIGINT, 'reason': 'no range names an IPv6 network'}"
+        f"], recursive := true) FROM {_SIX} HAVING count(*) > 0) WHERE v < 2"
     ),
 )
 def ag19(spark, sf):
-    """Analyses without signal, per family."""
+    """IPv6 analyses without signal, and why."""
     return families.flat_dimensions(primary(spark, sf))
 
 
+@query(
+    "ag19_flat_after_one_source",
+    fsql(
+        "SELECT 6::BIGINT AS family, analysis, v AS distinct_values FROM (SELECT unnest(["
+        "{'analysis': 'Score distribution', 'v': count(DISTINCT score)}, {'analysis': 'Band split', 'v': count(DISTINCT band)}, "
+        "{'analysis': 'Category breakdown', 'v': count(DISTINCT list_sort(categories))}, "
+        "{'analysis': 'Corroboration histogram', 'v': (SELECT count(DISTINCT c) FROM (SELECT unnest(classes) AS c FROM one))}, "
+        "{'analysis': 'Added and removed each run', 'v': (SELECT count(DISTINCT c) FROM (SELECT unnest(sources) AS c FROM one))}, "
+        "{'analysis': 'Network and ASN persistence', 'v': 0::BIGINT}], recursive := true) FROM one HAVING count(*) > 0) WHERE v < 2",
+        "one AS (SELECT * FROM p1 WHERE family = 6 AND sources = ['blocks'])",
+    ),
+)
+def ag19_one(spark, sf):
+    """Entries that one source alone reports have several flat dimensions."""
+    alone = primary(spark, sf).filter(F.col("sources") == F.array(F.lit("blocks")))
+    return families.flat_dimensions(alone).drop("reason")
+
+
 @query(
     "ag33_concentration",
     fsql(

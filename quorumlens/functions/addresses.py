@@ -428,3 +428,88 @@ def cover_v4_range(df: DataFrame, start: str, end: str) -> DataFrame:
         .filter("block_lo is not null")
         .select(*df.columns, "block_lo", "block_prefix")
     )
+
+
+def _bits_sql(number: str, value: str, width: str) -> str:
+    """Text of ``width`` binary digits of an IPv4 number or IPv6 bytes."""
+    digits = (
+        f"concat_ws('', transform(sequence(1, 32), i -> lpad(conv(substr(hex({value}), i, 1), 16, 2), 4, '0')))"
+    )
+    return f"case {width} when 32 then lpad(bin({number}), 32, '0') when 128 then {digits} end"
+
+
+def _cover_sql(first: str, last: str, width: str) -> str:
+    """Leading bits of the networks of the minimal cover of [first, last], both given as bit texts.
+
+    Below the bits both share, ``first`` is covered by itself without its trailing zeros and by the sibling to the right of
+    every further zero on its path; ``last`` likewise with ones, to the left.
+    """
+    shared = f"array_position(transform(sequence(1, {width}), i -> substr({first}, i, 1) <> substr({last}, i, 1)), true) - 1"
+    ends = (
+        f"named_struct('p', if({first} = {last}, {width}, cast({shared} as int)), "
+        f"'l', length(rtrim('0', {first})), 'r', length(rtrim('1', {last})))"
+    )
+
+    def side(own: str, stop: str, bit: str, flip: str) -> str:
+        path = f"filter(sequence(c.p + 2, {stop}), i -> c.p + 2 <= {stop} and substr({own}, i, 1) = '{bit}')"
+        none = "cast(array() as array<int>)"
+        steps = f"transform(if(c.p + 2 <= {stop}, {path}, {none}), i -> concat(substr({own}, 1, i - 1), '{flip}'))"
+        return f"concat(array(substr({own}, 1, {stop})), {steps})"
+
+    both = f"concat({side(first, 'greatest(c.l, c.p + 1)', '0', '1')}, {side(last, 'greatest(c.r, c.p + 1)', '1', '0')})"
+    # One network: everything below the shared bits is in the range.
+    body = f"if(c.l <= c.p and c.r <= c.p, array(substr({first}, 1, c.p)), {both})"
+    return _let("c", ends, body)
+
+
+def with_range_networks(df: DataFrame, start: str, end: str) -> DataFrame:
+    """Cut inclusive address ranges of either family into their minimal network covers, one row a network.
+
+    ``start`` and ``end`` are text columns; rows without a readable range come out once with NULL address columns.  One pass:
+    each row's networks are an array of bit texts (at most 254), then exploded.
+    """
+    keep = [F.col(f"`{c}`") for c in df.columns]
+    ends = df.select(
+        *keep,
+        *[F.expr(_v4_number_sql(f"`{c}`")).alias(f"_{k}4") for k, c in (("a", start), ("b", end))],
+        *[
+            F.expr(f"if(instr(`{c}`, ':') > 0, {_v6_bytes_sql(f'`{c}`')}, null)").alias(f"_{k}6")
+            for k, c in (("a", start), ("b", end))
+        ],
+    )
+    sized = fence(
+        ends.withColumn("_w", F.expr("case when _a4 <= _b4 then 32 when _a6 <= _b6 then 128 end")),
+        "_a4", "_b4", "_a6", "_b6", "_w",
+    )
+    bits = fence(
+        sized.withColumns({"_a": F.expr(_bits_sql("_a4", "_a6", "_w")), "_b": F.expr(_bits_sql("_b4", "_b6", "_w"))}),
+        "_a", "_b",
+    )
+    cover = F.expr(f"if(_w is null, null, {_cover_sql('_a', '_b', '_w')})")
+    each = bits.select(*keep, "_w", F.explode_outer(cover).alias("_bits"))
+    full = "rpad(_bits, _w, '0')"
+    packed = (
+        f"unhex(concat_ws('', transform(sequence(0, 7), i -> lpad(conv(substr({full}, 16 * i + 1, 16), 2, 16), 4, '0'))))"
+    )
+    low = each.select(
+        *keep,
+        F.expr("cast(case _w when 32 then 4 when 128 then 6 end as tinyint)").alias("family"),
+        F.expr("_w is not null or null").alias("is_net"),
+        F.expr("length(_bits)").alias("prefix"),
+        F.expr(f"if(_w = 32, cast(conv({full}, 2, 10) as bigint), null)").alias("lo"),
+        F.expr(f"if(_w = 128, {packed}, null)").alias("lo6"),
+    )
+    low = fence(low, "family", "is_net", "prefix", "lo", "lo6")
+    text = F.when(F.col("family") == 4, v4_text(F.col("lo"))).when(F.col("family") == 6, v6_text("lo6"))
+    named = low.select(
+        *keep,
+        F.concat(text, F.lit("/"), F.col("prefix").cast("string")).alias("indicator"),
+        "family",
+        "is_net",
+        "prefix",
+        "lo",
+        F.expr("if(family = 4, lo + shiftleft(1L, 32 - prefix) - 1L, null)").alias("hi"),
+        "lo6",
+        F.expr(f"if(family = 6, {_v6_masked_sql('lo6', 'prefix', False)}, null)").alias("hi6"),
+    )
+    return fence(named, *ADDRESS_COLUMNS)

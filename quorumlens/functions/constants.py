@@ -94,3 +94,16 @@ V6_MULTICAST = ("ff00::/8",)
 # What stands for a network or country that no range names.
 UNKNOWN_NETWORK = "unrouted or unknown"
 UNKNOWN_COUNTRY = "??"
+
+# Names of the analyses that may be without signal.
+FLAT_CLASSES = "Corroboration histogram"
+FLAT_SCORES = "Score distribution"
+FLAT_BANDS = "Band split"
+FLAT_CHANGES = "Added and removed each run"
+FLAT_CATEGORIES = "Category breakdown"
+FLAT_NETWORKS = "Network and ASN persistence"
+
+#: Indicators named in a document per change.
+DELTA_EXAMPLES = 20
+#: Runs shown side by side.
+SHOWN_RUNS = 40

@@ -120,12 +120,12 @@ def ageing(state: DataFrame, scored: DataFrame, sources: DataFrame, as_of) -> Da
     )
 
 
-def published_delta(now_published: DataFrame, before: DataFrame) -> DataFrame:
-    """(indicator, change) rows between two publications."""
-    new = now_published.select("indicator").distinct()
-    old = before.select("indicator").distinct()
-    added = new.join(old, "indicator", "left_anti").withColumn("change", F.lit("added"))
-    removed = old.join(new, "indicator", "left_anti").withColumn("change", F.lit("removed"))
+def published_delta(now_published: DataFrame, before: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, indicator, change) rows between two publications."""
+    on = [*keys, "indicator"]
+    new, old = now_published.select(*on).distinct(), before.select(*on).distinct()
+    added = new.join(old, on, "left_anti").withColumn("change", F.lit("added"))
+    removed = old.join(new, on, "left_anti").withColumn("change", F.lit("removed"))
     return added.unionByName(removed)
 
 

@@ -37,6 +37,7 @@ OBSERVATION_DEFAULTS = {
     "evidence_stale": "false",
     "source_reference": "cast(null as string)",
     "source_registry": "cast(null as string)",
+    "source_last_reported": "cast(null as date)",
 }
 
 
@@ -116,7 +117,11 @@ def profiles(
     keys: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per indicator holding one element for each of its sources (array ``rows``) and what no tier changes."""
-    ev = evidence(observations, sources, as_of, rules, keys)
+    return profiles_of(evidence(observations, sources, as_of, rules, keys), keys)
+
+
+def profiles_of(ev: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Profiles of ``evidence`` rows; several rows of one source say together what one would."""
 
     def flag(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(False)).alias(name)
@@ -256,3 +261,30 @@ def corroborate(
 ) -> DataFrame:
     """Observations to scored indicators; ``keys`` are extra grouping columns (scenarios)."""
     return score(profiles(observations, sources, as_of, rules, keys), tiers, rules, keys)
+
+
+def corroborate_scenarios(
+    observations: DataFrame,
+    sources: DataFrame,
+    as_of,
+    scenarios: dict[str, str],
+    tiers: tuple[str, ...] = TIERS,
+    rules: Rules = Rules(),
+) -> DataFrame:
+    """Scored indicators of every scenario, a SQL predicate over observations (at most 62), with column ``scenario``.
+
+    An observation carries the scenarios it belongs to as a bit mask, which is a key of the first aggregate; only what that
+    leaves of an (indicator, source), one row for each mask that occurs there, is repeated per scenario.
+    """
+    if len(scenarios) > 62:
+        raise ValueError("at most 62 scenarios")
+    bits = [F.when(F.expr(c), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i, c in enumerate(scenarios.values())]
+    mask = bits[0]
+    for bit in bits[1:]:
+        mask = mask.bitwiseOR(bit)
+    ev = evidence(observations.withColumn("mask", mask).filter("mask <> 0"), sources, as_of, rules, ("mask",))
+    names = F.array_compact(
+        F.array(*[F.when(F.col("mask").bitwiseAND(F.lit(1 << i)) != 0, F.lit(n)) for i, n in enumerate(scenarios)])
+    )
+    each = ev.withColumn("scenario", F.explode(names)).drop("mask")
+    return score(profiles_of(each, ("scenario",)), tiers, rules, ("scenario",))

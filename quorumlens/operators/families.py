@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quorumlens.functions import addresses as A
@@ -27,28 +27,38 @@ def observation_coverage(observations: DataFrame, sources: DataFrame) -> DataFra
     )
 
 
-def _distinct_items(column: str) -> Column:
-    """Distinct array elements in a group.
+def by_coverage(coverage: DataFrame) -> DataFrame:
+    """Rows of ``observation_coverage`` (one a registered source) with their place: most IPv6 first, then by name."""
+    order = Window.orderBy(F.desc("ipv6_observations"), "source")
+    return coverage.withColumn("place", F.row_number().over(order))
 
-    Gathers distinct arrays first; they are sets of registry names, so there are few.
+
+def _distinct_items(rows: DataFrame, *columns: str) -> DataFrame:
+    """Per family: the number of distinct elements of array ``columns``.
+
+    Elements are folded one by one before they are counted, so nothing is gathered, whatever the arrays are.
     """
-    return F.size(F.array_distinct(F.flatten(F.collect_set(column)))).cast("bigint")
+
+    def named(c: str) -> Column:
+        return F.transform(c, lambda x: F.struct(F.lit(c).alias("c"), x.alias("x")))
+
+    tagged = F.concat(*[named(c) for c in columns])
+    each = rows.select("family", F.inline(tagged)).groupBy("family", "c", "x").count()
+    return each.groupBy("family").agg(*[F.count_if(F.col("c") == c).alias(c) for c in columns])
 
 
 def family_stats(published: DataFrame) -> DataFrame:
-    """Counts, scope and breadth per family, in one pass."""
-    return (
-        published.groupBy("family")
-        .agg(
-            F.count("*").alias("published"),
-            F.count_if(F.col("band") == "high").alias("high"),
-            F.count_if(F.col("band") == "medium").alias("medium"),
-            F.sum(A.subnets_64()).alias("blast_radius_64"),
-            F.count_distinct(A.allocation_key()).alias("distinct_allocations"),
-            _distinct_items("independence_classes").alias("independence_classes"),
-            _distinct_items("sources").alias("sources"),
-        )
-        .withColumn("address_family", A.address_family())
+    """Counts, scope and breadth per family."""
+    numbers = published.groupBy("family").agg(
+        F.count("*").alias("published"),
+        F.count_if(F.col("band") == "high").alias("high"),
+        F.count_if(F.col("band") == "medium").alias("medium"),
+        F.sum(A.subnets_64()).alias("blast_radius_64"),
+        F.count_distinct(A.allocation_key()).alias("distinct_allocations"),
+    )
+    items = _distinct_items(published, "independence_classes", "sources")
+    return numbers.join(items, "family", "left").fillna(0, ["independence_classes", "sources"]).withColumn(
+        "address_family", A.address_family()
     )
 
 
@@ -109,28 +119,37 @@ def ipv6_totals(published: DataFrame) -> DataFrame:
 
 
 def flat_dimensions(published: DataFrame) -> DataFrame:
-    """Analyses without signal per family: those whose dimension has fewer than two values."""
-    wide = published.groupBy("family").agg(
-        F.count_distinct("score").alias("Score distribution"),
-        F.count_distinct("band").alias("Band split"),
-        F.count_distinct("categories").alias("Category breakdown"),
-        _distinct_items("independence_classes").alias("Corroboration histogram"),
-        _distinct_items("sources").alias("Added and removed each run"),
-    )
-    names = [c for c in wide.columns if c != "family"]
-    counts = F.array(*[F.struct(F.lit(n).alias("analysis"), F.col(f"`{n}`").alias("distinct_values")) for n in names])
-    none = F.struct(
-        F.lit("Network and ASN persistence").alias("analysis"),
-        F.lit(0).cast("bigint").alias("distinct_values"),
+    """IPv6 analyses without signal: those whose dimension has fewer than two values, and why.
+
+    A dimension comes back by itself once a second value appears.  Persistence of networks needs a range of IPv6
+    networks; it is without signal as long as no entry has one.
+    """
+    six = published.filter("family = 6")
+    wide = six.groupBy("family").agg(
+        F.count("*").alias("entries"),
+        F.count_distinct("score").alias("scores"),
+        F.min("score").alias("score"),
+        F.count_distinct("band").alias("bands"),
+        F.min("band").alias("band"),
+        F.count_distinct(F.array_sort("categories")).alias("categories"),
     )
-    every = F.when(F.col("family") == 6, F.array_append(counts, none)).otherwise(counts)
-    return wide.select("family", F.inline(every)).filter("distinct_values < 2")
+    items = _distinct_items(six, "independence_classes", "sources")
+    wide = wide.join(items, "family", "left").fillna(0, ["independence_classes", "sources"])
+    known = F.lit(0).cast("bigint")
+    rows = [
+        (K.FLAT_CLASSES, F.col("independence_classes"), F.concat(F.col("independence_classes").cast("string"), F.lit(" class in all"))),
+        (K.FLAT_SCORES, F.col("scores"), F.concat(F.lit("all scores are "), F.round("score", 1).cast("string"))),
+        (K.FLAT_BANDS, F.col("bands"), F.concat(F.lit("all entries are "), F.col("band"))),
+        (K.FLAT_CHANGES, F.col("sources"), F.lit("one source, so all entries come and go together")),
+        (K.FLAT_CATEGORIES, F.col("categories"), F.lit("all entries have one set of categories")),
+        (K.FLAT_NETWORKS, known, F.lit("no range names an IPv6 network")),
+    ]
+    each = [F.struct(F.lit(n).alias("analysis"), v.alias("distinct_values"), r.alias("reason")) for n, v, r in rows]
+    return wide.select("family", F.inline(F.array(*each))).filter("distinct_values < 2")
 
 
 def concentration(published: DataFrame) -> DataFrame:
     """Families resting on fewer than two classes."""
-    return (
-        published.groupBy("family")
-        .agg(F.count("*").alias("entries"), _distinct_items("independence_classes").alias("classes"))
-        .withColumn("single_class", F.col("classes") < 2)
-    )
+    entries = published.groupBy("family").agg(F.count("*").alias("entries"))
+    classes = _distinct_items(published, "independence_classes").withColumnRenamed("independence_classes", "classes")
+    return entries.join(classes, "family", "left").fillna(0, ["classes"]).withColumn("single_class", F.col("classes") < 2)

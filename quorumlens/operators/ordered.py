@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 #: The whole IPv6 space.
 LAST6 = (1 << 128) - 1
@@ -60,6 +60,59 @@ class Ordered:
         self.rows.unpersist()
 
 
+# ------------------------------------------------------------------ places
+
+
+def ranked(rows: DataFrame, group: str, order: list[Column], out: str) -> DataFrame:
+    """``rows`` with their place (from 1) by ``order`` within column ``group``; a group may be as large as the table.
+
+    ``order`` is total over distinct rows of a group.
+    """
+    walk = Ordered(rows, F.col(group), *order)
+    at = rows.columns.index(group)
+
+    def cuts(batch):
+        values = batch.column(at).to_pylist()
+        return values, [0, *(k for k in range(1, len(values)) if values[k] != values[k - 1]), len(values)]
+
+    def edges(batches):
+        first = last = None
+        n, groups = 0, 0
+        for batch in batches:
+            values, found = cuts(batch)
+            for a, b in zip(found, found[1:]):
+                if groups and values[a] == last[0]:
+                    n += b - a
+                else:
+                    first = first or (values[a],)
+                    last, n, groups = (values[a],), b - a, groups + 1
+        if groups:
+            yield repr(first[0]), repr(last[0]), n, groups
+
+    before, open_group, count = {}, None, 0
+    for part, (first, last, n, groups) in walk.told(edges, "first string, last string, n bigint, groups bigint").items():
+        if first != open_group:
+            count = 0
+        before[part] = count
+        count = n + (count if groups == 1 else 0)
+        open_group = last
+
+    def number(batches, start):
+        count, last = start, None
+        for batch in batches:
+            values, found = cuts(batch)
+            place = np.empty(len(values), np.int64)
+            for a, b in zip(found, found[1:]):
+                if last is not None and values[a] != last[0]:
+                    count = 0
+                place[a:b] = np.arange(count + 1, count + 1 + b - a)
+                count, last = count + b - a, (values[a],)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(place)], [*batch.schema.names, out])
+
+    schema = StructType([*rows.schema.fields, StructField(out, LongType())])
+    return walk.each(number, lambda part: before.get(part, 0), schema)
+
+
 # ------------------------------------------------------------------ as-of
 
 

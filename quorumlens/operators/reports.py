@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quorumlens.functions import measures as M
@@ -27,10 +27,18 @@ def run_counts(judged: DataFrame) -> DataFrame:
     )
 
 
-def observation_counts(observations: DataFrame) -> DataFrame:
-    return observations.agg(
-        F.count_if(~F.col("carried")).alias("collected"), F.count_if("carried").alias("carried")
+def watched(observations: DataFrame) -> tuple[DataFrame, Observation]:
+    """``observations`` that count themselves (collected, carried) while a job reads them, without a scan of their own.
+
+    The counts are there once a job over the returned rows has ended: ``watch.get``.
+    """
+    watch = Observation()
+    counted = observations.observe(
+        watch,
+        F.count_if(~F.col("carried")).alias("collected"),
+        F.count_if("carried").alias("carried"),
     )
+    return counted, watch
 
 
 def corroboration_histogram(published: DataFrame) -> DataFrame:
@@ -171,15 +179,22 @@ def corroboration_shares(counts: DataFrame, single_class_seen: DataFrame) -> Dat
 
 
 def run_health(history: DataFrame) -> DataFrame:
-    """State of each run from its source counts."""
+    """State of each run from its source counts, and the sources that were not ok where they are known."""
     missing = F.greatest(F.col("sources_total") - F.col("sources_ok"), F.lit(0))
+    named = [F.col("not_ok")] if "not_ok" in history.columns else []
     return history.select(
         "generated_at",
         missing.alias("missing"),
         F.when(missing >= 2, "severe").when(missing >= 1, "partial").otherwise("ok").alias("state"),
+        *named,
     )
 
 
+def not_ok(status: DataFrame) -> DataFrame:
+    """Sources of a run that were not ok, in order."""
+    return status.filter("status <> 'ok'").select("source", "status", "records").orderBy("source")
+
+
 def label_shares(published: DataFrame, labels: DataFrame) -> DataFrame:
     """Published bare addresses per classification label."""
     known = labels.select(F.col("address").alias("indicator"), "label").distinct()
@@ -191,18 +206,6 @@ def label_shares(published: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def with_scenarios(observations: DataFrame, scenarios: dict[str, str]) -> DataFrame:
-    """Observations labelled with every scenario whose condition they meet.
-
-    Conditions are SQL predicates over the observation columns, e.g. all but one source, or a
-    minimum upstream score.  One scoring pass with ``scenario`` as a key then answers all of them.
-    """
-    names = F.array_compact(
-        F.array(*[F.when(F.expr(c), F.lit(n)) for n, c in scenarios.items()])
-    )
-    return observations.withColumn("scenario", F.explode(names))
-
-
 def band_counts(scored: DataFrame, *keys: str) -> DataFrame:
     return scored.groupBy(*keys, "tier").agg(
         F.count_if(F.col("band") != "withheld").alias("published"),

@@ -10,36 +10,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quorumlens.functions.addresses import ADDRESS_COLUMNS
-from quorumlens.operators import carry, corroborate, intervals, reports, safety
+from quorumlens.operators import carry, corroborate, documents, intervals, networks, reports, safety
 from quorumlens.operators.corroborate import Rules
-from quorumlens.sinks import writers
-from quorumlens.sources.reference_tables import AllowlistIncomplete, require_complete_allowlist
+from quorumlens.sinks import publish, writers
+from quorumlens.sources.reference_tables import require_complete_allowlist
 from quorumlens.sources.registry import TIERS
 
 
 @dataclass
 class RunTables:
-    """Inputs of a run; state and labels may be absent on a first run.
+    """Inputs of a run.
 
-    ``allow_sources`` names the configured allowlists; with it, ``allowed`` must have ``allow_source`` and a
-    network of each.
+    ``allow_sources`` names the configured allowlists (allow_source); ``allowed`` must have ``allow_source`` and a network
+    of each.  State and labels may be absent on a first run.  With ``ranges``, networks are counted and their history goes
+    on; ``status`` (source, status, records) says how the sources were read.
     """
 
     fresh: DataFrame
     sources: DataFrame
     allowed: DataFrame
+    allow_sources: DataFrame
     state: DataFrame | None = None
     labels: DataFrame | None = None
-    allow_sources: DataFrame | None = None
+    ranges: DataFrame | None = None
+    status: DataFrame | None = None
 
 
 @dataclass
 class RunResult:
+    """``name``: the run's folders (see sinks.publish).  ``watched``: observations collected and carried."""
+
+    name: str
     observations: DataFrame
     judged: DataFrame
     published: DataFrame
     counts: DataFrame
     state: DataFrame
+    manifest: DataFrame
+    watched: dict[str, int]
 
 
 def judge(
@@ -51,16 +59,17 @@ def judge(
     labels: DataFrame | None = None,
     tiers: tuple[str, ...] = TIERS,
     rules: Rules = Rules(),
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Scored rows of all tiers with ``allowlisted``, ``drop_reason`` and ``benign_capped``.
 
     The allowlist lookup runs once per indicator and on its address alone; the answer joins the profile, which is
     already dealt by indicator, before the tiers fan out.  Filtering comes after scoring, so restricted sources still
-    corroborate.
+    corroborate.  ``keys``: the observations' addresses, if they can be read from elsewhere.
     """
     profile = corroborate.profiles(observations, sources, as_of, rules)
-    keys = observations.select(*ADDRESS_COLUMNS).distinct()
-    flagged = intervals.flag_overlap(profile, allowed, keys=keys)
+    addresses = (observations if keys is None else keys).select(*ADDRESS_COLUMNS).distinct()
+    flagged = intervals.flag_overlap(profile, allowed, keys=addresses)
     scored = corroborate.score(flagged, tiers, rules)
     if state is not None:
         scored = carry.merge_first_seen(scored, state)
@@ -82,41 +91,52 @@ def run(
     rules: Rules = Rules(),
     force: bool = False,
 ) -> RunResult:
-    """Score, guard, write the lists and the next state under ``folder``.
+    """Score, guard, write the published forms, document and next state under ``folder``, publish, then count statistics.
 
-    Nothing is published without a complete allowlist.  The judged table feeds many outputs, so it is written
-    once, by tier, and read back; a lost executor then costs a re-read.  Judged rows and state go to folders of
-    their own for every run, so no run overwrites what it or a later one reads.
+    Nothing is published without a complete allowlist.  The judged table feeds many outputs, so it is written once, by
+    tier, and read back; a lost executor then costs a re-read.  All that a run writes lies in folders of its own until the
+    last step makes it the published one (``sinks.publish``); a run that fails before leaves the last one as it was.
     """
-    allowed = tables.allowed
-    if tables.allow_sources is not None:
-        allowed = require_complete_allowlist(tables.allow_sources, allowed)
-    if not allowed.limit(1).count():
-        raise AllowlistIncomplete("the allowlist is empty")
-    name = f"run={re.sub('[^0-9]', '', str(as_of))[:14]}-{time.time_ns()}"
+    allowed = require_complete_allowlist(tables.allow_sources, tables.allowed)
+    spark = tables.fresh.sparkSession
+    last = publish.published_run(spark, folder)
+    name = f"{re.sub('[^0-9]', '', str(as_of))[:14]}-{time.time_ns()}"
     observations = corroborate.complete(tables.fresh)
     if tables.state is not None:
         carried = carry.carried_observations(tables.fresh, tables.state, tables.sources, as_of)
         observations = observations.unionByName(carried, allowMissingColumns=True)
-    judged = judge(observations, tables.sources, allowed, as_of, tables.state, tables.labels, tiers, rules)
-    judged.write.partitionBy("tier").parquet(f"{folder}/judged/{name}")
-    spark = judged.sparkSession
-    judged = spark.read.schema(judged.schema).parquet(f"{folder}/judged/{name}")
+    counted, watch = reports.watched(observations)
+    judged = judge(counted, tables.sources, allowed, as_of, tables.state, tables.labels, tiers, rules, observations)
+    judged.write.partitionBy("tier").parquet(f"{folder}/judged/run={name}")
+    judged = spark.read.schema(judged.schema).parquet(f"{folder}/judged/run={name}")
     counts = reports.run_counts(judged)
     if tables.state is not None:
         new = counts.filter("tier = 'primary'").first()
         old = tables.state.filter("band = 'high'").count()
         safety.check_churn(new.high if new else 0, old, force)
     published = published_of(judged)
-    writers.write_all(published, folder)
+    forms = f"{folder}/forms/run={name}"
+    writers.write_all(published, forms)
+    writers.write_schema(published, forms)
+    before = None if last is None else published_of(publish.of_run(spark, folder, "judged", last))
+    manifest = documents.manifest(judged, tables.sources, as_of, tables.status, before, tiers)
+    manifest = writers.write_document(manifest, f"{forms}/manifest", "tier")
     state = carry.build_state(safety.kept(judged), observations)
-    state.write.parquet(f"{folder}/state/{name}")
-    state = spark.read.schema(state.schema).parquet(f"{folder}/state/{name}")
-    return RunResult(observations, judged, published, counts, state)
-
-
-def latest_state(spark: SparkSession, folder: str) -> DataFrame:
-    """The state that the last run under ``folder`` wrote."""
-    states = spark.read.parquet(f"{folder}/state")
-    last = states.select("run").distinct().agg(F.max(F.col("run").cast("string"))).first()[0]
-    return states.filter(F.col("run").cast("string") == last).drop("run")
+    state.write.parquet(f"{folder}/state/run={name}")
+    state = spark.read.schema(state.schema).parquet(f"{folder}/state/run={name}")
+    publish.record_run(documents.history_line(manifest), folder)
+    publish.publish(spark, folder, name)
+    # Statistics over all sources come after: a failure here costs no list.
+    history = None
+    if tables.ranges is not None:
+        publish.record_networks(networks.daily_networks(observations, tables.ranges, as_of), folder)
+        history = networks.merge_history(None, publish.network_history(spark, folder), as_of)
+    found = documents.insights(observations, judged, tables.sources, as_of, tables.ranges, history)
+    writers.write_document(found, f"{forms}/insights")
+    return RunResult(name, observations, judged, published, counts, state, manifest, watch.get)
+
+
+def latest_state(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The state of the run that was published last under ``folder``; None before the first."""
+    name = publish.published_run(spark, folder)
+    return None if name is None else publish.of_run(spark, folder, "state", name)

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quorumlens.functions import addresses as A
 from quorumlens.functions import text as X
+from quorumlens.operators.ordered import ranked
+
 
 def iso_time(ts: Column) -> Column:
     """Timestamp as ISO 8601 with offset, microseconds only where there are any."""
@@ -17,9 +22,31 @@ def iso_time(ts: Column) -> Column:
     )
 
 
-def in_address_order(df: DataFrame) -> DataFrame:
-    """Total order of a published list; a range-partitioned sort."""
-    return df.orderBy(*A.sort_key())
+#: Files a writing task may hold open at once: over the tiers x bands x lists of any form.
+OPEN_FILES = 64
+
+
+@contextmanager
+def in_address_order(published: DataFrame):
+    """The published rows range-partitioned and sorted by (tier, address), once for all forms that are written from them.
+
+    Partition columns are never null here, and rows keep their order within every partition value: the writer holds one file
+    open for each instead of sorting by it.  So the parts of every list, read by name, are in address order.
+    """
+    spark = published.sparkSession
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting, None)
+    order = [F.col("tier"), *A.sort_key()]
+    rows = published.repartitionByRange(*order).sortWithinPartitions(*order).persist(StorageLevel.DISK_ONLY)
+    spark.conf.set(setting, str(OPEN_FILES))
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
+        if before is None:
+            spark.conf.unset(setting)
+        else:
+            spark.conf.set(setting, before)
 
 
 def blockable(published: DataFrame) -> DataFrame:
@@ -28,23 +55,9 @@ def blockable(published: DataFrame) -> DataFrame:
 
 
 def positions(published: DataFrame) -> DataFrame:
-    """(tier, indicator, position): place in the address order of its tier's whole list.
-
-    Rows are ranked within blocks of the leading address bits and moved on by the rows of the blocks before; only
-    one row per block meets in one task.
-    """
-    from pyspark.sql import Window
-
-    block = F.when(F.col("family") == 4, F.lpad(F.hex(F.shiftright("lo", 16)), 8, "0")).otherwise(
-        F.substring(F.hex("lo6"), 1, 12)
-    )
-    rows = published.withColumn("_block", block)
-    per = rows.groupBy("tier", "family", "_block").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("tier").orderBy("family", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.select("tier", "family", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    own = F.row_number().over(Window.partitionBy("tier", "family", "_block").orderBy(*A.sort_key()))
-    placed = rows.withColumn("_own", own).join(per, ["tier", "family", "_block"])
-    return placed.select("tier", "indicator", (F.col("_before") + F.col("_own")).alias("position"))
+    """(tier, indicator, position): place in the address order of its tier's whole list, counted over range partitions."""
+    keys = published.select("tier", "indicator", "family", "lo", "lo6", "prefix")
+    return ranked(keys, "tier", A.sort_key(), "position").select("tier", "indicator", "position")
 
 
 def csv_rows(published: DataFrame, *keep: str) -> DataFrame:
@@ -193,21 +206,28 @@ def published_schema(published: DataFrame) -> str:
     return full_rows(published).schema.json()
 
 
-def write_all(published: DataFrame, folder: str) -> None:
-    """Write every published form under ``folder``, partitioned by tier.
+def write_schema(published: DataFrame, folder: str) -> None:
+    """The record table's schema as one JSON text beside the forms."""
+    spark = published.sparkSession
+    text = spark.createDataFrame([(published_schema(published),)], "value string")
+    text.coalesce(1).write.text(f"{folder}/schema")
 
-    Lists are range-sorted by address before writing, so part files are in order.
-    """
-    ordered = in_address_order(published)
-    full_rows(ordered).write.mode("overwrite").partitionBy("tier").json(f"{folder}/records")
-    csv_rows(ordered, "tier").write.mode("overwrite").partitionBy("tier").option("header", True).csv(f"{folder}/table")
-    list_rows(ordered).write.mode("overwrite").partitionBy("tier", "band", "list").text(
-        f"{folder}/lists"
-    )
-    ipset_rows(ordered).write.mode("overwrite").partitionBy("tier", "family").text(f"{folder}/ipset")
-    nft_rows(ordered).write.mode("overwrite").partitionBy("tier", "family").text(f"{folder}/nft")
-    stix_rows(ordered).write.mode("overwrite").partitionBy("tier").json(f"{folder}/stix")
-    misp_rows(ordered).write.mode("overwrite").partitionBy("tier").json(f"{folder}/misp")
-    lookup_rows(ordered).write.mode("overwrite").partitionBy("tier", "family").json(
-        f"{folder}/lookup"
-    )
+
+def write_document(document: DataFrame, folder: str, *parts: str) -> DataFrame:
+    """Write a document of few rows as JSON, by ``parts``, and read it back."""
+    schema = document.schema
+    document.coalesce(1).write.partitionBy(*parts).json(folder)
+    return document.sparkSession.read.schema(schema).json(folder)
+
+
+def write_all(published: DataFrame, folder: str) -> None:
+    """Write every published form under the new folder ``folder``, partitioned by tier, from one sort."""
+    with in_address_order(published) as rows:
+        full_rows(rows).write.partitionBy("tier").json(f"{folder}/records")
+        csv_rows(rows, "tier").write.partitionBy("tier").option("header", True).csv(f"{folder}/table")
+        list_rows(rows).write.partitionBy("tier", "band", "list").text(f"{folder}/lists")
+        ipset_rows(rows).write.partitionBy("tier", "family").text(f"{folder}/ipset")
+        nft_rows(rows).write.partitionBy("tier", "family").text(f"{folder}/nft")
+        stix_rows(rows).write.partitionBy("tier").json(f"{folder}/stix")
+        misp_rows(rows).write.partitionBy("tier").json(f"{folder}/misp")
+        lookup_rows(rows).write.partitionBy("tier", "family").json(f"{folder}/lookup")

@@ -7,18 +7,19 @@ keep a ``status``: ``ok`` rows are observations, the others are counted, never s
 
 from __future__ import annotations
 
+import re
+import zlib
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quorumlens.functions import addresses as A
 from quorumlens.functions import constants as K
 from quorumlens.functions import scoring as S
 from quorumlens.functions import text as X
-from quorumlens.sources.registry import dimension
+from quorumlens.sources.registry import dimension, expand_levels
 
 OBSERVATION_COLUMNS = (
     *A.ADDRESS_COLUMNS,
@@ -39,10 +40,97 @@ _BLANK = " \t\r\n\f\x0b"
 
 def read_lines(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Text files as (source, line); compressed files by their extension."""
+    return _all(
+        [
+            spark.read.text(path).select(F.lit(name).alias("source"), F.col("value").alias("line"))
+            for name, path in paths.items()
+        ]
+    )
+
+
+def read_registered(spark: SparkSession, registry: DataFrame, folder: str) -> DataFrame:
+    """The text files of all sources in ``registry`` as (source, level, line), in one scan.
+
+    A source's file lies at its URL below ``folder`` (a file, or a folder of part files), one for each of its levels; which
+    source and level a line belongs to is told by the path it was read from.
+    """
+    files = expand_levels(registry).select("name", "level", "url").collect()  # the registry is small
+    places = [x for f in files for x in (F.lit(f.url), F.struct(F.lit(f.name).alias("source"), F.lit(f.level).cast("int").alias("level")))]
+    path = F.expr("url_decode(_metadata.file_path)")
+    under = F.regexp_extract(path, f"/{re.escape(folder.strip('/'))}/(.*)$", 1)
+    known = F.create_map(*places)
+    place = F.coalesce(F.try_element_at(known, under), F.try_element_at(known, F.regexp_replace(under, "/[^/]*$", "")))
+    rows = spark.read.text([f"{folder}/{f.url}" for f in files]).select(place.alias("_f"), F.col("value").alias("line"))
+    return rows.select("_f.source", "_f.level", "line")
+
+
+def read_tag_tables(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """``Address,Tags`` files as (source, address, tags_text); a quoted cell may hold line breaks.
+
+    Such a file cannot be split, so each is one task's work.
+    """
     frames = [
-        spark.read.text(path).select(F.lit(name).alias("source"), F.col("value").alias("line"))
+        spark.read.schema("address string, tags_text string")
+        .options(multiLine=True, escape='"', enforceSchema=True)
+        .csv(path)
+        .select(F.lit(name).alias("source"), "address", "tags_text")
         for name, path in paths.items()
     ]
+    return _all(frames)
+
+
+def read_gzipped(spark: SparkSession, paths: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """Gzip text files as (source, line), and (source, error) of sources with a file that is corrupt or cut short.
+
+    A broken file is its source's failure: no line of that source comes out, and other sources go on.  Files are inflated
+    piece by piece; what is held is one compressed file and one batch of lines.
+    """
+    frames = [spark.read.format("binaryFile").load(path).select(F.lit(name).alias("source"), "content") for name, path in paths.items()]
+    read = _all(frames).mapInArrow(_inflated, "source string, line string, error string")
+    failed = read.filter("error is not null").groupBy("source").agg(F.min("error").alias("error"))
+    lines = read.filter("error is null").select("source", "line")
+    return lines.join(failed, "source", "left_anti"), failed
+
+
+def _inflated(batches):
+    def out(source, lines, error=None):
+        n = len(lines)
+        columns = [pa.array([source] * n, pa.string()), pa.array(lines, pa.string()), pa.array([error] * n, pa.string())]
+        return pa.RecordBatch.from_arrays(columns, ["source", "line", "error"])
+
+    for batch in batches:
+        for source, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+            try:
+                for lines in _lines_of(memoryview(content.as_buffer())):
+                    yield out(source, lines)
+            except (zlib.error, EOFError) as broken:
+                yield out(source, [None], str(broken) or "corrupt")
+
+
+def _lines_of(data, piece: int = 1 << 16, least: int = 10_000):
+    """Lists of lines of gzip ``data``, which may have several members."""
+    inflate, rest, lines = zlib.decompressobj(31), b"", []
+    for at in range(0, len(data), piece):
+        chunk = bytes(data[at : at + piece])
+        while chunk:
+            rest += inflate.decompress(chunk)
+            chunk = inflate.unused_data
+            if inflate.eof and chunk:
+                inflate = zlib.decompressobj(31)
+        *whole, rest = rest.split(b"\n")
+        lines += [line.decode("utf-8", "replace") for line in whole]
+        if len(lines) >= least:
+            yield lines
+            lines = []
+    if not inflate.eof:
+        raise EOFError("file ends before its gzip stream does")
+    if rest:
+        lines.append(rest.decode("utf-8", "replace"))
+    if lines:
+        yield lines
+
+
+def _all(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for frame in frames[1:]:
         out = out.unionByName(frame)
@@ -51,16 +139,12 @@ def read_lines(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 
 def read_payloads(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """One-document files as (source, payload), one row per file."""
-    frames = [
-        spark.read.text(path, wholetext=True).select(
-            F.lit(name).alias("source"), F.col("value").alias("payload")
-        )
-        for name, path in paths.items()
-    ]
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out
+    return _all(
+        [
+            spark.read.text(path, wholetext=True).select(F.lit(name).alias("source"), F.col("value").alias("payload"))
+            for name, path in paths.items()
+        ]
+    )
 
 
 def stripped(text: Column) -> Column:
@@ -185,47 +269,16 @@ def declared_attribution(raw: DataFrame) -> DataFrame:
     return meta.groupBy("source").agg(last("copyright"), last("terms"))
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _cover_v6(first: pd.Series, last: pd.Series) -> pd.Series:
-    import ipaddress
-
-    def cover(a: str, b: str) -> list[str]:
-        try:
-            low, high = ipaddress.IPv6Address(a), ipaddress.IPv6Address(b)
-            return [str(n) for n in ipaddress.summarize_address_range(low, high)]
-        except ValueError:
-            return []
-
-    return pd.Series([cover(a, b) for a, b in zip(first, last)])
-
-
 def range_list(raw: DataFrame, sources: DataFrame, fetched) -> DataFrame:
-    """``start end mask ...``: inclusive ranges cut into networks."""
+    """``start end mask ...``: inclusive ranges of either family cut into networks."""
     rows = _content(raw, "#;").withColumn("_p", F.split("_l", r"\s+"))
-    rows = rows.withColumns({"_start": F.get("_p", F.lit(0)), "_end": F.get("_p", F.lit(1))})
-    rows = rows.withColumns(
-        {
-            "_a": F.when(F.size("_p") >= 3, A.v4_number("_start")),
-            "_b": F.when(F.size("_p") >= 3, A.v4_number("_end")),
-        }
-    )
-    rows = A.fence(rows.select("source", "_p", "_start", "_end", "_a", "_b"), "_a", "_b")
-    good = F.coalesce(F.col("_a") <= F.col("_b"), F.lit(False))
-    cut = A.cover_v4_range(rows.filter(good).select("source", "_a", "_b"), "_a", "_b")
-    named = A.v4_network_columns(F.col("block_lo"), F.col("block_prefix"))
-    four = cut.select("source", *[c.alias(n) for n, c in named.items()])
-    rest = rows.filter(~good)
-    paired = (
-        F.col("_start").contains(":") & F.col("_end").contains(":") & (F.size("_p") >= 3)
-    )
-    six = rest.filter(paired).select(
-        "source", F.explode_outer(_cover_v6("_start", "_end")).alias("_e")
-    )
-    bad = rest.filter(~F.coalesce(paired, F.lit(False))).select(
-        "source", F.lit(None).cast("string").alias("_e")
+    whole = F.size("_p") >= 3
+    rows = rows.select(
+        "source",
+        F.when(whole, F.get("_p", F.lit(0))).alias("_start"),
+        F.when(whole, F.get("_p", F.lit(1))).alias("_end"),
     )
-    other = A.with_address(six.unionByName(bad), "_e", "network").drop("_e")
-    return _finish(_with_source(four.unionByName(other), sources), fetched)
+    return _finish(_with_source(A.with_range_networks(rows, "_start", "_end"), sources), fetched)
 
 
 def dated_tab_list(raw: DataFrame, sources: DataFrame, fetched) -> DataFrame:

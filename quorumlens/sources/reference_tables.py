@@ -117,9 +117,9 @@ def stale_sources(fetches: DataFrame, sources: DataFrame, as_of) -> DataFrame:
     )
 
 
-def mark_stale(observations: DataFrame, staleness: DataFrame) -> DataFrame:
-    """Set evidence_stale on every row of a stale source."""
-    flags = dimension(staleness, "source", F.col("stale").alias("_stale"))
+def mark_stale(observations: DataFrame, staleness: DataFrame, sources: DataFrame) -> DataFrame:
+    """Set evidence_stale on every row of a stale source; ``staleness`` has at most one row a source of ``sources``."""
+    flags = dimension(staleness, "source", F.col("stale").alias("_stale"), within=sources)
     return (
         observations.join(flags, "source", "left")
         .withColumn("evidence_stale", F.coalesce("_stale", F.lit(False)))

@@ -34,16 +34,18 @@ BROADCAST_ROWS = 10_000
 """Registries up to this many rows are broadcast; larger ones take an ordinary join."""
 
 
-def dimension(table: DataFrame, *columns) -> DataFrame:
+def dimension(table: DataFrame, *columns, within: DataFrame | None = None) -> DataFrame:
     """``columns`` of a small table for a join that must not move the observations.
 
     The table's size is checked (one limited count, remembered on the object).  Beyond the bound the
-    join is left to Spark, which shuffles and splits skewed sources at run time.
+    join is left to Spark, which shuffles and splits skewed sources at run time.  ``within`` is a stored table with at
+    least as many rows: where ``table`` is computed, that one is counted, and nothing is computed twice.
     """
-    small = getattr(table, "_quorumlens_small", None)
+    counted = table if within is None else within
+    small = getattr(counted, "_quorumlens_small", None)
     if small is None:
-        small = table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-        table._quorumlens_small = small
+        small = counted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+        counted._quorumlens_small = small
     picked = table.select(*columns)
     return F.broadcast(picked) if small else picked
 

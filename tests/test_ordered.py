@@ -93,3 +93,18 @@ def test_runs_of_any_width_and_depth(spark, many_parts, seed):
 def test_no_networks_no_runs(spark, many_parts):
     rows = A.with_address(spark.createDataFrame([], "t string"), "t", "network").drop("t")
     assert intervals.aggregated_runs(rows).count() == 0
+
+
+def test_places_in_groups_over_partitions(spark, many_parts):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(4)
+    # One group has half of the rows, one a single row; a null is a group too.
+    rows = [(rng.choice(["big"] * 6 + ["a", "b", "c", None, "zz"]), k) for k in range(3_000)] + [("one", 1)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "g string, k int")
+    got = {(r.g, r.k): r.place for r in ordered.ranked(df, "g", [F.col("k").desc()], "place").collect()}
+    for g in {g for g, _ in rows}:
+        own = sorted((k for x, k in rows if x == g), reverse=True)
+        assert [got[g, k] for k in own] == list(range(1, len(own) + 1)), g
+    assert ordered.ranked(df.limit(0), "g", [F.col("k")], "place").count() == 0

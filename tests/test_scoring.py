@@ -188,7 +188,12 @@ def test_random_observations_match_model(spark, seed):
 
 
 def allow_frame(spark, *texts):
-    return A.with_address(spark.createDataFrame([(t,) for t in texts], "t string"), "t", "network").drop("t")
+    rows = A.with_address(spark.createDataFrame([(t,) for t in texts], "t string"), "t", "network").drop("t")
+    return rows.withColumn("allow_source", F.lit("one"))
+
+
+def configured(spark, *names):
+    return spark.createDataFrame([(n,) for n in names], "allow_source string")
 
 
 def test_first_failing_rule_wins(spark):
@@ -221,15 +226,16 @@ def test_two_runs_with_state(spark, tmp_path):
         return A.with_address(spark.createDataFrame(rows, OBS), "t").drop("t")
 
     first = frame([obs("9.0.0.1", n, age=3) for n in "abc"] + [obs("9.0.0.2", n, age=3) for n in "abc"])
-    one = plan.run(plan.RunTables(first, sources, allowed), NOW - timedelta(days=3), str(tmp_path / "one"))
+    ask = configured(spark, "one")
+    one = plan.run(plan.RunTables(first, sources, allowed, ask), NOW - timedelta(days=3), str(tmp_path / "one"))
     state = plan.latest_state(spark, str(tmp_path / "one"))
     assert {r.indicator: r.band for r in one.published.filter("tier = 'primary'").collect()} == {"9.0.0.1": "high", "9.0.0.2": "high"}
 
     # Source c misses the second run, and nobody reports the second address.
     second = frame([obs("9.0.0.1", "a"), obs("9.0.0.1", "b")])
     with pytest.raises(safety.ChurnExceeded):
-        plan.run(plan.RunTables(second, sources, allowed, state), NOW, str(tmp_path / "bad"))
-    two = plan.run(plan.RunTables(second, sources, allowed, state), NOW, str(tmp_path / "two"), force=True)
+        plan.run(plan.RunTables(second, sources, allowed, ask, state), NOW, str(tmp_path / "bad"))
+    two = plan.run(plan.RunTables(second, sources, allowed, ask, state), NOW, str(tmp_path / "two"), force=True)
     rows = {r.indicator: r for r in two.published.filter("tier = 'primary'").collect()}
     assert list(rows) == ["9.0.0.1"] and rows["9.0.0.1"].band == "high"
     assert rows["9.0.0.1"].first_seen == NOW - timedelta(days=3)
@@ -237,7 +243,7 @@ def test_two_runs_with_state(spark, tmp_path):
     assert seen["c"] == NOW - timedelta(days=3) and seen["a"] == NOW
     fates = carry.ageing(state, second, sources, NOW).collect()
     assert [(r.indicator, r.fate) for r in fates] == [("9.0.0.2", "retained")]
-    lists = spark.read.text(str(tmp_path / "two/lists")).filter("tier = 'primary'")
+    lists = spark.read.text(str(tmp_path / f"two/forms/run={two.name}/lists")).filter("tier = 'primary'")
     assert {(r["value"], r["list"]) for r in lists.collect()} == {("9.0.0.1", "all"), ("9.0.0.1", "v4")}
 
 
@@ -254,11 +260,9 @@ def test_no_allowlist_no_run(spark, tmp_path):
     rows = A.with_address(spark.createDataFrame([obs("9.0.0.1", n) for n in "abc"], OBS), "t").drop("t")
     allowed = allow_frame(spark, "8.8.8.0/24")
     with pytest.raises(AllowlistIncomplete):
-        plan.run(plan.RunTables(rows, sources, allowed.filter("false")), NOW, str(tmp_path / "none"))
-    configured = spark.createDataFrame([("one",), ("two",)], "allow_source string")
-    partial = allowed.withColumn("allow_source", F.lit("one"))
+        plan.run(plan.RunTables(rows, sources, allowed.filter("false"), configured(spark, "one")), NOW, str(tmp_path / "none"))
     with pytest.raises(AllowlistIncomplete, match="two"):
-        plan.run(plan.RunTables(rows, sources, partial, allow_sources=configured), NOW, str(tmp_path / "part"))
+        plan.run(plan.RunTables(rows, sources, allowed, configured(spark, "one", "two")), NOW, str(tmp_path / "part"))
     assert not (tmp_path / "none").exists() and not (tmp_path / "part").exists()
 
 
