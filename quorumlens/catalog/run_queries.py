@@ -200,7 +200,7 @@ def ag09_watched(spark, sf):
     observations = all_observations(spark, sf)
     counted, watch = reports.watched(observations)
     rows = written(
-        plan.judge(counted, D.sources(spark), D.allowed(spark, sf), D.AS_OF, rules=D.RULES, keys=observations), "judged"
+        plan.judge(counted, D.sources(spark), D.allowed(spark, sf), D.AS_OF, rules=D.RULES), "judged"
     )
     seen = watch.get
     return rows.groupBy("tier").agg(

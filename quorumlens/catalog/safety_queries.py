@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from quorumlens.catalog import adapters as D
@@ -147,7 +148,7 @@ _ENT = "ent AS (SELECT DISTINCT indicator, family, is_net, prefix, lo, hi FROM o
 )
 def jn02(spark, sf):
     """Entries overlapping no allowed network, in either direction."""
-    entries = D.observations(spark, sf).select(*A.ADDRESS_COLUMNS).distinct()
+    entries = D.observations(spark, sf).select(*A.ADDRESS_COLUMNS).distinct().persist(StorageLevel.DISK_ONLY)
     return intervals.without_overlap(entries, D.allowed(spark, sf)).select("indicator")
 
 

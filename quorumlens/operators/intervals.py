@@ -36,25 +36,36 @@ def _keyed(df: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def _lengths(networks: DataFrame, family: str = "family", prefix: str = "prefix") -> Column:
-    """The prefix lengths that occur in a table's networks of the row's ``family`` (at most 162 in all)."""
-    found = networks.select(F.col(family).cast("int"), F.col(prefix).cast("int")).distinct().collect()
+def _lengths(found) -> Column:
+    """Prefix lengths of the row's ``family`` among (family, length) rows (at most 162)."""
+    found = set(found)
     of = lambda f: F.array(*[F.lit(p) for p in sorted(p for x, p in found if x == f)]).cast("array<int>")
     return F.when(F.col("family") == 4, of(4)).otherwise(of(6))
 
 
+def _fetched(networks: DataFrame) -> tuple[DataFrame, Column, bool]:
+    """A table of networks, the lengths in it, and whether it is small; a small one is fetched once and computed no more."""
+    rows = networks.limit(BROADCAST_NETWORKS + 1).collect()
+    small = len(rows) <= BROADCAST_NETWORKS
+    if small:
+        networks = networks.sparkSession.createDataFrame(rows, networks.schema)
+    else:
+        rows = networks.select("family", "prefix").distinct().collect()
+    return networks, _lengths((r["family"], r["prefix"]) for r in rows), small
+
+
 def overlapping(entries: DataFrame, allowed: DataFrame) -> DataFrame:
     """Indicators of ``entries`` that lie in a network of ``allowed`` or contain (part of) one."""
-    nets = allowed.select("family", "prefix", "lo", "lo6").distinct()
+    nets, lengths, small = _fetched(allowed.select("family", "prefix", "lo", "lo6").distinct())
     upward = F.sequence(F.lit(0), F.col("prefix").cast("int"))
     keys = _keyed(nets.select("*", F.lit(_INSIDE).alias("_how"), F.col("prefix").cast("int").alias("_p"))).union(
         _keyed(nets.select("*", F.lit(_AROUND).alias("_how"), F.explode(upward).alias("_p"))).distinct()
     )
-    if nets.limit(BROADCAST_NETWORKS + 1).count() <= BROADCAST_NETWORKS:
+    if small:
         keys = F.broadcast(keys)
     width = F.coalesce(F.col("prefix"), F.when(F.col("family") == 4, 32).otherwise(128)).cast("int")
     inside = F.transform(
-        F.filter(_lengths(nets), lambda p: p <= width), lambda p: F.struct(F.lit(_INSIDE).alias("_how"), p.alias("_p"))
+        F.filter(lengths, lambda p: p <= width), lambda p: F.struct(F.lit(_INSIDE).alias("_how"), p.alias("_p"))
     )
     own = F.struct(F.lit(_AROUND).alias("_how"), F.col("prefix").cast("int").alias("_p"))
     around = F.when(F.col("prefix").isNotNull(), F.array(own)).otherwise(F.array().cast("array<struct<_how:int,_p:int>>"))
@@ -62,16 +73,13 @@ def overlapping(entries: DataFrame, allowed: DataFrame) -> DataFrame:
     return _keyed(probes, "indicator").join(keys, _KEY, "left_semi").select("indicator").distinct()
 
 
-def flag_overlap(
-    entries: DataFrame, allowed: DataFrame, out: str = "allowlisted", keys: DataFrame | None = None
-) -> DataFrame:
+def flag_overlap(entries: DataFrame, allowed: DataFrame, out: str = "allowlisted") -> DataFrame:
     """Add boolean ``out``: the entry lies in an allowed network, or contains (part of) one.
 
-    ``allowed`` holds networks with the address columns; ``entries`` are distinct indicators.  ``keys``: the address
-    columns of the entries, where they can be had for less than ``entries``.
+    ``allowed`` holds networks with the address columns; ``entries`` are distinct indicators, stored or kept, for their
+    addresses are read apart from the rest.
     """
-    probed = (entries if keys is None else keys).select(*ADDRESS_COLUMNS)
-    hits = overlapping(probed, allowed).withColumn(out, F.lit(True))
+    hits = overlapping(entries.select(*ADDRESS_COLUMNS), allowed).withColumn(out, F.lit(True))
     return entries.join(hits, "indicator", "left").select(
         *entries.columns, F.coalesce(F.col(out), F.lit(False)).alias(out)
     )
@@ -102,24 +110,39 @@ def explain_targets(targets: DataFrame, published: DataFrame) -> DataFrame:
     )
     both = F.when(F.col("is_net"), F.array(text, net)).otherwise(F.array(text))
     keys = written(published.select(F.col("indicator").alias("found"), F.inline(both)), "published-keys")
-    wanted = targets.select("target", "indicator", "family", "is_net", "lo", "lo6").distinct()
+    lengths = _lengths(keys.where("_p >= 0").select("_f", "_p").distinct().collect())
     single = ~F.coalesce("is_net", F.lit(True))
-    lengths = _lengths(keys.where("_p >= 0"), "_f", "_p")
-    inside = wanted.where(single).select(
-        "target", "family", "lo", "lo6", F.lit(_INSIDE).alias("_how"), F.explode(lengths).alias("_p")
+    pair = "array<struct<_how:int,_p:int>>"
+    exact = F.array(F.struct(F.lit(_EXACT).alias("_how"), F.lit(-1).alias("_p"))).cast(pair)
+    inside = F.transform(lengths, lambda p: F.struct(F.lit(_INSIDE).alias("_how"), p.alias("_p"))).cast(pair)
+    wanted = targets.select("target", "indicator", "family", "is_net", "lo", "lo6").distinct()
+    # One row a target for its text, whether or not anything is listed under it, and one for each length.
+    probes = wanted.select(
+        "target", "indicator", "family", "lo", "lo6", single.alias("single"),
+        F.inline(F.when(single, F.concat(exact, inside)).otherwise(exact)),
+    )
+    by_text = F.col("_how") == _EXACT
+    probes = _keyed(probes, "target", "indicator", "single").select(
+        "target",
+        "single",
+        "_how",
+        F.when(by_text, 0).otherwise(F.col("_f")).alias("_f"),
+        "_p",
+        F.when(by_text, -1).otherwise(F.col("_k4")).alias("_k4"),
+        F.when(by_text, F.col("indicator").cast("binary")).otherwise(F.col("_k6")).alias("_k6"),
     )
-    exact = wanted.where("indicator is not null").select("target", text.alias("_x")).select("target", "_x.*")
-    probes = _keyed(inside, "target").unionByName(exact)
-    hits = probes.join(keys, _KEY).groupBy("target").agg(
+    hits = probes.join(keys, _KEY, "left").groupBy("target", "single").agg(
         F.max(F.when(F.col("_p") < 0, F.col("found"))).alias("listed"),
         # The widest network around an address is the first in address order.
-        F.min(F.when(F.col("_p") >= 0, F.struct("_p", "found"))).getField("found").alias("around"),
+        F.min(F.when(F.col("found").isNotNull() & (F.col("_p") >= 0), F.struct("_p", "found")))
+        .getField("found")
+        .alias("around"),
     )
-    return wanted.join(hits, "target", "left").select(
+    return hits.select(
         "target",
         F.coalesce("listed", "around").alias("matched"),
         F.when(F.col("listed").isNotNull(), "exact")
-        .when(~single, "invalid")
+        .when(~F.col("single"), "invalid")
         .when(F.col("around").isNotNull(), "inside")
         .otherwise("absent")
         .alias("match_kind"),

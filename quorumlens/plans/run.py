@@ -6,10 +6,10 @@ import re
 import time
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorumlens.functions.addresses import ADDRESS_COLUMNS
 from quorumlens.operators import carry, corroborate, documents, intervals, networks, reports, safety
 from quorumlens.operators.corroborate import Rules
 from quorumlens.sinks import publish, writers
@@ -59,17 +59,27 @@ def judge(
     labels: DataFrame | None = None,
     tiers: tuple[str, ...] = TIERS,
     rules: Rules = Rules(),
-    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Scored rows of all tiers with ``allowlisted``, ``drop_reason`` and ``benign_capped``.
 
-    The allowlist lookup runs once per indicator and on its address alone; the answer joins the profile, which is
-    already dealt by indicator, before the tiers fan out.  Filtering comes after scoring, so restricted sources still
-    corroborate.  ``keys``: the observations' addresses, if they can be read from elsewhere.
+    The profiles, one row an indicator, are kept on the executors' disks until the session ends (``run`` frees them): the
+    allowlist lookup reads their addresses alone, and its answer joins them where they lie, dealt by indicator.
+    Filtering comes after scoring, so restricted sources still corroborate.
     """
-    profile = corroborate.profiles(observations, sources, as_of, rules)
-    addresses = (observations if keys is None else keys).select(*ADDRESS_COLUMNS).distinct()
-    flagged = intervals.flag_overlap(profile, allowed, keys=addresses)
+    profile = corroborate.profiles(observations, sources, as_of, rules).persist(StorageLevel.DISK_ONLY)
+    return judge_profiles(profile, allowed, state, labels, tiers, rules)
+
+
+def judge_profiles(
+    profile: DataFrame,
+    allowed: DataFrame,
+    state: DataFrame | None = None,
+    labels: DataFrame | None = None,
+    tiers: tuple[str, ...] = TIERS,
+    rules: Rules = Rules(),
+) -> DataFrame:
+    """``judge`` from profiles that were kept."""
+    flagged = intervals.flag_overlap(profile, allowed)
     scored = corroborate.score(flagged, tiers, rules)
     if state is not None:
         scored = carry.merge_first_seen(scored, state)
@@ -106,8 +116,10 @@ def run(
         carried = carry.carried_observations(tables.fresh, tables.state, tables.sources, as_of)
         observations = observations.unionByName(carried, allowMissingColumns=True)
     counted, watch = reports.watched(observations)
-    judged = judge(counted, tables.sources, allowed, as_of, tables.state, tables.labels, tiers, rules, observations)
+    profile = corroborate.profiles(counted, tables.sources, as_of, rules).persist(StorageLevel.DISK_ONLY)
+    judged = judge_profiles(profile, allowed, tables.state, tables.labels, tiers, rules)
     judged.write.partitionBy("tier").parquet(f"{folder}/judged/run={name}")
+    profile.unpersist()
     judged = spark.read.schema(judged.schema).parquet(f"{folder}/judged/run={name}")
     counts = reports.run_counts(judged)
     if tables.state is not None:
