@@ -155,8 +155,9 @@ def _names(doc) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     i, c, parse, phrase, lo, hi = doc
     shape = ((parse.trigger[phrase] - lo) << 16 | (hi - lo)).astype(np.uint64)
     entry = mixed(parse.hashes(lo, hi + parse.size) ^ mixed(shape + np.uint64(1)))
-    own = mixed(np.array([0 if i is None else i + 1, c], np.int64).view(np.uint64))
-    return parse.block[phrase], entry, mixed(entry ^ mixed(own[0] ^ mixed(own[1] ^ lo.astype(np.uint64))))
+    own = mixed(np.array([i or 0, c, i is None], np.int64).view(np.uint64))
+    place = mixed(own[0] ^ mixed(own[1] ^ mixed(own[2] ^ lo.astype(np.uint64))))
+    return parse.block[phrase], entry, mixed(entry ^ place)
 
 
 def _columns(docs, *extra) -> list[pa.Array]:
@@ -165,24 +166,26 @@ def _columns(docs, *extra) -> list[pa.Array]:
     return [
         *(pa.array(x.view(np.int64)) for x in names),
         pa.array([d[0] for d, k in zip(docs, n) for _ in range(k)], pa.int64()),
-        pa.array(np.repeat(np.array([d[1] for d in docs], np.int32), n)),
+        pa.array(np.repeat(np.array([d[1] for d in docs], np.int64), n)),
         pa.array(np.concatenate([d[4] for d in docs]).astype(np.int32)),
         pa.array(np.concatenate([d[5] for d in docs]).astype(np.int32)),
     ]
 
 
 _FIELDS = ["block", "entry", "place", "doc_id", "content", "lo", "hi"]
-_ENTRY = "block long, entry long, place long, doc_id long, content int, lo int, hi int"
-_RANGE = "doc_id long, content int, lo int, hi int"
+_ENTRY = "block long, entry long, place long, doc_id long, content long, lo int, hi int"
+_RANGE = "doc_id long, content long, lo int, hi int"
 
 
 def _merged(batches):
     """Ranges of starts of one document that follow each other, as one; batches of (doc_id, content, lo, hi)."""
     for batch in batches:
-        ids = batch.column(0).fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
+        ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
+        null = batch.column(0).is_null().to_numpy(zero_copy_only=False)
         content, lo, hi = (batch.column(k).to_numpy(zero_copy_only=False) for k in (1, 2, 3))
         if len(lo):
-            new = (ids[1:] != ids[:-1]) | (content[1:] != content[:-1]) | (lo[1:] != hi[:-1] + 1)
+            new = (ids[1:] != ids[:-1]) | (null[1:] != null[:-1]) | (content[1:] != content[:-1])
+            new |= lo[1:] != hi[:-1] + 1
             head = np.flatnonzero(np.concatenate([[True], new]))
             tail = np.concatenate([head[1:] - 1, [len(lo) - 1]])
             yield pa.RecordBatch.from_arrays(
@@ -223,7 +226,7 @@ def _later_starts(entries: DataFrame, size: int) -> DataFrame:
                     pa.RecordBatch.from_arrays(
                         [
                             kept,
-                            pa.array(content[row[later]].astype(np.int32)),
+                            pa.array(content[row[later]]),
                             pa.array(start[later].astype(np.int32)),
                             pa.array(start[later].astype(np.int32)),
                         ],
@@ -304,10 +307,8 @@ def dedup_substrings(
     names = [c for c in docs.columns if c != out_col]
     kind = "array<struct<begin:int,end:int>>"
     keyed = docs.select(*text_key(id_col, text_col), F.struct(*names).alias("row"))
-    # Content only tells rows of one id apart: 32 bits will do.
-    keyed = keyed.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn(
-        "content", F.shiftright("content", 32).cast("int")
-    )
+    # Rows of one id are told apart by 64 bits of their content.
+    keyed = keyed.withColumn("doc_id", F.col("doc_id").cast("long"))
     texts = keyed.select("doc_id", "content", F.col(f"row.`{text_col}`").cast("string").alias("text"))
     ranges = repeated_starts(texts, size).groupBy("doc_id", "content").agg(
         F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("ranges")

@@ -35,7 +35,7 @@ def test_vectors_match_brute_force(spark, sf):
     assert got == brute.vector_rows(rows)
 
 
-@pytest.mark.parametrize("name", ["op5_decontamination", "op7_line_dedup", "op9_url_filter"])
+@pytest.mark.parametrize("name", ["op5_decontamination", "op7_line_dedup", "op9_url_filter", "op12_merkle_manifest", "op13_conversation_trie"])
 def test_query_matches_sql(spark, sf, name):
     result, _ = compare(spark, connect(sf), sf, entry.queries()[name], entry.oracle_sql()[name])
     assert result == "ok"
@@ -48,6 +48,15 @@ def test_toxicity_holds_out_a_fifth(spark, sf, docs):
     assert all(r.predicted == (r.score >= 0.5) for r in rows)
 
 
-def test_all_eleven_are_registered():
+def test_language_model_scores_every_document(spark, sf, docs):
+    rows = entry.queries()["op11_language_model"](spark, sf).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(i for i, _ in docs)
+    assert len({r.train_tokens for r in rows}) == 1 and all(r.score < 0 and r.n_known <= r.n_tokens for r in rows)
+    # Held-out texts are predicted better than by the smoothed counts of whole words.
+    out = [r for r in rows if r.held_out]
+    assert out and sum(r.score for r in out) / sum(r.n_tokens for r in out) > -20
+
+
+def test_all_are_registered():
     names = entry.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
