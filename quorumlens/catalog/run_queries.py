@@ -9,7 +9,9 @@ from quorumlens.catalog import adapters as D
 from quorumlens.catalog.ingest_queries import _FETCH, _STATUS, _status
 from quorumlens.catalog.registry import query
 from quorumlens.catalog.safety_queries import (
+    _ALLOBS,
     CAPPED,
+    CARRIED,
     JUDGED,
     STATE,
     all_observations,
@@ -17,9 +19,9 @@ from quorumlens.catalog.safety_queries import (
     prior_state,
     psql,
     published,
+    ssql,
 )
-from quorumlens.catalog.safety_queries import CARRIED, _ALLOBS, ssql
-from quorumlens.catalog.statistics_queries import CLS, ENR, FINALN, PAIRS, SPECTRUM, _history, _RUNS, osql
+from quorumlens.catalog.statistics_queries import _RUNS, CLS, ENR, FINALN, PAIRS, SPECTRUM, _history, osql
 from quorumlens.functions import constants as K
 from quorumlens.operators import documents, families, reports
 from quorumlens.plans import run as plan

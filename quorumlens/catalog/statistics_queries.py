@@ -6,13 +6,7 @@ from pyspark.sql import functions as F
 
 from quorumlens.catalog import adapters as D
 from quorumlens.catalog.registry import query
-from quorumlens.catalog.safety_queries import (
-    CAPPED,
-    JUDGED,
-    judged,
-    psql,
-    published,
-)
+from quorumlens.catalog.safety_queries import judged, psql, published
 from quorumlens.functions import addresses as A
 from quorumlens.functions import constants as K
 from quorumlens.operators import carry, families, intervals, membership, networks, reports, safety
