@@ -119,13 +119,12 @@ def ipv6_totals(published: DataFrame) -> DataFrame:
 
 
 def flat_dimensions(published: DataFrame) -> DataFrame:
-    """IPv6 analyses without signal: those whose dimension has fewer than two values, and why.
+    """Analyses without signal per family: those whose dimension has fewer than two values, and why.
 
-    A dimension comes back by itself once a second value appears.  Persistence of networks needs a range of IPv6
-    networks; it is without signal as long as no entry has one.
+    A dimension comes back by itself once a second value appears.  Persistence of networks needs a range that names
+    them; no range names an IPv6 network, so it is without signal wherever there are IPv6 entries.
     """
-    six = published.filter("family = 6")
-    wide = six.groupBy("family").agg(
+    wide = published.groupBy("family").agg(
         F.count("*").alias("entries"),
         F.count_distinct("score").alias("scores"),
         F.min("score").alias("score"),
@@ -133,9 +132,9 @@ def flat_dimensions(published: DataFrame) -> DataFrame:
         F.min("band").alias("band"),
         F.count_distinct(F.array_sort("categories")).alias("categories"),
     )
-    items = _distinct_items(six, "independence_classes", "sources")
+    items = _distinct_items(published, "independence_classes", "sources")
     wide = wide.join(items, "family", "left").fillna(0, ["independence_classes", "sources"])
-    known = F.lit(0).cast("bigint")
+    known = F.when(F.col("family") == 6, F.lit(0).cast("bigint"))
     rows = [
         (K.FLAT_CLASSES, F.col("independence_classes"), F.concat(F.col("independence_classes").cast("string"), F.lit(" class in all"))),
         (K.FLAT_SCORES, F.col("scores"), F.concat(F.lit("all scores are "), F.round("score", 1).cast("string"))),
