@@ -38,7 +38,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates: SimHash and MinHash candidates, compared on their shingles."""
     return near.keep_one(docs, words=WORDS, similarity=SIMILARITY)
 
 

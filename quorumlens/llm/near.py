@@ -1,8 +1,10 @@
-"""Near-duplicate documents by Jaccard similarity of their word shingles: MinHash bands, verified on the sets.
+"""Near-duplicate documents by their word shingles: SimHash and MinHash candidates, verified on the sets by Jaccard.
 
-Documents with one set of shingles are one class, and only classes are compared.  A class has ROWS * BANDS minima; two
-classes are candidates if all minima of a band agree and the low bytes of at least LIKELY minima do.  A pair of
-similarity 0.8 meets in no band with a chance of 5e-8 and has fewer likely minima with one of 8e-8.
+Documents with one set of shingles are one class, and only classes are compared.  A class has a SimHash fingerprint (the
+bits set in over half of its shingles' hashes), and classes within RADIUS bits are candidates, by the grid of ``simhash``.
+A pair of similarity 0.8 differs in some ten bits, which no grid reaches at scale, so a class also has ROWS * BANDS
+minima: two classes are candidates too if all minima of a band agree and the low bytes of at least LIKELY minima do.  A
+pair of similarity 0.8 meets in no band with a chance of 5e-8 and has fewer likely minima with one of 8e-8.
 
 Candidates only tell which classes may belong together: the components of their links are groups.  A group's sets then
 meet in one task and are compared exactly, in one sweep that joins each class to its component.  A group with more than
@@ -24,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quorumlens.llm import simhash
 from quorumlens.llm.common import (
     block_tasks,
     components,
@@ -38,6 +41,8 @@ from quorumlens.llm.common import (
 from quorumlens.llm.decontaminate import shingle_hashes
 
 WORDS, SIMILARITY = 5, 0.8
+#: Bits in which the fingerprints of two candidates may differ.
+RADIUS = 4
 #: Minima of a band, bands, and minima of which the low bytes agree in a candidate (0.6 of all).
 ROWS, BANDS, LIKELY = 4, 32, 77
 #: Classes of a band's value that one task takes at a time.
@@ -81,17 +86,18 @@ def bands(least: np.ndarray) -> np.ndarray:
 
 
 def sketches(texts: DataFrame, words: int) -> DataFrame:
-    """(doc_id, content, name, n, bands, sketch) of ``texts`` (doc_id, content, text)."""
+    """(doc_id, content, name, n, fp, bands, sketch) of ``texts`` (doc_id, content, text)."""
 
     def run(batches):
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)
-                names, sizes, keys, low = [], [], [], []
+                names, sizes, fps, keys, low = [], [], [], [], []
                 for text in batch.column(2).to_pylist():
                     own = shingle_set(text, words)
                     names.append(set_name(own))
                     sizes.append(len(own))
+                    fps.append(simhash.majority(own))
                     least = minima(own)
                     keys.append(bands(least).tobytes() if len(own) else b"")
                     low.append(((least >> np.uint64(24)) & np.uint64(255)).astype(np.uint8).tobytes())
@@ -100,13 +106,14 @@ def sketches(texts: DataFrame, words: int) -> DataFrame:
                         *batch.columns[:2],
                         pa.array(np.array(names, np.uint64).view(np.int64)),
                         pa.array(sizes, pa.int32()),
+                        pa.array(np.array(fps, np.uint64).view(np.int64)),
                         pa.array(keys, pa.binary()),
                         pa.array(low, pa.binary()),
                     ],
-                    ["doc_id", "content", "name", "n", "bands", "sketch"],
+                    ["doc_id", "content", "name", "n", "fp", "bands", "sketch"],
                 )
 
-    schema = "doc_id long, content long, name long, n int, bands binary, sketch binary"
+    schema = "doc_id long, content long, name long, n int, fp long, bands binary, sketch binary"
     return texts.select("doc_id", "content", "text").mapInArrow(run, schema)
 
 
@@ -159,8 +166,18 @@ def _pairs(a: list, b: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
+def near_fingerprints(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(a, b): links that connect all classes (name, n, fp) whose fingerprints are within ``radius`` bits."""
+    some = classes.where("n > 0").select("name", "fp")
+    first = settled(some.groupBy("fp").agg(F.min("name").alias("first")), "class-fingerprints")
+    equal = some.join(first, "fp").select(F.col("name").alias("a"), F.col("first").alias("b")).where("a != b")
+    a, b = (first.select(F.col("fp").alias(c), F.col("first").alias(f"first_{c}")) for c in ("a", "b"))
+    close = simhash.links(first, radius).join(a, "a").join(b, "b")
+    return equal.union(close.select("first_a", "first_b"))
+
+
 def candidates(classes: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): links between classes (name, n, bands, sketch) that connect all candidates."""
+    """(a, b): links between classes (name, n, bands, sketch) that connect all candidates of the bands."""
     context = classes.sparkSession.sparkContext
     shared = settled(_visits(classes).groupBy(F.col("band").alias("hash")).count().where("count > 1"), "shared-bands")
     wanted = context.broadcast(hash_bitmap(shared, shared.count()))
@@ -230,7 +247,8 @@ def _compared(tasks: DataFrame, similarity: float) -> DataFrame:
 
 def links(texts: DataFrame, classes: DataFrame, words: int, similarity: float) -> DataFrame:
     """(a, b): links that connect all classes of at least ``similarity`` as their full graph would."""
-    linked = components(candidates(classes, similarity)).select(F.col("node").alias("name"), "root")
+    met = near_fingerprints(classes).union(candidates(classes, similarity))
+    linked = components(met).select(F.col("node").alias("name"), "root")
     groups = settled(linked, "groups")
     wanted = texts.sparkSession.sparkContext.broadcast(
         hash_bitmap(groups.select(F.col("name").alias("hash")), groups.count())
@@ -289,7 +307,7 @@ def keep_one(
     texts = keyed.select("doc_id", "content", F.col(f"row.`{text_col}`").cast("string").alias("text"))
     found = settled(sketches(texts, words), "sketches")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "content")).alias("first")
-    same_set = [F.first(c).alias(c) for c in ("n", "bands", "sketch")]
+    same_set = [F.first(c).alias(c) for c in ("n", "fp", "bands", "sketch")]
     classes = settled(found.groupBy("name").agg(first, *same_set), "classes")
     roots = components(links(texts, classes, words, similarity)).select(F.col("node").alias("name"), "root")
     rooted = classes.select("name", "first").join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))

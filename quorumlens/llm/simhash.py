@@ -27,6 +27,15 @@ BITS, SEGMENT = 64, 2
 CELL_ROWS = 8192
 
 
+def majority(h: np.ndarray) -> int:
+    """The bits set in over half of the 64-bit hashes ``h``."""
+    votes = np.zeros(BITS, np.int64)
+    for at in range(0, len(h), 1 << 16):
+        some = h[at : at + (1 << 16)]
+        votes += np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int.from_bytes(np.packbits(votes * 2 > len(h), bitorder="little").tobytes(), "little")
+
+
 def fingerprint(text: str | None, words: int, seed: int = 42) -> int:
     """Bits set in over half of the shingles' XXH64; 0 for a text without words."""
     parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -39,11 +48,7 @@ def fingerprint(text: str | None, words: int, seed: int = 42) -> int:
     stops = ends[min(words, len(parts)) - 1 :].tolist()
     one = xxhash.xxh64_intdigest
     h = np.fromiter((one(joined[a:b], seed) for a, b in zip(starts, stops)), np.uint64, n)
-    votes = np.zeros(BITS, np.int64)
-    for at in range(0, n, 1 << 16):
-        some = h[at : at + (1 << 16)]
-        votes += np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(votes * 2 > n, bitorder="little").tobytes(), "little")
+    return majority(h)
 
 
 def fingerprints(docs: DataFrame, words: int, text_col: str = "text", out_col: str = "fingerprint") -> DataFrame:

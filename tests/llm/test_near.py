@@ -7,7 +7,7 @@ from itertools import combinations
 import numpy as np
 
 import corpus_pipeline
-from quorumlens.llm import near
+from quorumlens.llm import near, simhash
 from tests.llm import brute
 
 
@@ -62,3 +62,19 @@ def test_cut_groups_are_joined_whole(spark, monkeypatch):
         monkeypatch.setattr(near, "SHINGLES", shingles)
         monkeypatch.setattr(near, "BAND_ROWS", band)
         assert sorted(r.doc_id for r in near.keep_one(df).collect()) == want, shingles
+
+
+def test_fingerprints_alone_lead_to_near_copies(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    words = [f"w{k}" for k in range(5000)]
+    rows = []
+    for _ in range(40):
+        base = [str(x) for x in rng.choice(words, 300)]
+        rows += [(len(rows), " ".join(base)), (len(rows) + 1, edited(rng, base, words, 1))]
+    rows += [(1000, ""), (1001, None), (1002, "two words")]
+    fps = {i: simhash.majority(near.shingle_set(t, 5)) for i, t in rows}
+    want = [i for i, _ in rows if i != 1001 and not (i < 80 and i % 2 and (fps[i] ^ fps[i - 1]).bit_count() <= 4)]
+    assert 5 < len(rows) - len(want) < 42  # copies within the radius and beyond it
+    monkeypatch.setattr(near, "candidates", lambda classes, _: spark.createDataFrame([], "a long, b long"))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, df, "").collect()) == want
