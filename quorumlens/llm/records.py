@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quorumlens.llm.common import BROADCAST_ROWS
+from quorumlens.llm.common import BROADCAST_ROWS, settled
 from quorumlens.llm.tokens import load
 
 #: Text bytes that go to one data file, about.
@@ -132,6 +132,7 @@ def index_of(spark: SparkSession, folder: str) -> DataFrame:
     rows = files_of(spark, folder).mapInArrow(
         run, "shard string, position long, size long, doc_id long, n_tokens long, before long"
     )
+    rows = settled(rows, "record-places")  # read twice below, the data files once
     # One row per file: its tokens, and those of the files before it.
     totals = rows.groupBy("shard").agg(F.sum("n_tokens").alias("tokens"))
     first = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)

@@ -12,6 +12,8 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -24,6 +26,8 @@ BYTE_LEVEL = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]
 #: A full stop or comma next to another mark: there they belong to one piece with it.
 MARK_RUN = re.compile(r"[.,](?:[^\w\s]|_)|(?:[^\w\s]|_)[.,]")
 OTHER_MARK = re.compile(r"[^\w\s.,]|_")
+#: ASCII characters as MARK_RUN tells them apart: full stops and commas, other marks, and the rest.
+MARKS = bytes(46 if chr(c) in ".," else 45 if c < 128 and OTHER_MARK.match(chr(c)) else 32 for c in range(256))
 WORD_TAIL = re.compile(r"([^\W\d_]+)((?:[^\w\s']|_)+)\Z")
 
 _LOADED: dict[str, "Pieces"] = {}
@@ -79,12 +83,19 @@ class Pieces(dict):
 
         The new words of these texts go to the library as one text, whose ids are cut again at word ends.
         """
-        split = [self.words(t) if self.plain(t) else None for t in texts]
-        new = set().union(*filter(None, split)).difference(self)
-        cores = {m[1] if (m := WORD_TAIL.match(w)) else w for w in new if w not in self.old}
+        plain = [self.plain(t) for t in texts]
+        split = pc.ascii_split_whitespace(
+            pa.array([self.spaced(t) if ok else "" for t, ok in zip(texts, plain)], pa.string())
+        )
+        coded = split.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = [w for w in distinct if w not in self]
+        unknown = [w for w in new if w not in self.old]
+        cores = {m[1] if not w.isalpha() and (m := WORD_TAIL.match(w)) else w for w in unknown}
         cores = [w for w in cores if w.isalpha() and w not in self and w not in self.old]
         if len(self) + len(new) + len(cores) >= REMEMBERED:
             self.age()
+        self.update({w: self.old[w] for w in new if w in self.old})
         if cores:
             if self.ends is None:
                 self.ends = np.array(
@@ -96,19 +107,33 @@ class Pieces(dict):
                 raw = ids.tobytes()
                 for w, a, b in zip(cores, at, at[1:]):
                     self[w] = raw[4 * a : 4 * b]
-        get = self.__getitem__
-        return [self.by_library(t) if w is None else b"".join(map(get, w)) for t, w in zip(texts, split)]
+        # Each distinct word is looked up once; its ids are then laid out wherever it stands.
+        found = list(map(self.__getitem__, distinct))
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), "<u4")
+        word = coded.indices.to_numpy(zero_copy_only=False)
+        n = size[word]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        ids = flat[np.repeat((np.cumsum(size) - size)[word] - ends[:-1], n) + np.arange(ends[-1])]
+        cut = ends[split.offsets.to_numpy()].tolist()
+        return [
+            ids[a:b].tobytes() if ok else self.by_library(t) for t, ok, a, b in zip(texts, plain, cut, cut[1:])
+        ]
 
     @staticmethod
-    def words(text: str) -> list[str]:
+    def spaced(text: str) -> str:
+        """A plain text in lower case with blanks between its words."""
         text = text.lower()
-        if OTHER_MARK.search(text):
+        if text.isascii():
+            marks = text.encode().translate(MARKS)
+            runs = b".." in marks or b".-" in marks or b"-." in marks
+        elif OTHER_MARK.search(text):
             runs = MARK_RUN.search(text)
         else:
             runs = ".." in text or ",," in text or ".," in text or ",." in text
         if not runs:  # marks that stand alone are pieces of their own
             text = text.replace(".", " . ").replace(",", " , ")
-        return text.split()
+        return text
 
     def byte_table(self) -> list[bytes]:
         """id -> the bytes that it stands for (byte-level vocabularies)."""
