@@ -113,7 +113,9 @@ def hash_bitmap(hashes: DataFrame, rows: int, max_bits: int = BITMAP_BITS) -> np
         slices, F.shiftrightunsigned(F.col("hash"), 64 - 6).cast("int")
     )
     whole = np.zeros((1 << bits) // 8, np.uint8)
-    for row in by_slice.mapInArrow(build, "slice int, bits binary").toLocalIterator():
+    built = by_slice.mapInArrow(build, "slice int, bits binary")
+    # A small bitmap comes in one job, a large one slice by slice.
+    for row in built.collect() if bits <= 26 else built.toLocalIterator():
         at = row["slice"] * width // 8
         whole[at : at + width // 8] |= np.frombuffer(row["bits"], np.uint8)
     return whole
