@@ -37,13 +37,13 @@ WORD_ROWS = 8192
 #: Prefix rows a bucket holds on average, and rows that are packed at a time.
 BUCKET_ROWS, PACKED = 250_000, 200_000
 #: Bytes of text that are split at a time.
-CHUNK = 1 << 21
-#: Candidates a task names for a line in the first pass.
-NAMED = 8
+CHUNK = 1 << 19
+#: Candidates a task names for a line in the first pass, and how many of them are compared first.
+NAMED, LIKELY = 16, 2
 #: Lines of more words than this have a second parity map.
 LONG = 56
 
-_BLOCK = 1 << 18
+_BLOCK = 1 << 14
 _BYTES = np.random.default_rng(7).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 _POWERS = np.multiply.accumulate(np.full(_BLOCK, 0x9E3779B97F4A7C15, np.uint64))
 _INVERSE = np.multiply.accumulate(np.full(_BLOCK, pow(0x9E3779B97F4A7C15, -1, 1 << 64), np.uint64))
@@ -506,11 +506,10 @@ class Join:
         schema = "bucket int, " + ", ".join(f"{k} array<{v}>" for k, v in kinds.items())
         return self.scan(rows, schema).repartition(count, "bucket")
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """Of ``pairs`` (x, y): x, its name, and whether a y is similar."""
+    def words(self, pairs: DataFrame) -> DataFrame:
+        """(spot, name, tokens) of the lines of ``pairs`` (x, y)."""
         spots_ = settled(pairs.select("x").union(pairs.select("y")).distinct().toDF("hash"), "lines-to-compare")
         wanted = self.context.broadcast(hash_bitmap(spots_, spots_.count()))
-        threshold = self.threshold
 
         def tokens(lines):
             for x in lines:
@@ -524,7 +523,11 @@ class Join:
         # A place may come twice, as a document may.
         own = self.scan(tokens, "spot long, name long, tokens array<long>")
         own = own.join(spots_.select(F.col("hash").alias("spot")), "spot", "left_semi").dropDuplicates(["spot"])
-        own = settled(own, "line-words")
+        return settled(own, "line-words")
+
+    def compared(self, pairs: DataFrame, own: DataFrame) -> DataFrame:
+        """Of ``pairs`` (x, y), whose words ``own`` has: x, its name, and whether a y is similar."""
+        threshold = self.threshold
         x = own.select(F.col("spot").alias("x"), "name", F.col("tokens").alias("tx"))
         y = own.select(F.col("spot").alias("y"), F.col("tokens").alias("ty"))
         shared = F.size(F.array_intersect("tx", "ty"))
@@ -553,16 +556,21 @@ def first_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     found = found.groupBy("x").agg(each.alias("ys"), F.max("more").alias("more"))
     found = found.select("x", F.slice("ys", 1, NAMED).alias("ys"), (F.col("more") | (F.size("ys") > NAMED)).alias("more"))
     found = settled(found, "line-pairs")
-    judged = join.verified(found.select("x", F.explode("ys.y").alias("y")).distinct())
-    left = settled(judged.where("not similar").join(found.where("more"), "x", "left_semi").select("x"), "lines-asked")
+    words = join.words(found.select("x", F.explode("ys.y").alias("y")))
+    likely = join.compared(found.select("x", F.explode(F.slice("ys.y", 1, LIKELY)).alias("y")), words)
+    rest = found.join(likely.where("not similar"), "x", "left_semi")
+    others = rest.select("x", F.explode(F.slice("ys.y", LIKELY + 1, NAMED)).alias("y"))
+    others = join.compared(others, words)
+    gone = likely.union(others).where("similar").select("name")
+    left = rest.where("more").join(others.where("similar"), "x", "left_anti").select("x")
+    left = settled(left, "lines-asked")
     several = left.count()
-    gone = judged.where("similar").select("name")
     if several:
         asked = join.context.broadcast(hash_bitmap(left.select(F.col("x").alias("hash")), several))
         words = join.words_of(asked)
         of = join.context.broadcast(hash_bitmap(words, words.count()))
         more = settled(candidates(join.keys(of), threshold, asked).select("x", "y").distinct(), "line-pairs")
-        gone = gone.union(join.verified(more).where("similar").select("name"))
+        gone = gone.union(join.compared(more, join.words(more)).where("similar").select("name"))
     return join.classes.join(gone.distinct(), "name", "left_anti").select("place.doc_id", "place.content", "place.line")
 
 

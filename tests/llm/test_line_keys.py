@@ -6,9 +6,11 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 
 from quorumlens.llm import lines
 from quorumlens.session import checkpoint_dir
+from tests.llm import brute
 
 
 def test_words_are_those_of_python():
@@ -23,13 +25,30 @@ def test_words_are_those_of_python():
         assert len(pairs) == len({w for w, _ in pairs}) == len({h for _, h in pairs})
 
 
-def test_tables_of_lines_stay_smaller_than_the_texts(spark):
+def test_tables_hold_no_row_for_each_prefix_word(spark):
     rng = np.random.default_rng(3)
     words = np.array(["".join(rng.choice(list("abcdefgh"), 7)) for _ in range(3000)])
     rows = [(i, "\n".join(" ".join(rng.choice(words, 40)) for _ in range(8))) for i in range(600)]
     folder = Path(checkpoint_dir(spark).removeprefix("file:"))
-    size = lambda: sum(f.stat().st_size for f in folder.rglob("*.parquet"))
-    before = size()
+    written = lambda: sum(pq.read_metadata(f).num_rows for f in folder.rglob("*.parquet"))
+    before = written()
     df = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted((r.doc_id, r.text) for r in df.collect()) == rows
-    assert size() - before < 0.4 * sum(len(t) for _, t in rows)
+    assert written() - before < 2 * 8 * len(rows)
+
+
+def test_lines_with_more_candidates_than_are_named(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    words = [f"w{k}" for k in range(400)]
+    base = [[str(x) for x in rng.choice(words, 20, replace=False)] for _ in range(3)]
+    rows = []
+    for i in range(150):
+        line = list(base[i % 3])
+        for _ in range(rng.integers(0, 4)):
+            line[rng.integers(20)] = str(rng.choice(words))
+        rows.append((i, " ".join(line)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(lines, "NAMED", 1)
+    monkeypatch.setattr(lines, "LIKELY", 1)
+    got = [(r.doc_id, r.text) for r in lines.dedup_lines(df).collect()]
+    assert sorted(got) == sorted(brute.line_rows(rows))
