@@ -528,7 +528,9 @@ class Join:
     def compared(self, pairs: DataFrame, own: DataFrame) -> DataFrame:
         """Of ``pairs`` (x, y), whose words ``own`` has: x, its name, and whether a y is similar."""
         threshold = self.threshold
-        x = own.select(F.col("spot").alias("x"), "name", F.col("tokens").alias("tx"))
+        # Bitmaps let some later copies pass: they are partners like any line, but only first places speak for a class.
+        first = self.classes.select(F.col("place.spot").alias("spot"))
+        x = own.join(first, "spot", "left_semi").select(F.col("spot").alias("x"), "name", F.col("tokens").alias("tx"))
         y = own.select(F.col("spot").alias("y"), F.col("tokens").alias("ty"))
         shared = F.size(F.array_intersect("tx", "ty"))
         enough = shared * (1 + threshold) >= (F.size("tx") + F.size("ty")) * threshold - 1e-9
