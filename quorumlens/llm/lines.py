@@ -1,15 +1,18 @@
 """Line dedup: an exact set-similarity join that removes lines similar to an earlier one.
 
 A line is the set of its lower-cased words.  Words are counted over the whole corpus; in each line they are ordered
-by rarity (words without a rank in any order, then frequent ones).  Two lines with Jaccard similarity of at least the
-threshold share one of their rarest words (the prefix), so those words are the join key; a word that occurs once is
-no key at all.  Lengths, the positions of the shared word and a 64-bit map of each line's words bound the overlap
-before words are compared.  A line needs one earlier partner, so a task reports the earliest one that passes the
-bounds and no pairs; the words of lines reported are then fetched and compared.  Lines whose earliest candidate fails
-are the exception: they report all their candidates in a second pass.
-
-Ranks of frequent words are broadcast: words with at least total / FREQUENT occurrences, of which there cannot be
-more than FREQUENT.  Rarer words need no rank.  Words and lines are known by hashes of 64 bits.
+by rarity (a class of their count, then their hash).  Two lines with Jaccard similarity of at least the threshold
+share one of their rarest words (the prefix), so those words are the join key; a word that occurs once is no key at
+all.  Lines that meet are compared by their sizes and by parity maps: each word flips one bit, so two maps differ in no
+more bits than the lines differ in words.  That leaves little but similar lines; the words of those are fetched and
+compared.  A line needs one earlier partner, so a task names its NAMED likeliest ones; lines of which none was similar
+and which had more are the exception: they report all their candidates in a second pass.
+
+Texts are split in tasks whenever lines are needed, by operations on whole arrays of bytes, as that costs less than to
+keep words.  Prefixes come from distinct lines only, as far as bitmaps tell, and travel as arrays, one row a bucket
+of words.  Counts of words are kept as one byte a slot of their hash (SLOTS); words that share a slot count as more
+frequent than they are, which changes the order of words alike in all lines and so no result.  Words and lines are
+known by hashes of 64 bits.
 
 Edge cases: lines without words stay; a null text stays null; the order of lines is (id, content, line number) with
 null ids first; rows that agree in id and text are one document given twice and are cut alike; a document may lose
@@ -18,113 +21,179 @@ all its lines and is then an empty text.  A removed line still removes later one
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorumlens.llm.common import (
-    block_tasks,
-    hash_bitmap,
-    in_bitmap,
-    mixed,
-    same,
-    settled,
-    text_key,
-    whole_runs,
-)
+from quorumlens.llm.common import hash_bitmap, in_bitmap, mixed, same, settled, text_key
 
 THRESHOLD = 0.8
-#: Words at most that get a rank of their own.
-FREQUENT = 200_000
-#: Words a worker remembers; beyond it forgets all.
-REMEMBERED = 500_000
+#: Counts of words are kept for 2 ** SLOTS slots of their hashes, dealt to SLICES tasks.
+SLOTS, SLICES = 24, 64
 #: Lines with one word in their prefixes that one task compares at a time.
 WORD_ROWS = 8192
-
-
-def _hash(word: str) -> int:
-    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-
-
-def word_counts(texts: DataFrame) -> DataFrame:
-    """(hash, n): occurrences of each word in the one text column of ``texts``."""
-
-    def run(batches):
-        for whole in batches:
-            for at in range(0, whole.num_rows, 4096):
-                seen: Counter[str] = Counter()
-                for text in whole.column(0).slice(at, 4096).to_pylist():
-                    seen.update((text or "").lower().split())
-                hashes = np.fromiter(map(_hash, seen), np.uint64, len(seen)).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes), pa.array(np.fromiter(seen.values(), np.int64, len(seen)))], ["hash", "n"]
-                )
-
-    return texts.mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+#: Prefix rows a bucket holds on average, and rows that are packed at a time.
+BUCKET_ROWS, PACKED = 250_000, 200_000
+#: Bytes of text that are split at a time.
+CHUNK = 1 << 19
+#: Candidates a task names for a line in the first pass, and how many of them are compared first.
+NAMED, LIKELY = 16, 2
+#: Lines of more words than this have a second parity map.
+LONG = 56
+
+_BLOCK = 1 << 14
+_BYTES = np.random.default_rng(7).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+_POWERS = np.multiply.accumulate(np.full(_BLOCK, 0x9E3779B97F4A7C15, np.uint64))
+_INVERSE = np.multiply.accumulate(np.full(_BLOCK, pow(0x9E3779B97F4A7C15, -1, 1 << 64), np.uint64))
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_BLANK = np.zeros(256, bool)
+_BLANK[[*range(9, 14), *range(28, 33)]] = True
+
+
+def _plain(texts: pa.Array) -> pa.Array:
+    """Texts in which only characters below U+0100 occur as they are; others lower-cased, single blanks between words."""
+    texts = texts.cast(pa.large_string()).fill_null("")
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    odd = np.flatnonzero(_data(texts, ends) > 0xC3)
+    odd = np.unique(np.searchsorted(ends - ends[0], odd, "right") - 1)
+    if not len(odd):
+        return texts
+    rows = texts.to_pylist()
+    for k in odd:
+        rows[k] = "\n".join(" ".join(x.lower().split()) for x in rows[k].split("\n"))
+    return pa.array(rows, pa.large_string())
+
+
+def _data(texts: pa.Array, ends: np.ndarray) -> np.ndarray:
+    raw = texts.buffers()[2]
+    return np.frombuffer(raw, np.uint8)[ends[0] : ends[-1]] if raw is not None else np.zeros(0, np.uint8)
+
+
+def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64 bits of each word data[start:end]: a polynomial of its bytes, as a difference of running sums, mixed."""
+    out, at = np.empty(len(start), np.uint64), 0
+    while at < len(start):
+        base = start[at]
+        to = max(at + 1, int(np.searchsorted(end, base + _BLOCK, "right")))
+        piece = _BYTES[data[base : end[to - 1]]]
+        powers, inverse = _POWERS, _INVERSE
+        if len(piece) > _BLOCK:  # one word as long as that
+            powers = np.multiply.accumulate(np.full(len(piece), _POWERS[0]))
+        sums = np.zeros(len(piece) + 1, np.uint64)
+        np.cumsum(piece * powers[: len(piece)], out=sums[1:])
+        s = start[at:to] - base
+        out[at:to] = (sums[end[at:to] - base] - sums[s]) * inverse[s]
+        at = to
+    return mixed(out ^ (end - start).astype(np.uint64))
+
+
+def split(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of each word, words of each line, document of each line, number of each line in its document)."""
+    texts = _plain(texts)
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = _LOWER[_data(texts, ends)]
+    ends = ends - ends[0]
+    at = np.flatnonzero(data[:-1] == 0xC3) + 1
+    second = data[at]
+    data[at] = second + 32 * ((second < 0x9F) & (second != 0x97)).astype(np.uint8)
+    blank = _BLANK[data]
+    at = np.flatnonzero(data[:-1] == 0xC2)
+    at = at[(data[at + 1] == 0x85) | (data[at + 1] == 0xA0)]
+    blank[at] = blank[at + 1] = True
+    # A word begins or ends at a blank or where a text does.
+    cut = np.ones(len(data) + 1, bool)
+    cut[1:-1] = blank[:-1]
+    cut[ends] = True
+    start = np.flatnonzero(cut[:-1] & ~blank)
+    cut[:-1] = blank
+    cut[ends] = True
+    end = np.flatnonzero(cut[1:] & ~blank) + 1
+    new = np.flatnonzero(data == 10)
+    stops = np.concatenate([ends[1:], new])
+    order = np.argsort(stops, kind="stable")  # the end of a text comes before a line feed that begins the next
+    doc = np.concatenate([np.arange(len(texts)), np.searchsorted(ends[1:], new, "right")])[order]
+    counts = np.diff(np.searchsorted(start, stops[order]), prepend=0)
+    first = np.searchsorted(doc, np.arange(len(texts)))
+    return _hashes(data, start, end), counts, doc, np.arange(len(doc)) - first[doc]
+
+
+def spots(ids: np.ndarray, contents: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """64 bits that stand for a place (id, content, number)."""
+    h = mixed(ids.astype(np.int64).view(np.uint64) ^ np.uint64(0x5851F42D4C957F2D))
+    h = mixed(h + contents.astype(np.int64).view(np.uint64))
+    return mixed(h ^ mixed(numbers.astype(np.uint64) + np.uint64(1)))
 
 
 class Lines:
-    """The distinct lines of one batch of documents: each with the first place that has it there."""
-
-    def __init__(self, batch: pa.RecordBatch, words: "Words"):
-        ids, contents, texts = (batch.column(i).to_pylist() for i in range(3))
-        order = sorted(range(len(ids)), key=lambda k: (ids[k] is not None, ids[k] or 0, contents[k]))
-        split = [[x.lower().split() for x in (texts[k] or "").split("\n")] for k in order]
-        index = words.indexes([w for lines in split for line in lines for w in line])
-        counts = np.array([len(x) for lines in split for x in lines], np.int64)
-        doc = np.repeat(np.arange(len(order)), [len(x) for x in split])
-        number = np.concatenate([np.arange(len(x)) for x in split]) if split else doc
-        # Words by line and rarity: one sort of (line, place of the word in the batch's order of rarity).
-        own, inverse = np.unique(index, return_inverse=True)
-        rarity = np.lexsort((words.hash[own], words.rank[own]))
-        place = np.empty(len(own), np.int64)
-        place[rarity] = np.arange(len(own))
-        keys = np.unique(np.repeat(np.arange(len(counts)), counts) << 32 | place[inverse])
-        line = keys >> 32
-        word = own[rarity][keys & 0xFFFFFFFF]
-        begin = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(line) else line
-        self.hash, self.again = words.hash[word], words.again[word]
-        self.n = np.diff(np.concatenate([begin, [len(line)]]))
-        spread = mixed(self.hash)
-        total = np.add.reduceat(spread, begin) if len(begin) else np.zeros(0, np.uint64)
-        name = mixed(total ^ self.n.astype(np.uint64))
-        bits = np.bitwise_or.reduceat(np.uint64(1) << (spread >> np.uint64(58)), begin) if len(begin) else total
+    """The distinct lines of one batch of documents: each with the first place that has it there.
+
+    ``mark`` is the content where several contents have the document's id, and otherwise 0, and ``number`` the line
+    number and (lowest bit) whether there is an id; (number's bit, id, mark, number) orders lines as their places do.
+    """
+
+    def __init__(self, batch: pa.RecordBatch, rarity: np.ndarray, shared: np.ndarray, wanted: np.ndarray | None = None):
+        here = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+        ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
+        contents, id_hash = (batch.column(k).to_numpy(zero_copy_only=False) for k in (1, 2))
+        order = np.lexsort((contents, ids, here))
+        h, counts, doc, number = split(batch.column(3).take(pa.array(order)))
+        filled = np.flatnonzero(counts)
+        rows = order[doc]
+        mark = np.where(in_bitmap(shared, id_hash)[rows], contents[rows], 0)
+        if wanted is not None:  # only words of the lines whose places may be in the bitmap
+            at = spots(ids[rows[filled]], mark[filled], number[filled] * 2 + here[rows[filled]])
+            some = np.zeros(len(counts), bool)
+            some[filled[in_bitmap(wanted, at.view(np.int64))]] = True
+            h, filled = h[np.repeat(some, counts)], np.flatnonzero(some)
+        line = np.repeat(np.arange(len(filled)), counts[filled])
+        rare = rarity[(h >> np.uint64(64 - SLOTS)).astype(np.int64)]
+        # Words by line and rarity; the sort key holds most bits of the hash, ties of it are sorted in full.
+        key = line.astype(np.uint64) << np.uint64(42) | rare.astype(np.uint64) << np.uint64(36) | h >> np.uint64(28)
+        at = np.argsort(key)
+        tied = key[at[1:]] == key[at[:-1]]
+        if len(filled) >= 1 << 22 or (tied & (h[at[1:]] != h[at[:-1]])).any():
+            at = np.lexsort((h, rare, line))
+        h, line, rare = h[at], line[at], rare[at]
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
+        self.hash, line, self.rare = h[new], line[new], rare[new]
+        begin = np.flatnonzero(np.diff(line, prepend=-1))
+        n = np.diff(begin, append=len(line))
+        some = len(begin) > 0
+        total = np.add.reduceat(self.hash, begin) if some else np.zeros(0, np.uint64)
+        name = mixed(total ^ n.astype(np.uint64))
         _, first = np.unique(name, return_index=True)
-        self.begin, self.n, self.name, self.bits = begin[first], self.n[first], name[first], bits[first]
-        where = line[self.begin] if len(begin) else line
-        self.line = number[where]
-        self.ids = [ids[order[k]] for k in doc[where]]
-        self.contents = [contents[order[k]] for k in doc[where]]
+        self.begin, self.n, self.name = begin[first], n[first], name[first]
+        where = filled[first]
+        self.line, self.mark, rows = number[where], mark[where], rows[where]
+        self.here, self.ids, self.contents = here[rows], ids[rows], contents[rows]
+        self.number = self.line * 2 + self.here
+        self.spot = spots(self.ids, self.mark, self.number)
 
     def at(self, rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(line, place of the word in it) of the first ``n`` words of each of ``rows``."""
+        """(line, index of the word) of the first ``n`` words of each of ``rows``."""
         line = np.repeat(rows, n)
-        return line, np.arange(len(line)) - np.repeat(np.cumsum(n) - n, n)
-
-
-class Words:
-    """What a task knows of words: hash, rank, and whether the word occurs elsewhere."""
-
-    def __init__(self, ranks: dict[int, int], bitmap: np.ndarray):
-        self.ranks, self.bitmap, self.known = ranks, bitmap, {}
-        self.hash = np.zeros(0, np.uint64)
-        self.rank, self.again = np.zeros(0, np.int64), np.zeros(0, bool)
-
-    def indexes(self, flat: list[str]) -> np.ndarray:
-        if len(self.known) > REMEMBERED:
-            self.__init__(self.ranks, self.bitmap)
-        new = list(set(flat).difference(self.known))
-        if new:
-            h = np.fromiter(map(_hash, new), np.uint64, len(new))
-            self.known.update(zip(new, range(len(self.hash), len(self.hash) + len(new))))
-            self.hash = np.concatenate([self.hash, h])
-            self.rank = np.concatenate([self.rank, [self.ranks.get(x, 0) for x in h.tolist()]])
-            self.again = np.concatenate([self.again, in_bitmap(self.bitmap, h.view(np.int64))])
-        return np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
+        return line, self.begin[line] + np.arange(len(line)) - np.repeat(np.cumsum(n) - n, n)
+
+    def maps(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Parity maps of ``rows``: 64 bits that all words flip, and those of the words that have a further bit."""
+        if not len(rows):
+            return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        n = self.n[rows]
+        _, word = self.at(rows, n)
+        h, begin = self.hash[word], np.cumsum(n) - n
+        bit = np.uint64(1) << (h & np.uint64(63))
+        more = np.where(h & np.uint64(64), bit, np.uint64(0))
+        return np.bitwise_xor.reduceat(bit, begin), np.bitwise_xor.reduceat(more, begin)
+
+    def prefixes(self, rows: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+        """(line, index of the word) of the prefix words that occur elsewhere too."""
+        row, word = self.at(rows, prefix(self.n[rows], threshold))
+        again = self.rare[word] > 0
+        return row[again], word[again]
 
 
 def prefix(n: np.ndarray, threshold: float) -> np.ndarray:
@@ -132,181 +201,398 @@ def prefix(n: np.ndarray, threshold: float) -> np.ndarray:
     return n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
 
 
-def _scan(docs: DataFrame, words, rows, schema: str) -> DataFrame:
-    """``rows(lines)`` for the lines of every batch of ``docs`` (doc_id, content, text)."""
+def _chunks(batch: pa.RecordBatch):
+    """Slices of about CHUNK bytes of text."""
+    size = pc.binary_length(batch.column(3)).fill_null(0).to_numpy(zero_copy_only=False)
+    ends, at = np.concatenate([[0], np.cumsum(size, dtype=np.int64)]), 0
+    while at < len(size):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + CHUNK, "right")) - 1)
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def _scan(docs: DataFrame, rows, schema: str, rarity, shared, wanted=None) -> DataFrame:
+    """``rows(lines)`` for an iterator over the lines of the batches of ``docs`` (doc_id, content, id_hash, text)."""
 
     def run(batches):
-        known = Words(*(x.value for x in words))
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1024):
-                yield rows(Lines(whole.slice(at, 1024), known))
+        known = [x and x.value for x in (rarity, shared, wanted)]
+        yield from rows(Lines(chunk, *known) for batch in batches for chunk in _chunks(batch))
 
-    return docs.select("doc_id", "content", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "content", "id_hash", "text").mapInArrow(run, schema)
 
 
 def _longs(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64), pa.int64())
 
 
-def candidates(tasks: DataFrame, threshold: float, wanted=None) -> DataFrame:
-    """(x, y, y_id, y_content, y_line): for each line ``x`` the earliest other line of a task that passes the bounds; if
-    ``wanted`` (the broadcast bitmap of lines) is given, all of them for those lines."""
-    share = threshold / (1 + threshold)
-
-    def passes(c, y, x):
-        """Which pairs of rows pass all bounds; the map of words tells most of them apart and comes first."""
-        n, pos, bits = c[5], c[6], c[7]
-        nx, ny = n[x], n[y]
-        need = (nx + ny) * share - 1e-9
-        ok = np.bitwise_count(bits[x] & ~bits[y]) <= nx - need
-        some = np.flatnonzero(ok)
-        x, y, nx, ny, need = x[some], y[some], nx[some], ny[some], need[some]
-        fine = np.minimum(nx, ny) >= np.maximum(nx, ny) * threshold - 1e-9
-        fine &= np.minimum(nx - pos[x], ny - pos[y]) >= need
-        fine &= np.bitwise_count(bits[y] & ~bits[x]) <= ny - need
-        ok[some] = fine
-        return ok
+def _lists(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    values = pa.array(values.view(np.int64) if values.dtype == np.uint64 else values)
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), values)
+
+
+def rarity_of(texts: DataFrame) -> np.ndarray:
+    """A byte for each slot of word hashes: twice the binary logarithm of its words' occurrences; 0: at most one."""
+    width = (1 << SLOTS) // SLICES
+
+    def count(batches):
+        seen = np.zeros(1 << SLOTS, np.uint32)
+        for batch in batches:
+            for chunk in _chunks(batch):
+                np.add.at(seen, (split(chunk.column(3))[0] >> np.uint64(64 - SLOTS)).astype(np.int64), np.uint32(1))
+        slot = np.flatnonzero(seen)
+        ends = np.searchsorted(slot, np.arange(1, SLICES + 1) * width)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(SLICES, dtype=np.int32)), _lists((slot % width).astype(np.int32), ends),
+             _lists(seen[slot].astype(np.int64), ends)],
+            ["slice", "slots", "counts"],
+        )
+
+    def fold(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, part in enumerate(batch.column(0).to_pylist()):
+                own = sums.setdefault(part, np.zeros(width, np.int64))
+                slots, counts = (batch.column(c).slice(k, 1).flatten().to_numpy(zero_copy_only=False) for c in (1, 2))
+                own[slots] += counts
+        if sums:
+            levels = [np.minimum(2 * np.log2(np.maximum(x, 1)), 63).astype(np.uint8).tobytes() for x in sums.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(levels)], ["slice", "levels"])
+
+    parts = texts.select("doc_id", "content", "id_hash", "text").mapInArrow(
+        count, "slice int, slots array<int>, counts array<long>"
+    )
+    whole = np.zeros(1 << SLOTS, np.uint8)
+    for row in parts.repartition(SLICES, "slice").mapInArrow(fold, "slice int, levels binary").collect():
+        whole[row["slice"] * width :][:width] = np.frombuffer(row["levels"], np.uint8)
+    return whole
+
+
+class Meeting:
+    """The rows of one bucket, by word: which of its lines may be similar to an earlier one."""
+
+    def __init__(self, word, ids, marks, number, n, bits, more, threshold):
+        order = np.lexsort((n, word))
+        place = np.lexsort((number >> 1, marks, ids, number & 1))
+        new = np.ones(len(place), bool)
+        new[1:] = np.logical_or.reduce([v[place[1:]] != v[place[:-1]] for v in (ids, marks, number)])
+        rank = np.empty(len(place), np.int64)
+        rank[place] = np.cumsum(new)
+        full = np.zeros(len(n), np.uint64)
+        full[n > LONG] = more.view(np.uint64)
+        self.word, self.n, self.bits, self.more = word[order], n[order], bits[order].view(np.uint64), full[order]
+        self.rank, self.spot = rank[order], spots(ids, marks, number)[order]
+        self.threshold = threshold
+
+    def near(self, a: np.ndarray, b) -> tuple[np.ndarray, np.ndarray]:
+        """Which pairs of rows pass all bounds, and in how many bits their maps differ."""
+        t = self.threshold
+        na, nb = self.n[a], self.n[b]
+        # Similar lines share (na + nb) * t / (1 + t) words or more.
+        most = (na + nb) * ((1 - t) / (1 + t)) + 2e-9
+        differ = self.bits[a] ^ self.bits[b]
+        far = np.bitwise_count(differ)
+        ok = np.flatnonzero(far <= most)
+        if len(ok):
+            i, j = a[ok], b[ok] if isinstance(b, np.ndarray) else b
+            na, nb, more = na[ok], nb[ok] if isinstance(b, np.ndarray) else nb, self.more[i] ^ self.more[j]
+            both = (na > LONG) & (nb > LONG)
+            two = np.where(both, np.bitwise_count(more) + np.bitwise_count(differ[ok] ^ more), far[ok])
+            fine = np.minimum(na, nb) >= np.maximum(na, nb) * t - 1e-9
+            fine &= (two <= most[ok]) & (self.rank[i] != self.rank[j])
+            return ok[fine], two[fine]
+        return ok, far[:0]
+
+    def pairs(self, asked: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(x, y, how far apart, whether x has more): rows ``x`` and earlier rows ``y``; NAMED or a few more for an x,
+        or, if ``asked`` says which x matter, all of them for those."""
+        rows = len(self.word)
+        begin = np.flatnonzero(np.concatenate([[True], self.word[1:] != self.word[:-1]])) if rows else np.zeros(0, int)
+        end = np.append(begin[1:], rows)
+        found = np.zeros(rows, np.int64)
+        xs, ys, fars = [], [], []
+
+        def note(x, y, far):
+            some = found[x] <= NAMED if asked is None else asked[x]
+            x, y, far = x[some], y[some], far[some]
+            np.add.at(found, x, 1)
+            xs.append(x)
+            ys.append(y)
+            fars.append(far / (self.n[x] + self.n[y]))
+
+        small = end - begin <= 256
+        stop = np.repeat(np.where(small, end, begin), end - begin)
+        at, d = np.flatnonzero(stop - np.arange(rows) > 1), 1
+        least = self.n * 1.0
+        while len(at):  # rows and their d-th neighbour in size, for all small runs at once
+            hit, far = self.near(at, at + d)
+            if len(hit):
+                a, b = at[hit], at[hit] + d
+                late = self.rank[a] > self.rank[b]
+                note(np.where(late, a, b), np.where(late, b, a), far)
+            at = at[least[at] >= least[at + d] * self.threshold - 1e-9]
+            d += 1
+            at = at[stop[at] - at > d]
+        for a, b in zip(begin[~small], end[~small]):
+            run = a + np.argsort(self.rank[a:b], kind="stable")
+            left = np.arange(b - a) if asked is None else np.flatnonzero(asked[run])
+            for k in range(b - a):
+                left = left[np.searchsorted(left, k, "right") :]
+                if not len(left):
+                    break
+                x = run[left]
+                hit, far = self.near(x, run[k])
+                if len(hit):
+                    note(x[hit], np.full(len(hit), run[k]), far)
+                    if asked is None:
+                        left = left[found[x] <= NAMED]
+        x, y = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (xs, ys))
+        far = np.concatenate(fars) if fars else np.zeros(0)
+        return x, y, far, found[x] > NAMED
+
+
+def candidates(keys: DataFrame, threshold: float, wanted=None) -> DataFrame:
+    """(x, y, far, more): for lines ``x`` the earlier lines ``y`` of a bucket that pass the bounds, and whether there
+    may be others; if ``wanted`` (the broadcast bitmap of lines) is given, all of them for those lines."""
+
+    def buckets(batches):
+        """The flat columns of each bucket, which may come in several rows and batches."""
+        held, last = [], None
+        for batch in batches:
+            bucket = batch.column(0).to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero(np.diff(bucket, prepend=bucket[:1] - 1)) if len(bucket) else []
+            for a, b in zip(cuts, [*cuts[1:], len(bucket)]):
+                if held and bucket[a] != last:
+                    yield [np.concatenate(v) for v in zip(*held)]
+                    held = []
+                last = bucket[a]
+                part = batch.slice(a, b - a)
+                held.append([c.flatten().to_numpy(zero_copy_only=False) for c in part.columns[1:]])
+        if held:
+            yield [np.concatenate(v) for v in zip(*held)]
 
     def run(batches):
-        for columns in whole_runs(batches):
-            task, name = columns[0], columns[1]
-            _, run_of = np.unique(task, return_inverse=True)
-            # Later rows of a line are copies of its first.
-            _, first = np.unique(np.stack([run_of, name]), axis=1, return_index=True) if len(task) else (0, run_of)
-            keep = np.sort(first)
-            c = [v[keep] for v in columns]
-            c[7] = c[7].view(np.uint64)
-            task, rows = c[0], len(keep)
-            begin = np.flatnonzero(np.concatenate([[True], task[1:] != task[:-1]]))
-            end = np.concatenate([begin[1:], [rows]])
-            asked = np.ones(rows, bool) if wanted is None else in_bitmap(wanted.value, c[1])
-            best = np.full(rows, rows)
-            xs, ys = [], []
-
-            def note(y, x):
-                if wanted is None:
-                    np.minimum.at(best, x, y)
-                else:
-                    xs.append(x)
-                    ys.append(y)
-
-            small = end - begin <= 256
-            stop = np.repeat(np.where(small, end, begin), end - begin)
-            at, d = np.flatnonzero(stop - np.arange(rows) > 1), 1
-            while len(at):  # rows and their d-th neighbour, for all small tasks at once
-                some = at[asked[at + d]]
-                hit = passes(c, some, some + d)
-                note(some[hit], some[hit] + d)
-                d += 1
-                at = at[stop[at] - at > d]
-            for a, b in zip(begin[~small], end[~small]):
-                for x in range(a + 1, b):
-                    if asked[x]:
-                        y = np.arange(a, x)
-                        y = y[passes(c, y, np.full(len(y), x))]
-                        y = y[:1] if wanted is None else y
-                        note(y, np.full(len(y), x))
-            if wanted is None:
-                x = np.flatnonzero(best < rows)
-                y = best[x]
-            else:
-                x, y = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (xs, ys))
+        for columns in buckets(batches):
+            rows = Meeting(*columns, threshold)
+            asked = None if wanted is None else in_bitmap(wanted.value, rows.spot.view(np.int64))
+            x, y, far, more = rows.pairs(asked)
             yield pa.RecordBatch.from_arrays(
-                [_longs(c[1][x]), *(_longs(c[k][y]) for k in (1, 2, 3)), pa.array(c[4][y].astype(np.int32))],
-                ["x", "y", "y_id", "y_content", "y_line"],
+                [_longs(rows.spot[x]), _longs(rows.spot[y]), pa.array(far), pa.array(more)], ["x", "y", "far", "more"]
             )
 
-    dealt = tasks.select("task", "name", "doc_id", "content", "line", "n", "pos", "bits")
-    dealt = dealt.repartition("task").sortWithinPartitions("task", "doc_id", "content", "line", "name")
-    return dealt.mapInArrow(run, "x long, y long, y_id long, y_content long, y_line int")
+    return keys.sortWithinPartitions("bucket").mapInArrow(run, "x long, y long, far double, more boolean")
+
+
+class Join:
+    """What all scans of one table share: the order of words, and which lines stand for their copies."""
+
+    def __init__(self, docs: DataFrame, threshold: float):
+        self.docs, self.threshold = docs, threshold
+        self.context = docs.sparkSession.sparkContext
+        several = docs.groupBy("doc_id", "id_hash").agg(F.min("content").alias("a"), F.max("content").alias("b"))
+        several = settled(several.where("a <> b").select(F.col("id_hash").alias("hash")), "shared-ids")
+        self.shared = self.context.broadcast(hash_bitmap(several, several.count()))
+        self.rarity = self.context.broadcast(rarity_of(docs))
+
+        level = int(np.floor(2 * np.log2(max(2, WORD_ROWS))))
+
+        def places(lines):
+            """Lines by name, and (word) prefix rows of words that may be hot, of all (null) beside them."""
+            for x in lines:
+                _, word = x.prefixes(np.arange(len(x.n)), threshold)
+                own, n = np.unique(x.hash[word[x.rare[word] >= level]], return_counts=True)
+                more = len(own) + 1
+                name = pa.concat_arrays([_longs(x.name), _longs(own), pa.nulls(1, pa.int64())])
+                ids = pa.array(np.append(x.ids, np.zeros(more, np.int64)), pa.int64(), mask=np.append(~x.here, [True] * more))
+                content, spot = (np.append(v, np.zeros(more, v.dtype)) for v in (x.contents, x.spot))
+                number = np.append(x.line, np.zeros(more, np.int64)).astype(np.int32)
+                n = np.concatenate([np.zeros(len(x.n), np.int64), n, [len(word)]])
+                is_word = pa.array(np.arange(len(n)) >= len(x.n))
+                yield pa.RecordBatch.from_arrays(
+                    [is_word, name, ids, _longs(content), pa.array(number), _longs(spot), pa.array(n)],
+                    ["is_word", "name", "doc_id", "content", "line", "spot", "n"],
+                )
 
+        scanned = self.scan(
+            places, "is_word boolean, name long, doc_id long, content long, line int, spot long, n long"
+        )
+        place = F.struct("doc_id", "content", "line", "spot")
+        classes = scanned.groupBy("is_word", "name").agg(
+            F.min(place).alias("place"), (F.count("*") > 1).alias("again"), F.sum("n").alias("n")
+        )
+        seen = settled(classes, "line-classes")
+        self.classes = seen.where("not is_word").select("name", "place", "again")
+        copied = self.classes.where("again")
+        self.copied = self.context.broadcast(hash_bitmap(copied.select(F.col("name").alias("hash")), copied.count()))
+        first = self._may_be_copied()
+        self.first = self.context.broadcast(hash_bitmap(first, first.count()))
+        self.total, self.hot = self._hot(seen.where("is_word").select(F.col("name").alias("word"), "n"))
+
+    def scan(self, rows, schema: str, wanted=None) -> DataFrame:
+        return _scan(self.docs, rows, schema, self.rarity, self.shared, wanted)
+
+    def _may_be_copied(self) -> DataFrame:
+        """(hash) of the first places of all lines that the bitmap ``copied`` lets through, copied or not."""
+        copied = self.copied
+
+        def run(batches):
+            for batch in batches:
+                name, spot = batch.columns
+                some = in_bitmap(copied.value, name.to_numpy(zero_copy_only=False))
+                yield pa.RecordBatch.from_arrays([spot.filter(pa.array(some))], ["hash"])
+
+        return settled(self.classes.select("name", "place.spot").mapInArrow(run, "hash long"), "first-places")
+
+    def chosen(self):
+        """A function that tells the rows of lines that stand for their copies; some others may pass."""
+        copied, first = self.copied, self.first
+
+        def rows(x: Lines) -> np.ndarray:
+            again = in_bitmap(copied.value, x.name.view(np.int64))
+            return np.flatnonzero(~again | in_bitmap(first.value, x.spot.view(np.int64)))
+
+        return rows
+
+    def _hot(self, n: DataFrame) -> tuple[int, object]:
+        """The number of prefix rows, and (word, blocks) of words with more rows than one task compares; ``n`` counts
+        copies of lines too, so there may be more blocks than needed."""
+        limit = WORD_ROWS
+        total = n.where("word is null").select("n").first()
+        # At most total / limit rows.
+        hot = sorted((r["word"] & 0xFFFFFFFFFFFFFFFF, r["n"]) for r in n.where(F.col("n") > limit).dropna().collect())
+        words = np.array([h for h, _ in hot], np.uint64)
+        blocks = -(-np.array([k for _, k in hot], np.int64) // max(1, limit // 2))
+        return (total["n"] if total else 0), self.context.broadcast((words, blocks))
+
+    def keys(self, of=None) -> DataFrame:
+        """The prefix rows by buckets of words: all rows of a word meet in one of them, or, of a hot word, every two
+        blocks.  ``of``: a broadcast bitmap of words, if only some are needed."""
+        threshold, hot, chosen = self.threshold, self.hot, self.chosen()
+        count = max(1, self.total // BUCKET_ROWS)
+
+        def tasks(word, spot):
+            """(row, task) of each row: one, or for hot words as many as there are blocks."""
+            task, rows = mixed(word), np.arange(len(word))
+            words, blocks = hot.value
+            if not len(words):
+                return rows, task
+            at = np.minimum(np.searchsorted(words, word), len(words) - 1)
+            n = np.where(words[at] == word, blocks[at], 1)
+            row = np.repeat(rows, n)
+            other = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            own = (mixed(spot) % n.astype(np.uint64)).astype(np.int64)[row]
+            pair = np.minimum(own, other) * (1 << 32) + np.maximum(own, other)
+            return row, np.where(n[row] > 1, mixed(task[row] ^ mixed(pair.astype(np.uint64) + np.uint64(1))), task[row])
+
+        def packed(parts):
+            task, *columns = (np.concatenate(v) for v in zip(*parts))
+            bucket = (task % np.uint64(count)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            own, first = np.unique(bucket[order], return_index=True)
+            ends = np.append(first[1:], len(order))
+            ids, marks, number, n, bits, more = (c[order] for c in columns)
+            long = n > LONG
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(own.astype(np.int32)),
+                    _lists((task[order] >> np.uint64(32)).astype(np.uint32).view(np.int32), ends),
+                    *(_lists(v, ends) for v in (ids, marks, number, n, bits)),
+                    _lists(more[long], np.cumsum(long)[ends - 1]),
+                ],
+                ["bucket", "word", "ids", "marks", "number", "n", "bits", "more"],
+            )
 
-def first_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, content, line) of the lines that stay, of ``docs`` (doc_id, content, text)."""
-    counts = settled(word_counts(docs.select("text")), "words")
-    total, repeated = counts.agg(F.sum("n"), F.count_if(F.col("n") > 1)).first()
-    common = counts.where(F.col("n") >= max(2, (total or 0) // FREQUENT + 1)).select("hash", "n").collect()
-    common = sorted((r["n"], r["hash"]) for r in common)
-    context = docs.sparkSession.sparkContext
-    words = (
-        context.broadcast({h & 0xFFFFFFFFFFFFFFFF: k for k, (_, h) in enumerate(common, 1)}),
-        context.broadcast(hash_bitmap(counts.where("n > 1"), repeated or 0)),
-    )
+        def rows(lines):
+            parts, held = [], 0
+            for x in lines:
+                chose = chosen(x)
+                bits, more = (np.zeros(len(x.n), np.uint64) for _ in range(2))
+                bits[chose], more[chose] = x.maps(chose)
+                line, word = x.prefixes(chose, threshold)
+                if of is not None:
+                    some = in_bitmap(of.value, x.hash[word].view(np.int64))
+                    line, word = line[some], word[some]
+                at, task = tasks(x.hash[word], x.spot[line])
+                line = line[at]
+                small = (v[line].astype(np.int32) for v in (x.number, x.n))
+                parts.append([task, x.ids[line], x.mark[line], *small, bits[line], more[line]])
+                held += len(line)
+                if held >= PACKED:
+                    yield packed(parts)
+                    parts, held = [], 0
+            if held:
+                yield packed(parts)
+
+        kinds = {"word": "int", "ids": "long", "marks": "long", "number": "int", "n": "int", "bits": "long", "more": "long"}
+        schema = "bucket int, " + ", ".join(f"{k} array<{v}>" for k, v in kinds.items())
+        return self.scan(rows, schema).repartition(count, "bucket")
+
+    def words(self, pairs: DataFrame) -> DataFrame:
+        """(spot, name, tokens) of the lines of ``pairs`` (x, y)."""
+        spots_ = settled(pairs.select("x").union(pairs.select("y")).distinct().toDF("hash"), "lines-to-compare")
+        wanted = self.context.broadcast(hash_bitmap(spots_, spots_.count()))
+
+        def tokens(lines):
+            for x in lines:
+                rows = np.arange(len(x.n))
+                _, word = x.at(rows, x.n)
+                yield pa.RecordBatch.from_arrays(
+                    [_longs(x.spot[rows]), _longs(x.name[rows]), _lists(x.hash[word], np.cumsum(x.n[rows]))],
+                    ["spot", "name", "tokens"],
+                )
 
-    def places(lines: Lines):
-        return pa.RecordBatch.from_arrays(
-            [
-                _longs(lines.name),
-                pa.array(lines.ids, pa.int64()),
-                pa.array(lines.contents, pa.int64()),
-                pa.array(lines.line.astype(np.int32)),
-            ],
-            ["name", "doc_id", "content", "line"],
-        )
+        # A place may come twice, as a document may.
+        own = self.scan(tokens, "spot long, name long, tokens array<long>", wanted)
+        own = own.join(spots_.select(F.col("hash").alias("spot")), "spot", "left_semi").dropDuplicates(["spot"])
+        return settled(own, "line-words")
 
-    def prefixes(lines: Lines):
-        row, pos = lines.at(np.arange(len(lines.n)), prefix(lines.n, threshold))
-        word = lines.begin[row] + pos
-        row, pos, word = (v[lines.again[word]] for v in (row, pos, word))
-        ids = np.array([-(1 << 63) if i is None else i for i in lines.ids], np.int64)  # nulls first
-        return pa.RecordBatch.from_arrays(
-            [
-                _longs(lines.hash[word]),
-                _longs(lines.name[row]),
-                pa.array(ids[row]),
-                pa.array(np.array(lines.contents, np.int64)[row]),
-                *(pa.array(v.astype(np.int32)) for v in (lines.line[row], lines.n[row], pos)),
-                _longs(lines.bits[row]),
-            ],
-            ["word", "name", "doc_id", "content", "line", "n", "pos", "bits"],
-        )
+    def compared(self, pairs: DataFrame, own: DataFrame) -> DataFrame:
+        """Of ``pairs`` (x, y), whose words ``own`` has: x, its name, and whether a y is similar."""
+        threshold = self.threshold
+        # Bitmaps let some later copies pass: they are partners like any line, but only first places speak for a class.
+        first = self.classes.select(F.col("place.spot").alias("spot"))
+        x = own.join(first, "spot", "left_semi").select(F.col("spot").alias("x"), "name", F.col("tokens").alias("tx"))
+        y = own.select(F.col("spot").alias("y"), F.col("tokens").alias("ty"))
+        shared = F.size(F.array_intersect("tx", "ty"))
+        enough = shared * (1 + threshold) >= (F.size("tx") + F.size("ty")) * threshold - 1e-9
+        judged = pairs.join(y, "y").join(x, "x").select("x", "name", enough.alias("similar"))
+        return settled(judged.groupBy("x", "name").agg(F.max("similar").alias("similar")), "lines-compared")
 
-    place = F.struct("doc_id", "content", "line")
-    scanned = _scan(docs, words, places, "name long, doc_id long, content long, line int")
-    classes = settled(scanned.groupBy("name").agg(F.min(place).alias("place")), "line-classes")
-    keys = settled(
-        _scan(
-            docs,
-            words,
-            prefixes,
-            "word long, name long, doc_id long, content long, line int, n int, pos int, bits long",
-        ),
-        "line-prefixes",
-    )
-    tasks = block_tasks(keys, "word", "name", WORD_ROWS)
-    found = candidates(tasks, threshold).groupBy("x").agg(F.min(F.struct("y_id", "y_content", "y_line", "y")).alias("y"))
-    gone, left = _verified(docs, words, classes, settled(found.select("x", "y.y"), "line-pairs"), threshold)
-    several = left.count()
-    if several:
-        asked = context.broadcast(hash_bitmap(left.select(F.col("x").alias("hash")), several))
-        more = settled(candidates(tasks, threshold, asked).select("x", "y").distinct(), "line-pairs")
-        gone = gone.union(_verified(docs, words, classes, more, threshold)[0])
-    return classes.join(gone.select(F.col("x").alias("name")).distinct(), "name", "left_anti").select("place.*")
+    def words_of(self, asked) -> DataFrame:
+        """(hash) of the prefix words of the lines in the broadcast bitmap ``asked``."""
+        threshold = self.threshold
 
+        def words(lines):
+            for x in lines:
+                _, word = x.prefixes(np.arange(len(x.n)), threshold)
+                yield pa.RecordBatch.from_arrays([_longs(np.unique(x.hash[word]))], ["hash"])
 
-def _verified(docs, words, classes, pairs, threshold) -> tuple[DataFrame, DataFrame]:
-    """Of ``pairs`` (x, y): the x whose y is earlier and similar, and the other x; both as (x)."""
-    names = settled(
-        pairs.select(F.col("x").alias("hash")).union(pairs.select("y")).distinct(), "lines-to-compare"
-    )
-    wanted = docs.sparkSession.sparkContext.broadcast(hash_bitmap(names, names.count()))
-
-    def tokens(lines: Lines):
-        rows = np.flatnonzero(in_bitmap(wanted.value, lines.name.view(np.int64)))
-        line, pos = lines.at(rows, lines.n[rows])
-        ends = np.concatenate([[0], np.cumsum(lines.n[rows])]).astype(np.int32)
-        values = pa.ListArray.from_arrays(pa.array(ends), _longs(lines.hash[lines.begin[line] + pos]))
-        return pa.RecordBatch.from_arrays([_longs(lines.name[rows]), values], ["name", "tokens"])
-
-    own = _scan(docs, words, tokens, "name long, tokens array<long>").groupBy("name").agg(F.first("tokens").alias("tokens"))
-    own = settled(own.join(names.select(F.col("hash").alias("name")), "name").join(classes, "name"), "line-words")
-    x = own.select(F.col("name").alias("x"), F.col("tokens").alias("tx"), F.col("place").alias("px"))
-    y = own.select(F.col("name").alias("y"), F.col("tokens").alias("ty"), F.col("place").alias("py"))
-    shared = F.size(F.array_intersect("tx", "ty"))
-    enough = shared * (1 + threshold) >= (F.size("tx") + F.size("ty")) * threshold - 1e-9
-    judged = pairs.join(x, "x").join(y, "y").select("x", (enough & (F.col("py") < F.col("px"))).alias("similar"))
-    judged = settled(judged.groupBy("x").agg(F.max("similar").alias("similar")), "lines-compared")
-    return judged.where("similar").select("x"), judged.where("not similar").select("x")
+        return settled(self.scan(words, "hash long", asked).distinct(), "asked-words")
+
+
+def first_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, content, line) of the lines that stay, of ``docs`` (doc_id, content, text)."""
+    join = Join(docs.withColumn("id_hash", F.xxhash64("doc_id")), threshold)
+    found = candidates(join.keys(), threshold)
+    each = F.array_sort(F.collect_set(F.struct("far", "y")))
+    found = found.groupBy("x").agg(each.alias("ys"), F.max("more").alias("more"))
+    found = found.select("x", F.slice("ys", 1, NAMED).alias("ys"), (F.col("more") | (F.size("ys") > NAMED)).alias("more"))
+    found = settled(found, "line-pairs")
+    words = join.words(found.select("x", F.explode("ys.y").alias("y")))
+    likely = join.compared(found.select("x", F.explode(F.slice("ys.y", 1, LIKELY)).alias("y")), words)
+    rest = found.join(likely.where("not similar"), "x", "left_semi")
+    others = rest.select("x", F.explode(F.slice("ys.y", LIKELY + 1, NAMED)).alias("y"))
+    others = join.compared(others, words)
+    gone = likely.union(others).where("similar").select("name")
+    left = rest.where("more").join(others.where("similar"), "x", "left_anti").select("x")
+    left = settled(left, "lines-asked")
+    several = left.count()
+    if several:
+        asked = join.context.broadcast(hash_bitmap(left.select(F.col("x").alias("hash")), several))
+        words = join.words_of(asked)
+        of = join.context.broadcast(hash_bitmap(words, words.count()))
+        more = settled(candidates(join.keys(of), threshold, asked).select("x", "y").distinct(), "line-pairs")
+        gone = gone.union(join.compared(more, join.words(more)).where("similar").select("name"))
+    return join.classes.join(gone.distinct(), "name", "left_anti").select("place.doc_id", "place.content", "place.line")
 
 
 def dedup_lines(
