@@ -40,8 +40,8 @@ BUCKET_ROWS, PACKED = 250_000, 200_000
 CHUNK = 1 << 19
 #: Candidates a task names for a line in the first pass, and how many of them are compared first.
 NAMED, LIKELY = 16, 2
-#: Lines of more words than this have a second parity map.
-LONG = 56
+#: Lines of more words than this have a second parity map, and a third and fourth.
+LONG, LONGER = 56, 128
 
 _BLOCK = 1 << 14
 _BYTES = np.random.default_rng(7).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -178,16 +178,21 @@ class Lines:
         line = np.repeat(rows, n)
         return line, self.begin[line] + np.arange(len(line)) - np.repeat(np.cumsum(n) - n, n)
 
-    def maps(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Parity maps of ``rows``: 64 bits that all words flip, and those of the words that have a further bit."""
-        if not len(rows):
-            return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        n = self.n[rows]
-        _, word = self.at(rows, n)
-        h, begin = self.hash[word], np.cumsum(n) - n
-        bit = np.uint64(1) << (h & np.uint64(63))
-        more = np.where(h & np.uint64(64), bit, np.uint64(0))
-        return np.bitwise_xor.reduceat(bit, begin), np.bitwise_xor.reduceat(more, begin)
+    def maps(self, rows: np.ndarray) -> np.ndarray:
+        """Four parity maps of ``rows``: 64 bits that all words flip, and those of the words that have a further bit,
+        another, and both; the last two are 0 for lines of up to LONGER words."""
+        maps = np.zeros((4, len(rows)), np.uint64)
+        for k, some in ((2, np.arange(len(rows))), (4, np.flatnonzero(self.n[rows] > LONGER))):
+            if not len(some):
+                continue
+            n = self.n[rows[some]]
+            _, word = self.at(rows[some], n)
+            h, begin = self.hash[word], np.cumsum(n) - n
+            bit = np.uint64(1) << (h & np.uint64(63))
+            for m in range(k - 2, k):
+                own = np.uint64(m << 6)
+                maps[m, some] = np.bitwise_xor.reduceat(np.where(h & own == own, bit, np.uint64(0)), begin)
+        return maps
 
     def prefixes(self, rows: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
         """(line, index of the word) of the prefix words that occur elsewhere too."""
@@ -270,16 +275,18 @@ def rarity_of(texts: DataFrame) -> np.ndarray:
 class Meeting:
     """The rows of one bucket, by word: which of its lines may be similar to an earlier one."""
 
-    def __init__(self, word, ids, marks, number, n, bits, more, threshold):
+    def __init__(self, word, ids, marks, number, n, bits, more, third, fourth, threshold):
         order = np.lexsort((n, word))
         place = np.lexsort((number >> 1, marks, ids, number & 1))
         new = np.ones(len(place), bool)
         new[1:] = np.logical_or.reduce([v[place[1:]] != v[place[:-1]] for v in (ids, marks, number)])
         rank = np.empty(len(place), np.int64)
         rank[place] = np.cumsum(new)
-        full = np.zeros(len(n), np.uint64)
-        full[n > LONG] = more.view(np.uint64)
-        self.word, self.n, self.bits, self.more = word[order], n[order], bits[order].view(np.uint64), full[order]
+        full = np.zeros((3, len(n)), np.uint64)
+        full[0, n > LONG] = more.view(np.uint64)
+        full[1, n > LONGER], full[2, n > LONGER] = third.view(np.uint64), fourth.view(np.uint64)
+        self.word, self.n, self.bits = word[order], n[order], bits[order].view(np.uint64)
+        self.more, self.third, self.fourth = full[:, order]
         self.rank, self.spot = rank[order], spots(ids, marks, number)[order]
         self.threshold = threshold
 
@@ -296,7 +303,13 @@ class Meeting:
             i, j = a[ok], b[ok] if isinstance(b, np.ndarray) else b
             na, nb, more = na[ok], nb[ok] if isinstance(b, np.ndarray) else nb, self.more[i] ^ self.more[j]
             both = (na > LONG) & (nb > LONG)
-            two = np.where(both, np.bitwise_count(more) + np.bitwise_count(differ[ok] ^ more), far[ok])
+            two = np.where(both, np.bitwise_count(more) + np.bitwise_count(differ[ok] ^ more), far[ok]).astype(np.int64)
+            four = np.flatnonzero((na > LONGER) & (nb > LONGER) & (two <= most[ok]))
+            if len(four):
+                i4, j4 = i[four], j[four] if isinstance(j, np.ndarray) else j
+                third, fourth = self.third[i4] ^ self.third[j4], self.fourth[i4] ^ self.fourth[j4]
+                parts = (fourth, more[four] ^ fourth, third ^ fourth, differ[ok[four]] ^ more[four] ^ third ^ fourth)
+                two[four] = sum(np.bitwise_count(v).astype(np.int64) for v in parts)
             fine = np.minimum(na, nb) >= np.maximum(na, nb) * t - 1e-9
             fine &= (two <= most[ok]) & (self.rank[i] != self.rank[j])
             return ok[fine], two[fine]
@@ -489,24 +502,25 @@ class Join:
             order = np.argsort(bucket, kind="stable")
             own, first = np.unique(bucket[order], return_index=True)
             ends = np.append(first[1:], len(order))
-            ids, marks, number, n, bits, more = (c[order] for c in columns)
-            long = n > LONG
+            ids, marks, number, n, bits, more, third, fourth = (c[order] for c in columns)
+            long, longer = n > LONG, n > LONGER
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(own.astype(np.int32)),
                     _lists((task[order] >> np.uint64(32)).astype(np.uint32).view(np.int32), ends),
                     *(_lists(v, ends) for v in (ids, marks, number, n, bits)),
                     _lists(more[long], np.cumsum(long)[ends - 1]),
+                    *(_lists(v[longer], np.cumsum(longer)[ends - 1]) for v in (third, fourth)),
                 ],
-                ["bucket", "word", "ids", "marks", "number", "n", "bits", "more"],
+                ["bucket", *kinds],
             )
 
         def rows(lines):
             parts, held = [], 0
             for x in lines:
                 chose = chosen(x)
-                bits, more = (np.zeros(len(x.n), np.uint64) for _ in range(2))
-                bits[chose], more[chose] = x.maps(chose)
+                maps = np.zeros((4, len(x.n)), np.uint64)
+                maps[:, chose] = x.maps(chose)
                 line, word = x.prefixes(chose, threshold)
                 if of is not None:
                     some = in_bitmap(of.value, x.hash[word].view(np.int64))
@@ -514,7 +528,7 @@ class Join:
                 at, task = tasks(x.hash[word], x.spot[line])
                 line = line[at]
                 small = (v[line].astype(np.int32) for v in (x.number, x.n))
-                parts.append([task, x.ids[line], x.mark[line], *small, bits[line], more[line]])
+                parts.append([task, x.ids[line], x.mark[line], *small, *maps[:, line]])
                 held += len(line)
                 if held >= PACKED:
                     yield packed(parts)
@@ -522,7 +536,8 @@ class Join:
             if held:
                 yield packed(parts)
 
-        kinds = {"word": "int", "ids": "long", "marks": "long", "number": "int", "n": "int", "bits": "long", "more": "long"}
+        kinds = {"word": "int", "ids": "long", "marks": "long", "number": "int", "n": "int", "bits": "long"}
+        kinds |= dict.fromkeys(("more", "third", "fourth"), "long")
         schema = "bucket int, " + ", ".join(f"{k} array<{v}>" for k, v in kinds.items())
         return self.scan(rows, schema).repartition(count, "bucket")
 

@@ -64,3 +64,29 @@ def test_similar_lines_beside_many_copied_ones(spark):
     rows = [(k, "\n".join(copied)) for k in (1, 2)] + [(3, "\n".join(map(" ".join, base))), (4, "\n".join(near))]
     got = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {r.doc_id: r.n_removed for r in got.collect()} == {1: 0, 2: 4000, 3: 0, 4: 300}
+
+
+def test_maps_of_long_lines_tell_them_apart_and_lose_none():
+    rng = np.random.default_rng(1)
+    words = [f"w{i}" for i in range(5000)]
+    rows = []
+    for k in range(40):
+        line = list(rng.choice(words, 100 + 8 * k, replace=False))
+        rows.append(" ".join(line))
+        for j in rng.choice(len(line), len(line) // 12, replace=False):
+            line[j] = f"x{rng.integers(9999)}"
+        rows.append(" ".join(line))
+    ids = pa.array(range(len(rows)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, ids, ids, pa.array(rows)], ["doc_id", "content", "id_hash", "text"])
+    x = lines.Lines(batch, np.full(1 << lines.SLOTS, 2, np.uint8), np.zeros(8192, np.uint8))
+    maps = x.maps(np.arange(len(x.n))).view(np.int64)
+    long, longer = x.n > lines.LONG, x.n > lines.LONGER
+    kept = (maps[0], maps[1][long], maps[2][longer], maps[3][longer])
+    meeting = lines.Meeting(np.zeros(len(x.n), np.int32), x.ids, x.mark, x.number, x.n, *kept, 0.8)
+    doc = dict(zip(x.spot.tolist(), x.ids.tolist()))
+    late, early, _, _ = meeting.pairs(None)
+    got = {(doc[int(meeting.spot[a])], doc[int(meeting.spot[b])]) for a, b in zip(late, early)}
+    sets = [set(r.split()) for r in rows]
+    similar = lambda a, b: len(a & b) >= 0.8 * len(a | b) - 1e-9
+    want = {(i, j) for i in range(len(rows)) for j in range(i) if similar(sets[i], sets[j])}
+    assert want and got == want
