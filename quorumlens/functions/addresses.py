@@ -118,6 +118,24 @@ def v6_network(value: str, prefix: str) -> Column:
     return F.expr(_v6_masked_sql(value, prefix, True))
 
 
+#: Zero groups between colons, the longest run first.
+_ZERO_RUNS = [f":{'0:' * n}" for n in range(8, 1, -1)]
+
+
+def _zeros_sql(framed: str) -> str:
+    """The longest zero run of two or more groups in ``framed``, lower-case groups between colons; NULL if there is none."""
+    runs = " ".join(f"when contains({framed}, '{r}') then '{r}'" for r in _ZERO_RUNS)
+    return f"case when not contains({framed}, '{_ZERO_RUNS[-1]}') then null {runs} end"
+
+
+def _shortened_sql(framed: str, zeros: str) -> str:
+    """Text of ``framed`` groups with the first run ``zeros`` as ``::``, if that is not NULL."""
+    return (
+        f"if({zeros} is null, trim(':', {framed}), concat(if(locate({zeros}, {framed}) > 1, substr({framed}, 2, "
+        f"locate({zeros}, {framed}) - 2), ''), '::', rtrim(':', substr({framed}, locate({zeros}, {framed}) + length({zeros})))))"
+    )
+
+
 def _v6_text_sql(value: str) -> str:
     """Canonical text: no leading zeros, the longest (first) zero run of two or more as ``::``."""
     groups = (
@@ -125,13 +143,7 @@ def _v6_text_sql(value: str) -> str:
         "regexp_replace(lower(hex(substr(v, 2 * i + 1, 2))), '^0{1,3}', ''))"
     )
     framed = f"concat(':', concat_ws(':', {groups}), ':')"
-    cut = (
-        "concat(if(locate(z, f) > 1, substr(f, 2, locate(z, f) - 2), ''), '::', "
-        "rtrim(':', substr(f, locate(z, f) + length(z))))"
-    )
-    runs = ", ".join(f"':{'0:' * n}'" for n in range(8, 1, -1))
-    best = f"filter(array({runs}), r -> locate(r, f) > 0)"
-    text = _let("zs", best, f"if(size(zs) > 0, {_let('z', 'zs[0]', cut)}, trim(':', f))")
+    text = _let("z", _zeros_sql("f"), _shortened_sql("f", "z"))
     return _let("v", value, _let("f", framed, text))
 
 
@@ -295,16 +307,24 @@ def sites_48() -> Column:
 # ------------------------------------------------------------------ classification
 
 
+def _literal(address: ipaddress.IPv4Address | ipaddress.IPv6Address) -> str:
+    return f"{int(address)}L" if address.version == 4 else f"X'{address.packed.hex()}'"
+
+
 def _bounds(cidr: str) -> tuple[str, str]:
     net = ipaddress.ip_network(cidr)
-    ends = (net.network_address, net.broadcast_address)
-    if net.version == 4:
-        return tuple(f"{int(a)}L" for a in ends)
-    return tuple(f"X'{a.packed.hex()}'" for a in ends)
+    return _literal(net.network_address), _literal(net.broadcast_address)
 
 
 def _point_in(point: str, cidrs: tuple[str, ...]) -> str:
-    spans = [_bounds(c) for c in cidrs]
+    """Whether a point lies in one of the networks; those that touch are compared as one span."""
+    spans: list[list] = []
+    for net in sorted(map(ipaddress.ip_network, cidrs)):
+        if spans and int(net.network_address) <= int(spans[-1][1]) + 1:
+            spans[-1][1] = max(spans[-1][1], net.broadcast_address)
+        else:
+            spans.append([net.network_address, net.broadcast_address])
+    spans = [tuple(map(_literal, span)) for span in spans]
     return "(" + " or ".join(f"({point} >= {lo} and {point} <= {hi})" for lo, hi in spans) + ")"
 
 
@@ -430,43 +450,20 @@ def cover_v4_range(df: DataFrame, start: str, end: str) -> DataFrame:
     )
 
 
-def _bits_sql(number: str, value: str, width: str) -> str:
-    """Text of ``width`` binary digits of an IPv4 number or IPv6 bytes."""
-    digits = (
-        f"concat_ws('', transform(sequence(1, 32), i -> lpad(conv(substr(hex({value}), i, 1), 16, 2), 4, '0')))"
-    )
-    return f"case {width} when 32 then lpad(bin({number}), 32, '0') when 128 then {digits} end"
-
-
-def _cover_sql(first: str, last: str, width: str) -> str:
-    """Leading bits of the networks of the minimal cover of [first, last], both given as bit texts.
-
-    Below the bits both share, ``first`` is covered by itself without its trailing zeros and by the sibling to the right of
-    every further zero on its path; ``last`` likewise with ones, to the left.
-    """
-    shared = f"array_position(transform(sequence(1, {width}), i -> substr({first}, i, 1) <> substr({last}, i, 1)), true) - 1"
-    ends = (
-        f"named_struct('p', if({first} = {last}, {width}, cast({shared} as int)), "
-        f"'l', length(rtrim('0', {first})), 'r', length(rtrim('1', {last})))"
-    )
-
-    def side(own: str, stop: str, bit: str, flip: str) -> str:
-        path = f"filter(sequence(c.p + 2, {stop}), i -> c.p + 2 <= {stop} and substr({own}, i, 1) = '{bit}')"
-        none = "cast(array() as array<int>)"
-        steps = f"transform(if(c.p + 2 <= {stop}, {path}, {none}), i -> concat(substr({own}, 1, i - 1), '{flip}'))"
-        return f"concat(array(substr({own}, 1, {stop})), {steps})"
-
-    both = f"concat({side(first, 'greatest(c.l, c.p + 1)', '0', '1')}, {side(last, 'greatest(c.r, c.p + 1)', '1', '0')})"
-    # One network: everything below the shared bits is in the range.
-    body = f"if(c.l <= c.p and c.r <= c.p, array(substr({first}, 1, c.p)), {both})"
-    return _let("c", ends, body)
+def _low_ones_sql(bits: str) -> tuple[str, str]:
+    """The upper and the lower half of the 128-bit number whose low ``bits`` digits are ones."""
+    upper = f"case when {bits} <= 64 then 0L when {bits} < 128 then ~shiftleft(-1L, {bits} - 64) else -1L end"
+    return upper, f"if({bits} < 64, ~shiftleft(-1L, {bits}), -1L)"
 
 
 def with_range_networks(df: DataFrame, start: str, end: str) -> DataFrame:
     """Cut inclusive address ranges of either family into their minimal network covers, one row a network.
 
-    ``start`` and ``end`` are text columns; rows without a readable range come out once with NULL address columns.  One pass:
-    each row's networks are an array of bit texts (at most 254), then exploded.
+    ``start`` and ``end`` are text columns; rows without a readable range come out once with NULL address columns.  Addresses
+    are pairs of BIGINT halves (``h``, ``l``), on which everything is shifts and masks in generated code.  Of ends that differ
+    in their low ``_n`` bits only, each side has one candidate block for each of these bits (at most 256 a range).  Seen from
+    the start, block ``k`` is in the cover if bit ``k``, or the highest of the ``_n``, is a one above zeros alone or a zero
+    above some one; the end is the same with its bits turned over.
     """
     keep = [F.col(f"`{c}`") for c in df.columns]
     ends = df.select(
@@ -481,35 +478,63 @@ def with_range_networks(df: DataFrame, start: str, end: str) -> DataFrame:
         ends.withColumn("_w", F.expr("case when _a4 <= _b4 then 32 when _a6 <= _b6 then 128 end")),
         "_a4", "_b4", "_a6", "_b6", "_w",
     )
-    bits = fence(
-        sized.withColumns({"_a": F.expr(_bits_sql("_a4", "_a6", "_w")), "_b": F.expr(_bits_sql("_b4", "_b6", "_w"))}),
-        "_a", "_b",
-    )
-    cover = F.expr(f"if(_w is null, null, {_cover_sql('_a', '_b', '_w')})")
-    each = bits.select(*keep, "_w", F.explode_outer(cover).alias("_bits"))
-    full = "rpad(_bits, _w, '0')"
-    packed = (
-        f"unhex(concat_ws('', transform(sequence(0, 7), i -> lpad(conv(substr({full}, 16 * i + 1, 16), 2, 16), 4, '0'))))"
+    half = "cast(conv(hex(substr(_{0}6, {1}, 8)), 16, -10) as bigint)"
+    halves = sized.select(
+        *keep,
+        "_w",
+        *[F.expr(f"case _w when 32 then 0L when 128 then {half.format(k, 1)} end").alias(f"_{k}h") for k in "ab"],
+        *[F.expr(f"case _w when 32 then _{k}4 when 128 then {half.format(k, 9)} end").alias(f"_{k}l") for k in "ab"],
     )
-    low = each.select(
+    differ = "if(_ah <> _bh, 64 + length(bin(_ah ^ _bh)), if(_al <> _bl, length(bin(_al ^ _bl)), 0))"
+    spread = fence(halves.withColumn("_n", F.expr(differ)), "_w", "_ah", "_al", "_bh", "_bl", "_n")
+    high, low = _low_ones_sql("_n")
+    # One network: everything below the shared bits is in the range.
+    whole = f"((_ah | ~_bh) & {high}) = 0 and ((_al | ~_bl) & {low}) = 0"
+    sides = spread.select(
+        *keep, "_w", "_ah", "_al", "_bh", "_bl", "_n",
+        F.explode(F.expr(f"if(_w is null or {whole}, array(-1), sequence(0, 2 * _n - 1))")).alias("_j"),
+    )
+    high, low = _low_ones_sql("_k")
+    seen = sides.select(
+        *keep, "_w", "_ah", "_al", "_bh", "_bl", "_n", "_j",
+        F.expr("_j div 2 = _n - 1").alias("_top"),
+        F.expr("cast(_j div 2 as int)").alias("_k"),
+        *[F.expr(f"if(_j % 2 = 0, _a{k}, ~_b{k})").alias(f"_c{k}") for k in "hl"],
+    )
+    masked = seen.withColumns({"_mh": F.expr(high), "_ml": F.expr(low)})
+    placed = masked.withColumns(
+        {
+            "_one": F.expr("_top or (shiftright(if(_k < 64, _cl, _ch), _k % 64) & 1) = 1"),
+            "_bare": F.expr("(_ch & _mh) = 0 and (_cl & _ml) = 0"),
+            "_xh": F.expr("_ch & ~_mh | if(_top or _k < 64, 0L, shiftleft(1L, _k - 64))"),
+            "_xl": F.expr("_cl & ~_ml | if(_top or _k >= 64, 0L, shiftleft(1L, _k))"),
+        }
+    )
+    bounds = ("lh", "ll", "uh", "ul", "bits")
+
+    def block(*values: str) -> str:
+        return f"array(named_struct({', '.join(f"""'_{b}', {v}""" for b, v in zip(bounds, values))}))"
+
+    found = (
+        f"case when _j < 0 then {block('_ah', '_al', '_bh', '_bl', '_n')} when _one <> _bare then null "
+        f"when _j % 2 = 0 then {block('_xh', '_xl', '_xh | _mh', '_xl | _ml', '_k')} "
+        f"else {block('~(_xh | _mh)', '~(_xl | _ml)', '~_xh', '~_xl', '_k')} end"
+    )
+    each = placed.select(*keep, "_w", F.inline(F.expr(found)))
+    packed = "if(_w = 128, unhex(concat(lpad(hex(_{0}h), 16, '0'), lpad(hex(_{0}l), 16, '0'))), null)"
+    groups = ", ".join(f"hex(shiftright(_l{h}, {s}) & 65535L)" for h in "hl" for s in (48, 32, 16, 0))
+    named = each.select(
         *keep,
         F.expr("cast(case _w when 32 then 4 when 128 then 6 end as tinyint)").alias("family"),
         F.expr("_w is not null or null").alias("is_net"),
-        F.expr("length(_bits)").alias("prefix"),
-        F.expr(f"if(_w = 32, cast(conv({full}, 2, 10) as bigint), null)").alias("lo"),
-        F.expr(f"if(_w = 128, {packed}, null)").alias("lo6"),
+        F.expr("_w - _bits").alias("prefix"),
+        *[F.expr(f"if(_w = 32, _{k}l, null)").alias(c) for k, c in (("l", "lo"), ("u", "hi"))],
+        *[F.expr(packed.format(k)).alias(c) for k, c in (("l", "lo6"), ("u", "hi6"))],
+        F.expr(f"if(_w = 128, concat(':', lower(concat_ws(':', {groups})), ':'), null)").alias("_framed"),
     )
-    low = fence(low, "family", "is_net", "prefix", "lo", "lo6")
-    text = F.when(F.col("family") == 4, v4_text(F.col("lo"))).when(F.col("family") == 6, v6_text("lo6"))
-    named = low.select(
-        *keep,
-        F.concat(text, F.lit("/"), F.col("prefix").cast("string")).alias("indicator"),
-        "family",
-        "is_net",
-        "prefix",
-        "lo",
-        F.expr("if(family = 4, lo + shiftleft(1L, 32 - prefix) - 1L, null)").alias("hi"),
-        "lo6",
-        F.expr(f"if(family = 6, {_v6_masked_sql('lo6', 'prefix', False)}, null)").alias("hi6"),
+    named = named.withColumn("_zeros", F.expr(_zeros_sql("_framed")))
+    text = F.when(F.col("family") == 4, v4_text(F.col("lo"))).when(
+        F.col("family") == 6, F.expr(_shortened_sql("_framed", "_zeros"))
     )
-    return fence(named, *ADDRESS_COLUMNS)
+    indicator = F.concat(text, F.lit("/"), F.col("prefix").cast("string")).alias("indicator")
+    return fence(named.select(*keep, indicator, *ADDRESS_COLUMNS[1:]), *ADDRESS_COLUMNS)

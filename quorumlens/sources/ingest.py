@@ -270,8 +270,12 @@ def declared_attribution(raw: DataFrame) -> DataFrame:
 
 
 def range_list(raw: DataFrame, sources: DataFrame, fetched) -> DataFrame:
-    """``start end mask ...``: inclusive ranges of either family cut into networks."""
-    rows = _content(raw, "#;").withColumn("_p", F.split("_l", r"\s+"))
+    """``start end mask ...``: inclusive ranges of either family cut into networks.
+
+    A line makes up to 254 networks, so lines are dealt to all tasks first, however few files or row groups they come from.
+    """
+    tasks = int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = _content(raw.select("source", "line").repartition(tasks), "#;").withColumn("_p", F.split("_l", r"\s+"))
     whole = F.size("_p") >= 3
     rows = rows.select(
         "source",

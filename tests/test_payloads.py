@@ -54,6 +54,30 @@ def test_range_lines_stay_in_the_jvm(spark):
     assert {r.status: r.n for r in rows} == {"ok": 4, "malformed": 1}
 
 
+def test_ranges_are_cut_by_generated_code_in_all_tasks(spark):
+    sources = spark.createDataFrame([source("s", "one")], REGISTRY_SCHEMA)
+    raw = spark.range(400).coalesce(1).selectExpr("'s' as source", "concat('2a00::1 2a00::', hex(id + 1), ' 24') as line")
+    parsed = ingest.range_list(raw, sources, NOW)
+    assert parsed.select(F.spark_partition_id().alias("task")).distinct().count() > 1
+    nets = A.with_range_networks(raw.selectExpr("split(line, ' ')[0] as a", "split(line, ' ')[1] as b"), "a", "b")
+    plan = nets._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    cut = next(k for k, line in enumerate(plan) if "Generate explode" in line)
+    assert not [line for line in plan[: cut + 1] if "lambda" in line]  # lambdas are interpreted: only the two ends are parsed by them
+
+
+def test_ranges_across_the_halves_of_an_address(spark):
+    edges = [0, 1, 2**32, 2**63 - 1, 2**63, 2**64 - 1, 2**64, 2**64 + 1, 2**65 - 1, 2**127 - 1, 2**127, 2**127 + 2**64, 2**128 - 2, 2**128 - 1]
+    pairs = [(a, b) for a in edges for b in edges if a <= b]
+    pairs += pairs[:3]
+    rows = [(k, str(ipaddress.IPv6Address(a)), str(ipaddress.IPv6Address(b))) for k, (a, b) in enumerate(pairs)]
+    got: dict[int, list] = {}
+    for r in A.with_range_networks(spark.createDataFrame(rows, "k int, a string, b string"), "a", "b").collect():
+        got.setdefault(r.k, []).append((int.from_bytes(r.lo6), int.from_bytes(r.hi6), r.prefix, r.indicator, r.lo, r.hi))
+    for k, (a, b) in enumerate(pairs):
+        nets = ipaddress.summarize_address_range(ipaddress.IPv6Address(a), ipaddress.IPv6Address(b))
+        assert sorted(got[k]) == sorted((int(n[0]), int(n[-1]), n.prefixlen, str(n), None, None) for n in nets), (a, b)
+
+
 def test_a_broken_gzip_file_is_its_own_failure(spark, tmp_path):
     lines = [f"9.0.{k // 250}.{k % 250}" for k in range(30_000)]
     whole = gzip.compress("\n".join(lines).encode())
