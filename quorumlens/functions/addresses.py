@@ -316,15 +316,19 @@ def _bounds(cidr: str) -> tuple[str, str]:
     return _literal(net.network_address), _literal(net.broadcast_address)
 
 
-def _point_in(point: str, cidrs: tuple[str, ...]) -> str:
-    """Whether a point lies in one of the networks; those that touch are compared as one span."""
+def _joined(cidrs: tuple[str, ...]) -> list[tuple]:
+    """First and last addresses of the spans that ``cidrs`` make up, touching networks being one span."""
     spans: list[list] = []
     for net in sorted(map(ipaddress.ip_network, cidrs)):
         if spans and int(net.network_address) <= int(spans[-1][1]) + 1:
             spans[-1][1] = max(spans[-1][1], net.broadcast_address)
         else:
             spans.append([net.network_address, net.broadcast_address])
-    spans = [tuple(map(_literal, span)) for span in spans]
+    return [tuple(span) for span in spans]
+
+
+def _point_in(point: str, cidrs: tuple[str, ...]) -> str:
+    spans = [tuple(map(_literal, span)) for span in _joined(cidrs)]
     return "(" + " or ".join(f"({point} >= {lo} and {point} <= {hi})" for lo, hi in spans) + ")"
 
 
@@ -354,7 +358,11 @@ def is_global() -> Column:
         "e.a", "e.b", K.V6_PRIVATE, K.V6_PRIVATE_EXCEPT, K.V6_RESERVED, K.V6_MULTICAST
     )
     ends = "struct(lo6 as a, hi6 as b)"
-    return F.expr(f"not if(family = 4, {v4}, {_let('e', ends, v6)})")
+    # Most entries lie in the widest span without special networks, which two comparisons tell.
+    spans = _joined(K.V6_PRIVATE + K.V6_RESERVED + K.V6_MULTICAST)
+    below, above = max(zip(spans, spans[1:]), key=lambda pair: int(pair[1][0]) - int(pair[0][1]))
+    plain = f"lo6 >= {_literal(below[1] + 1)} and hi6 <= {_literal(above[0] - 1)}"
+    return F.expr(f"not if(family = 4, {v4}, not ({plain}) and {_let('e', ends, v6)})")
 
 
 # ------------------------------------------------------------------ blocks and buckets
@@ -497,14 +505,14 @@ def with_range_networks(df: DataFrame, start: str, end: str) -> DataFrame:
     high, low = _low_ones_sql("_k")
     seen = sides.select(
         *keep, "_w", "_ah", "_al", "_bh", "_bl", "_n", "_j",
-        F.expr("_j div 2 = _n - 1").alias("_top"),
-        F.expr("cast(_j div 2 as int)").alias("_k"),
-        *[F.expr(f"if(_j % 2 = 0, _a{k}, ~_b{k})").alias(f"_c{k}") for k in "hl"],
+        F.expr("shiftright(_j, 1) = _n - 1").alias("_top"),
+        F.expr("shiftright(_j, 1)").alias("_k"),
+        *[F.expr(f"if((_j & 1) = 0, _a{k}, ~_b{k})").alias(f"_c{k}") for k in "hl"],
     )
     masked = seen.withColumns({"_mh": F.expr(high), "_ml": F.expr(low)})
     placed = masked.withColumns(
         {
-            "_one": F.expr("_top or (shiftright(if(_k < 64, _cl, _ch), _k % 64) & 1) = 1"),
+            "_one": F.expr("_top or (shiftright(if(_k < 64, _cl, _ch), _k & 63) & 1) = 1"),
             "_bare": F.expr("(_ch & _mh) = 0 and (_cl & _ml) = 0"),
             "_xh": F.expr("_ch & ~_mh | if(_top or _k < 64, 0L, shiftleft(1L, _k - 64))"),
             "_xl": F.expr("_cl & ~_ml | if(_top or _k >= 64, 0L, shiftleft(1L, _k))"),
@@ -517,7 +525,7 @@ def with_range_networks(df: DataFrame, start: str, end: str) -> DataFrame:
 
     found = (
         f"case when _j < 0 then {block('_ah', '_al', '_bh', '_bl', '_n')} when _one <> _bare then null "
-        f"when _j % 2 = 0 then {block('_xh', '_xl', '_xh | _mh', '_xl | _ml', '_k')} "
+        f"when (_j & 1) = 0 then {block('_xh', '_xl', '_xh | _mh', '_xl | _ml', '_k')} "
         f"else {block('~(_xh | _mh)', '~(_xl | _ml)', '~_xh', '~_xl', '_k')} end"
     )
     each = placed.select(*keep, "_w", F.inline(F.expr(found)))
